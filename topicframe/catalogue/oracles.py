@@ -26,6 +26,14 @@ b as (
 )"""
 
 
+def _segments(segment: int = 65536, size: int = 100) -> str:
+    return f"""
+b as (
+  select *, seg * {-(-segment // size)} + (row_number() over (partition by topic, part, seg order by off) - 1) // {size} as batch_no
+  from (select *, off // {segment} as seg from m)
+)"""
+
+
 _B = _batches(100)
 
 # runs by topic, tier and schema inside a batch
@@ -52,6 +60,7 @@ s as (
   from s group by topic, part, batch_no, run
 )"""
 
+_SEGMENT_BUNDLES = f"with {_M}, {_segments()}, {_R}, {_CONTENT}"
 _BUNDLES = f"with {_M}, {_B}, {_R}, {_CONTENT}"
 
 # messages of up to twenty lines, and their records
@@ -127,15 +136,14 @@ def _entries(where: str, name: str, value: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "consume_bundles": f"""{_BUNDLES}
+    "consume_bundles": f"""{_SEGMENT_BUNDLES}
 select topic, part, batch_no, run, tier, message_count, last_off as cum_ack, md5(content) as digest
 from g where message_count > 0""",
-    "consume_bundles_by_segment": f"""with {_M}, b as (
-  select *, seg * 41 + (row_number() over (partition by topic, part, seg order by off) - 1) // 100 as batch_no
-  from (select *, off // 4096 as seg from m)
-), {_R}, {_CONTENT}
+    "consume_short_segments": f"""with {_M}, {_segments(4096)}, {_R}, {_CONTENT}
+select topic, part, batch_no, run, message_count, first_off, md5(content) as digest from g where message_count > 0""",
+    "consume_full_batches": f"""{_BUNDLES}
 select topic, part, batch_no, run, message_count, first_off, md5(content) as digest from g where message_count > 0""",
-    "consume_record_bundles": f"""with {_M}, {_B}, {_R}, q as (
+    "consume_record_bundles": f"""with {_M}, {_segments()}, {_R}, q as (
   select topic, part, batch_no, run, min(schema) as schema, min(off) as lo, count(*) as n,
     count(case when body not in ('', 'Malformed message') then 1 end) as good,
     count(case when body = 'Malformed message' then 1 end) as bad,
@@ -227,7 +235,7 @@ select topic, part, batch_no, run, count(*) as n, min(schema) as schema from r g
     "failure_bundles": f"""with {_M}, {_batches(1000)}
 select topic, part, batch_no, md5(string_agg(body, '***' order by off)) as digest, count(*) as n
 from b where body = 'Malformed message' group by topic, part, batch_no""",
-    "audit_receipts": f"""{_BUNDLES}
+    "audit_receipts": f"""{_SEGMENT_BUNDLES}
 select '{CONSUMER}' as consumer_id, topic, batch_no, count(*) as bundles, cast(sum(message_count) as bigint) as messages,
   min(first_off) as first_off, max(last_off) as last_off, '{BROKER}/' || topic as transit_uri
 from g where message_count > 0 group by topic, batch_no""",
@@ -352,4 +360,14 @@ select doc_id, 'ack' as action from x where rn > 10 union all select doc_id, 're
 select topic, part, count(case when body <> '' then 1 end) as n, max(off) as position from m group by topic, part""",
     "stream_dedupe": f"""with {_M}
 select topic, count(*) as n, cast(sum(off) as bigint) as off_sum from m group by topic""",
+    "stream_redelivery": f"""with {_M}, reached as (
+  select least(max(ts), max(case when off % 7 <> 0 then ts end)) as mark from m
+)
+select topic, count(*) as n, cast(sum(off) as bigint) as off_sum from m, reached
+where off % 7 = 0 and ts + interval 1 day < date_trunc('millisecond', mark) group by topic""",
+    "stream_chunks": f"""{_CHUNKS}
+select doc_id, received, case when received = chunk_count then 'complete' else 'expired' end as status,
+  case when received = chunk_count then md5(data) end as digest
+from state join (select doc_id, data from e) using (doc_id)
+where doc_id * 60 + 3600 <= (select max(doc_id) * 60 from lost)""",
 }

@@ -21,7 +21,7 @@ from ..plans import publish as publishers
 from ..sinks import tables
 from ..sources import topics
 from ..streaming import reader, runner, stateful
-from ..workspace import fresh_path
+from ..workspace import fresh_path, hold
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,10 +88,7 @@ def consume_bundles(spark, sf_dir):
     )
 
 
-@query
-def consume_bundles_by_segment(spark, sf_dir):
-    sub = _subscription(segment=4096)
-    bundles = consume.consume_bytes(V.messages(spark, sf_dir), sub)
+def _bundle_keys(bundles: DataFrame) -> DataFrame:
     return bundles.select(
         "topic",
         _big("part").alias("part"),
@@ -103,6 +100,16 @@ def consume_bundles_by_segment(spark, sf_dir):
     )
 
 
+@query
+def consume_short_segments(spark, sf_dir):
+    return _bundle_keys(consume.consume_bytes(V.messages(spark, sf_dir), _subscription(segment=4096)))
+
+
+@query
+def consume_full_batches(spark, sf_dir):
+    return _bundle_keys(consume.consume_bytes(V.messages(spark, sf_dir), _subscription(segment=None)))
+
+
 @query
 def consume_record_bundles(spark, sf_dir):
     bundles = consume.consume_records(V.messages(spark, sf_dir), _subscription(), V.RECORD)
@@ -142,7 +149,7 @@ def topic_pattern(spark, sf_dir):
 @query
 def start_position(spark, sf_dir):
     log = V.messages(spark, sf_dir)
-    ends = topics.snapshot(log.where("off <= 5000"))
+    ends = hold(topics.snapshot(log.where("off <= 5000")), "snapshot")
     return _union(
         [
             topics.start_position(log, ends, start)
@@ -158,8 +165,8 @@ def start_position(spark, sf_dir):
 def resume_cursor(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     identity = topics.consumer_identity("audit", topics="all-events")
-    earlier = log.where("off < 8000").groupBy("topic", "part").agg(F.max("off").alias("position"))
-    cursors = earlier.withColumn("consumer_id", F.lit(identity))
+    earlier = topics.snapshot(log.where("off < 8000"))
+    cursors = hold(earlier.withColumn("consumer_id", F.lit(identity)), "cursors")
     return (
         topics.resume(log, cursors, identity)
         .groupBy("topic", _big("part").alias("part"))
@@ -569,7 +576,7 @@ def _acked(log: DataFrame) -> DataFrame:
 @query
 def backlog(spark, sf_dir):
     log = V.messages(spark, sf_dir)
-    cursors = log.where("off < 8000").groupBy("topic", "part").agg(F.max("off").alias("position"))
+    cursors = hold(topics.snapshot(log.where("off < 8000")), "cursors")
     forms = {
         "cursor": delivery.backlog(log, cursors=cursors),
         "singly": delivery.backlog(log, acks=_acked(log)),
@@ -703,3 +710,25 @@ def stream_dedupe(spark, sf_dir):
     once = stateful.dedupe(reader.stream_topics(spark, path, pattern=".*"), "100 days")
     kept = _drained(spark, once.select("topic", "off"), lambda poll: poll, "stream-dedupe")
     return kept.groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"))
+
+
+@query
+def stream_redelivery(spark, sf_dir):
+    log = V.messages(spark, sf_dir)
+    sent, acked = fresh_path(spark, "sent"), fresh_path(spark, "acked")
+    tables.write_messages(log, sent)
+    tables.write_messages(log.where("off % 7 <> 0"), acked)
+    delivered = reader.stream_topics(spark, sent, pattern=".*").withColumnRenamed("publish_time", "delivered_at")
+    acks = reader.stream_topics(spark, acked, pattern=".*").withColumnRenamed("publish_time", "acked_at")
+    due = stateful.due_for_redelivery(delivered, acks, 86400)
+    kept = _drained(spark, due.select("topic", "off"), lambda poll: poll, "stream-redelivery")
+    return kept.groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"))
+
+
+@query
+def stream_chunks(spark, sf_dir):
+    path = fresh_path(spark, "chunks")
+    V.broken_chunks(spark, sf_dir).write.parquet(path)
+    chunks = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    closed = _drained(spark, stateful.assemble(chunks, 3600), lambda poll: poll, "stream-chunks")
+    return closed.select(F.col("chunk_set").alias("doc_id"), "received", "status", _md5("data"))

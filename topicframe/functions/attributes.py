@@ -49,12 +49,15 @@ def schema() -> Column:
 
 def merge(*maps: Column) -> Column:
     """Union of maps in which a later map's value replaces an earlier one's."""
-    result = empty_map()
+    result = None
     for each in maps:
-        result = F.map_zip_with(
-            result, F.coalesce(each, empty_map()), lambda _, old, new: F.coalesce(new, old)
+        whole = F.coalesce(each, empty_map())
+        result = (
+            whole
+            if result is None
+            else F.map_zip_with(result, whole, lambda _, old, new: F.coalesce(new, old))
         )
-    return result
+    return empty_map() if result is None else result
 
 
 def automatic(spec: str | None, records: bool = False) -> Column:

@@ -49,26 +49,36 @@ def split(
 def assemble(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Payloads whose chunks are all there, rejoined in order; a repeated chunk counts once.
 
+    Repeats are dropped before rows are moved, so a message delivered over and over does not
+    fill one task.
     ``carry`` names columns that are equal on all chunks of a message.
     """
-    chunks = df.dropDuplicates(["chunk_set", "chunk_no"])
+    chunk = F.struct("chunk_no", F.col("data").cast("string").alias("text"))
     return (
-        chunks.groupBy("chunk_set")
+        df.groupBy("chunk_set")
         .agg(
-            F.expr("listagg(data, X'') within group (order by chunk_no)").alias("data"),
-            F.count("*").alias("_received"),
+            F.collect_set(chunk).alias("_chunks"),
             F.max("chunk_count").alias("chunk_count"),
             *[F.first(c).alias(c) for c in carry],
         )
-        .where(F.col("_received") == F.col("chunk_count"))
-        .drop("_received")
+        .where(F.size("_chunks") == F.col("chunk_count"))
+        .withColumn("data", joined(F.col("_chunks")))
+        .drop("_chunks")
     )
 
 
+def joined(chunks: Column) -> Column:
+    """Chunk texts of a set put together in order.
+
+    Casting between binary and string keeps the bytes as they are, whatever they encode.
+    """
+    return F.array_join(F.transform(F.array_sort(chunks), lambda c: c["text"]), "").cast("binary")
+
+
 def sets(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """State of each chunk set: chunks received and expected, first and last arrival."""
     return df.groupBy(*by, "chunk_set").agg(
-        F.count_distinct("chunk_no").alias("received"),
+        F.size(F.collect_set("chunk_no")).cast("bigint").alias("received"),
         F.max("chunk_count").alias("chunk_count"),
         F.min("publish_time").alias("first_time"),
         F.max("publish_time").alias("last_time"),

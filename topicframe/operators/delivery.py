@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.keys import key_bucket
+from ..workspace import hold
 from .lookup import left_lookup
 
 MESSAGE = ["topic", "part", "off"]
@@ -42,10 +43,15 @@ def backlog(df: DataFrame, acks: DataFrame | None = None, cursors: DataFrame | N
         placed = left_lookup(left, cursors.select(*LOG, "position"), LOG)
         left = placed.where(F.col("off") > F.coalesce("position", F.lit(-1))).drop("position")
     if acks is not None:
-        left = left.join(acks.select(*MESSAGE), MESSAGE, "left_anti")
+        left = _without(left, acks)
     return left
 
 
+def _without(df: DataFrame, acks: DataFrame) -> DataFrame:
+    """Messages no acknowledgement names; repeated ones are merged before they are moved."""
+    return df.join(acks.select(*MESSAGE).distinct(), MESSAGE, "left_anti")
+
+
 def compact_acks(df: DataFrame, acks: DataFrame, consumer_id: str) -> tuple[DataFrame, DataFrame]:
     """A cursor below the oldest open message of each log, and the single acks above it."""
     open_from = backlog(df, acks).groupBy(*LOG).agg((F.min("off") - 1).alias("_open"))
@@ -53,6 +59,7 @@ def compact_acks(df: DataFrame, acks: DataFrame, consumer_id: str) -> tuple[Data
     cursors = ends.join(open_from, LOG, "left").select(
         F.lit(consumer_id).alias("consumer_id"), *LOG, F.coalesce("_open", "_end").alias("position")
     )
+    cursors = hold(cursors, "cursors")
     gaps = left_lookup(acks, cursors.select(*LOG, "position"), LOG).where("off > position").drop("position")
     return cursors, gaps
 
@@ -72,7 +79,7 @@ def due_for_redelivery(
     check_ack_timeout(timeout_seconds)
     waited = F.unix_micros(now) - F.unix_micros("delivered_at")
     overdue = delivered.where(waited >= int(timeout_seconds * 1_000_000))
-    return overdue.join(acks.select(*MESSAGE), MESSAGE, "left_anti")
+    return _without(overdue, acks)
 
 
 def dedupe(df: DataFrame) -> DataFrame:

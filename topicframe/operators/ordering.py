@@ -57,8 +57,12 @@ def ordinal(
 
 def _span_starts(cut: DataFrame, keys: list[str]) -> DataFrame:
     """What was reached before each span, as (keys, _span, _start)."""
-    spans = cut.groupBy(*keys, "_span").agg(F.sum("_value").alias("_total"))
-    spans = spans.withColumn("_segment", F.expr(f"_span div {_SPANS_PER_SEGMENT}"))
+    # both joins below drop null spans and segments; saying so here keeps the two uses of
+    # ``spans`` identical, so its scan and shuffle are done once and reused
+    segmented = cut.withColumn("_segment", F.expr(f"_span div {_SPANS_PER_SEGMENT}")).where(
+        "_span is not null and _segment is not null"
+    )
+    spans = segmented.groupBy(*keys, "_segment", "_span").agg(F.sum("_value").alias("_total"))
     before_span = (
         Window.partitionBy(*keys, "_segment").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     )

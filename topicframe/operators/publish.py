@@ -20,7 +20,7 @@ from ..functions import keys as K
 from ..functions import payload as P
 from ..functions.mapping import map_of, mapped_columns
 from ..functions.templates import is_blank, render
-from .ordering import DEFAULT_SPAN, running_total
+from .ordering import running_total
 from .records import Format
 
 
@@ -136,7 +136,7 @@ def assign_offsets(
     sent: Column,
     order: str = "bundle_id",
     base: Column | int = 0,
-    span: int = DEFAULT_SPAN,
+    span: int = 512,
 ) -> DataFrame:
     """Add ``first_off``, where each bundle's messages begin in its topic.
 
@@ -164,8 +164,9 @@ def assign_batches(
     old opens the next (so a message above the size limit has a batch to itself).
     A publisher waits for the sends of a bundle before it begins the next and flushes after
     every ``sends_per_flush``, so batches end there too; ``flush_no`` numbers those groups.
-    This keeps the walk to a limited group. It runs over sizes and times only, in the JVM;
-    payloads join its result by group.
+    That keeps a group to what a publisher itself holds between two flushes, so a group is
+    gathered into one row, walked there over sizes and times, and laid out again. Where the
+    input is already partitioned by ``within``, as receive batches are, nothing is moved.
     """
     if chunking:
         raise ValueError("batching and chunking exclude each other")
@@ -176,11 +177,6 @@ def assign_batches(
         df = df.withColumn("flush_no", F.expr(f"_rank div {sends_per_flush}")).drop("_rank")
         keys.append("flush_no")
 
-    step = F.struct(
-        F.col(order).cast("bigint").alias("off"),
-        F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint").alias("size"),
-        F.unix_micros("publish_time").alias("at"),
-    )
     age_limit = int(interval / timedelta(microseconds=1))
 
     def advance(state: Column, message: Column) -> Column:
@@ -204,10 +200,24 @@ def assign_batches(
         none.alias("bytes"),
         none.alias("since"),
     )
-    starts = (
-        df.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(step)).alias("_steps"))
-        .select(*keys, F.aggregate("_steps", begin, advance, lambda state: state["starts"]).alias("_starts"))
-    )
+    def step(row: Column) -> Column:
+        size = F.coalesce(F.octet_length(row["data"]), F.lit(0)).cast("bigint")
+        return F.named_struct(
+            F.lit("off"),
+            row[order].cast("bigint"),
+            F.lit("size"),
+            size,
+            F.lit("at"),
+            F.unix_micros(row["publish_time"]),
+        )
+
+    rest = [c for c in df.columns if c not in keys]
+    gathered = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    steps = F.array_sort(F.transform("_rows", step))
+    starts = F.aggregate(steps, begin, advance, lambda state: state["starts"])
     reached = F.size(F.filter("_starts", lambda start: start <= F.col(order)))
-    return df.join(starts, keys).withColumn("publish_batch", reached.cast("bigint")).drop("_starts")
+    return (
+        gathered.select(*keys, starts.alias("_starts"), F.inline("_rows"))
+        .withColumn("publish_batch", reached.cast("bigint"))
+        .drop("_starts")
+    )

@@ -12,6 +12,7 @@ from .. import constants as C
 from .ordering import DEFAULT_SPAN, ordinal
 
 LOG = ("topic", "part")
+SEGMENT = 65536
 
 
 def assign_receive_batches(
@@ -25,9 +26,11 @@ def assign_receive_batches(
 ) -> DataFrame:
     """Add ``batch_no``: each batch holds up to ``max_messages`` consecutive messages of ``by``.
 
-    By default every batch but the last is full. With ``segment`` a batch also ends where
-    the log enters its next segment of that many offsets; numbering then restarts from the
-    segment's own base, which needs one pass and one shuffle instead of two of each.
+    With ``segment`` a batch also ends where the log enters its next segment of that many
+    offsets, as a poll does that finds nothing more waiting. ``segment_no`` is added, and all
+    later work on batches stays in the partitions this one shuffle makes, provided it groups
+    by ``segment_no`` as well. Without it every batch but a log's last is full; that takes a
+    counting pass first, and grouping by batch shuffles again.
     """
     if max_messages < 1:
         raise ValueError("max_messages must be positive")

@@ -14,13 +14,17 @@ from ..functions import attributes as A
 from ..functions import payload as P
 from ..functions.mapping import map_of
 from ..operators import bundling, records
-from ..operators.receive import LOG, assign_receive_batches
+from ..operators.receive import LOG, SEGMENT, assign_receive_batches
 from ..schema import BUNDLE_SCHEMA, conform
 
 
 @dataclass(frozen=True)
 class Subscription:
-    """Settings shared by both consumers."""
+    """Settings shared by both consumers.
+
+    ``segment`` is the offset span a receive batch may not cross; None asks for full batches
+    at the price of a second pass and shuffle.
+    """
 
     consumer_id: str
     mapping: str | None = None
@@ -28,7 +32,7 @@ class Subscription:
     max_messages: int = C.DEFAULT_RECEIVE_BATCH
     scope: str = "mapped"
     by: Sequence[str] = LOG
-    segment: int | None = None
+    segment: int | None = SEGMENT
 
     def batches(self, messages: DataFrame) -> tuple[DataFrame, list[str]]:
         """The messages in receive batches, and the columns that name a batch."""
@@ -36,28 +40,44 @@ class Subscription:
         within = [*self.by, "batch_no"] if self.segment is None else [*self.by, "segment_no", "batch_no"]
         return cut, within
 
-    def bundle_attributes(self, records: bool) -> Column:
-        """Attributes of a bundle: only those all of its messages share by its run key."""
+    def shared_attributes(self, records: bool) -> dict[str, Column]:
+        """Attributes equal on all messages of a run, as columns under their final names.
+
+        In ``all`` scope that is every attribute, kept as one map under the empty name.
+        """
         if self.scope == "all":
-            return A.automatic(self.mapping, records)
-        shared = [A.mapped(self.mapping)]
+            return {"": A.automatic(self.mapping, records)}
+        values = A.mapped_values(self.mapping)
         if records:
-            shared += [A.topic(), A.schema()]
-        return A.merge(*shared)
+            values[C.TOPIC_ATTRIBUTE] = F.col("topic")
+            schema = A.schema_text()
+            mapped = values.get(C.SCHEMA_ATTRIBUTE)
+            values[C.SCHEMA_ATTRIBUTE] = schema if mapped is None else F.coalesce(schema, mapped)
+        return values
+
+
+def _carry(df: DataFrame, shared: dict[str, Column]) -> tuple[DataFrame, list[Column], Column]:
+    """Put the shared attributes on the rows; aggregates that keep them; their map afterwards.
+
+    They are equal inside a run, so any row's will do and the map is built once per bundle.
+    """
+    names = {name: f"_attribute{i}" for i, name in enumerate(shared)}
+    for name, column in names.items():
+        df = df.withColumn(column, shared[name])
+    kept = [F.first(column).alias(column) for column in names.values()]
+    after = F.col(names[""]) if "" in names else map_of({name: F.col(column) for name, column in names.items()})
+    return df, kept, after
 
 
 def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = True) -> DataFrame:
     """The raw consumer: payloads of each run joined by the demarcator."""
     batched, within = sub.batches(messages)
     numbered = bundling.runs(batched, bundling.run_key(sub.mapping, sub.scope), within)
+    carried, kept, attributes = _carry(numbered, sub.shared_attributes(records=False))
     bundles = bundling.concat(
-        numbered.withColumn("_attributes", sub.bundle_attributes(records=False)),
-        sub.demarcator,
-        within,
-        drop_empty,
-        extra=[F.min_by("topic", "off").alias("_topic"), F.min_by("_attributes", "off").alias("_attributes")],
+        carried, sub.demarcator, within, drop_empty, extra=[F.first("topic").alias("_topic"), *kept]
     )
-    counted = A.merge(F.col("_attributes"), map_of({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")}))
+    counted = A.merge(attributes, map_of({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")}))
     named = (
         bundles.withColumn("topic", F.col("_topic"))
         .withColumn("consumer_id", F.lit(sub.consumer_id))
@@ -93,12 +113,11 @@ def consume_records(
         parsed = parsed.withColumn("failed", F.col("failed") | unknown).withColumn(
             "kept", F.when(unknown, F.slice("kept", F.lit(1), F.lit(0))).otherwise(F.col("kept"))
         )
-    rewritten = (
-        parsed.withColumn("_written", records.written(F.col("kept"), writer))
-        .withColumn("_bad", F.when(F.col("failed"), F.col("data")))
-        .withColumn("_attributes", sub.bundle_attributes(records=True))
+    rewritten = parsed.withColumn("_written", records.written(F.col("kept"), writer)).withColumn(
+        "_bad", F.when(F.col("failed"), F.col("data"))
     )
-    runs = rewritten.groupBy(*within, "run").agg(
+    carried, kept, attributes = _carry(rewritten, sub.shared_attributes(records=True))
+    runs = carried.groupBy(*within, "run").agg(
         F.expr("listagg(_written, X'') within group (order by off)").alias("_good"),
         P.joined("_bad", sub.demarcator, "off").alias("_failed"),
         F.sum(F.size("kept")).alias("record_count"),
@@ -106,9 +125,9 @@ def consume_records(
         F.count("_bad").alias("_failed_count"),
         F.min("off").alias("first_off"),
         F.max("off").alias("last_off"),
-        F.min_by("_attributes", "off").alias("_attributes"),
+        *kept,
     )
-    counted = A.merge(F.col("_attributes"), map_of({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")}))
+    counted = A.merge(attributes, map_of({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")}))
     nothing = F.lit(0).cast("bigint")
     routes = F.array(
         F.struct(

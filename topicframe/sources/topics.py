@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +53,22 @@ def snapshot(df: DataFrame) -> DataFrame:
     return df.groupBy(*LOG).agg(F.max("off").alias("position"))
 
 
+def snapshot_once(df: DataFrame, path: str) -> DataFrame:
+    """The snapshot kept under ``path``, taken from ``df`` if there is none yet."""
+    spark = df.sparkSession
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        # also replaces what a run that died while writing may have left
+        snapshot(df).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
 def after(df: DataFrame, cursors: DataFrame) -> DataFrame:
-    """Messages beyond each log's cursor; a log without one is read from its beginning."""
+    """Messages beyond each log's cursor; a log without one is read from its beginning.
+
+    ``cursors`` is a small stored table; hold a derived one first.
+    """
     placed = left_lookup(df, cursors.select(*LOG, "position"), LOG)
     return placed.where(F.col("off") > F.coalesce("position", F.lit(-1))).drop("position")
 

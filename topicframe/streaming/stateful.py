@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.chunking import COMPLETE, EXPIRED
+from ..operators.chunking import COMPLETE, EXPIRED, joined
 from ..operators.delivery import MESSAGE, check_ack_timeout
 
 
@@ -53,18 +53,12 @@ def assemble(
         chunks.withWatermark("publish_time", late)
         .groupBy("chunk_set", F.session_window("publish_time", f"{after_seconds} seconds"))
         .agg(
-            F.array_sort(F.collect_set(F.struct("chunk_no", "data"))).alias("_chunks"),
+            F.collect_set(F.struct("chunk_no", F.col("data").cast("string").alias("text"))).alias("_chunks"),
             F.max("chunk_count").alias("chunk_count"),
             F.max("publish_time").alias("last_time"),
         )
         .withColumn("received", F.size("_chunks").cast("bigint"))
         .withColumn("status", F.when(F.col("received") == F.col("chunk_count"), COMPLETE).otherwise(EXPIRED))
-        .withColumn(
-            "data",
-            F.when(
-                F.col("status") == COMPLETE,
-                F.unhex(F.array_join(F.transform("_chunks", lambda c: F.hex(c["data"])), "")),
-            ),
-        )
+        .withColumn("data", F.when(F.col("status") == COMPLETE, joined(F.col("_chunks"))))
         .select("chunk_set", "received", "chunk_count", "last_time", "status", "data")
     )

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
@@ -33,6 +33,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/topicframe/{safe_name(label)}-{uuid.uuid4().hex}"
 
 
+def hold(df: DataFrame, label: str) -> DataFrame:
+    """Write a small derived table once and go on from the files.
+
+    It is then computed once however often it is used, survives lost executors, and has a
+    size Spark knows.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def safe_name(identity: str) -> str:
     """A folder name for an identity of any length and alphabet, distinct per identity."""
     readable = re.sub(r"[^A-Za-z0-9_.-]+", "_", identity)[:60]
