@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.avro.functions import from_avro
 
 CORRUPT = "_corrupt"
 
@@ -67,20 +68,15 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def _read_avro(data: Column, fields: T.StructType, options: dict[str, str] | None) -> Column:
-    """Avro through Spark's own external module, which must be on the class path."""
-    spark = SparkSession.active()
-    jvm = spark.sparkContext._jvm
-    try:
-        jvm.java.lang.Class.forName("org.apache.spark.sql.avro.SchemaConverters")
-    except Exception as missing:
-        raise RuntimeError("records in avro need the spark-avro package on the class path") from missing
-    from pyspark.sql.avro.functions import from_avro
+    """One record per payload, by Spark's own Avro module; Spark says so if it is not loaded.
 
+    ``options`` must hold the writer's ``schema`` as JSON text.
+    """
     extra = dict(options or {})
-    writer_schema = extra.pop("schema")
-    record = from_avro(data, writer_schema, extra)
+    record = from_avro(data, extra.pop("schema"), {"mode": "PERMISSIVE", **extra})
     names = [record[f.name].cast(f.dataType).alias(f.name) for f in fields.fields]
-    return F.array(F.struct(*names, F.lit(None).cast("string").alias(CORRUPT)))
+    unread = F.when(record.isNull(), F.base64(data))
+    return F.when(F.octet_length(data) > 0, F.array(F.struct(*names, unread.alias(CORRUPT))))
 
 
 def first_bad(records: Column) -> Column:

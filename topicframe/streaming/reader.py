@@ -23,6 +23,8 @@ def stream_topics(
     A trigger is one poll; ``max_files`` or ``max_bytes`` bound it. The folder is listed
     again at each trigger, so partitions and topics added later are picked up.
     """
+    if max_files and max_bytes:
+        raise ValueError("bound a poll by files or by bytes, not both")
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
