@@ -26,11 +26,11 @@ b as (
 )"""
 
 
-def _segments(segment: int = 65536, size: int = 100) -> str:
+def _segments(segment: int = 65536, size: int = 100, source: str = "m") -> str:
     return f"""
 b as (
   select *, seg * {-(-segment // size)} + (row_number() over (partition by topic, part, seg order by off) - 1) // {size} as batch_no
-  from (select *, off // {segment} as seg from m)
+  from (select *, off // {segment} as seg from {source})
 )"""
 
 
@@ -65,7 +65,7 @@ _BUNDLES = f"with {_M}, {_B}, {_R}, {_CONTENT}"
 
 # messages of up to twenty lines, and their records
 _LINES = f"""
-with {_M}, {_batches(20)}, h as (
+with {_M}, {_segments(size=20)}, h as (
   select *, min(case when body <> '' then off end) over (partition by topic, part, batch_no) as filled,
     min(off) over (partition by topic, part, batch_no) as mid,
     body <> 'Malformed message' as good,
@@ -283,7 +283,7 @@ from text join kept using (topic, part, off) where failed group by topic""",
   from piece join base using (doc_id)
 )
 select topic, off % 4 as part, count(*) as n, min(off) as lo, max(off) as hi, {_SUM.format("data")} from msg group by 1, 2""",
-    "publish_records": f"""with {_O}, {_batches(100, "w")}, u as (
+    "publish_records": f"""with {_O}, {_segments(source="w")}, u as (
   select *, min(off) over (partition by topic, part, batch_no) as bundle_id from b
 ), x as (
   select *, row_number() over (partition by topic order by bundle_id, off) - 1 as place,

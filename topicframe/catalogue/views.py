@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codecs
 from ..functions.mapping import map_of
 from ..operators import bundling, chunking
-from ..operators.receive import LOG, assign_receive_batches
+from ..operators.receive import LOG, SEGMENT, SEGMENT_BATCH, assign_receive_batches
 from ..schema import MESSAGE_SCHEMA, conform
 
 NAMESPACE = "persistent://public/default/"
@@ -50,9 +50,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def many_record_messages(spark: SparkSession, sf_dir: str, lines: int = 20) -> DataFrame:
     """Messages of up to ``lines`` records each: consecutive payloads joined by newlines."""
-    batched = assign_receive_batches(messages(spark, sf_dir), lines)
+    batched = assign_receive_batches(messages(spark, sf_dir), lines, segment=SEGMENT)
     joined = bundling.concat(
-        bundling.runs(batched, F.struct("topic")), "\n", drop_empty=True, extra=[F.max("publish_time").alias("publish_time")]
+        bundling.runs(batched, F.struct("topic"), SEGMENT_BATCH),
+        "\n",
+        SEGMENT_BATCH,
+        extra=[F.max("publish_time").alias("publish_time")],
     )
     return joined.select(*LOG, F.col("first_off").alias("off"), "publish_time", F.col("content").alias("data"))
 
@@ -110,8 +113,8 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bundles of up to a hundred CSV lines."""
-    batched = assign_receive_batches(order_messages(spark, sf_dir), 100)
-    joined = bundling.concat(bundling.runs(batched, F.struct("topic")), "")
+    batched = assign_receive_batches(order_messages(spark, sf_dir), 100, segment=SEGMENT)
+    joined = bundling.concat(bundling.runs(batched, F.struct("topic"), SEGMENT_BATCH), "", SEGMENT_BATCH)
     return joined.select(
         F.col("first_off").alias("bundle_id"),
         map_of({"topic": F.col("topic")}).alias("attributes"),

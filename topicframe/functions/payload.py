@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,22 +36,50 @@ def _quoted(pattern: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(pattern, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
+def _literal(pattern: str) -> Column:
+    """The same for a constant; a single character is left in the form split handles fastest."""
+    if len(pattern) == 1 and not pattern.isalnum() and pattern.isascii():
+        return F.lit(pattern if pattern.isspace() else "\\" + pattern)
+    return F.lit(r"\Q" + pattern.replace(r"\E", r"\E\\E\Q") + r"\E")
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _without_empty_end(pieces: Column) -> Column:
+    return bind(
+        pieces,
+        lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p),
+    )
+
+
 def tokens(content: Column, demarcator: Column | str) -> Column:
     """Content cut at each demarcator, without the empty piece behind a last one.
 
     Empty pieces in between stay. Empty content has no tokens. An empty or null demarcator
     (a per-row Column may hold either) leaves the content whole.
+
+    Content that is valid UTF-8 is cut as text, where a demarcator can only match at a
+    character's edge; any other content is cut byte by byte.
     """
-    bytewise = F.decode(content, _BYTEWISE)
     if isinstance(demarcator, str):
         if demarcator == "":
             return F.array(content)
-        mark = F.lit(demarcator.encode("utf-8").decode(_BYTEWISE))
-        unset = None
+        as_text = _literal(demarcator)
+        as_bytes = _literal(demarcator.encode("utf-8").decode(_BYTEWISE))
+        cuttable = F.lit(True)
     else:
-        mark = F.decode(demarcator.cast("binary"), _BYTEWISE)
-        unset = is_filled(demarcator.cast("binary"))
-    pieces = F.split(bytewise, _quoted(mark), -1)
-    kept = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
-    cut = F.transform(kept, lambda piece: F.encode(piece, _BYTEWISE))
-    return cut if unset is None else F.when(unset, cut).otherwise(F.array(content))
+        as_text = _quoted(demarcator)
+        as_bytes = _quoted(F.decode(demarcator.cast("binary"), _BYTEWISE))
+        cuttable = is_filled(demarcator.cast("binary"))
+    text = content.cast("string")
+    of_text = _without_empty_end(F.split(text, as_text, -1)).cast("array<binary>")
+    of_bytes = F.transform(
+        _without_empty_end(F.split(F.decode(content, _BYTEWISE), as_bytes, -1)),
+        lambda piece: F.encode(piece, _BYTEWISE),
+    )
+    return (
+        F.when(~cuttable, F.array(content)).when(F.is_valid_utf8(text), of_text).otherwise(of_bytes)
+    )

@@ -186,12 +186,16 @@ def assign_batches(
             | (state["bytes"] + message["size"] > max_bytes)
             | (message["at"] - state["since"] >= age_limit)
         )
-        return F.struct(
-            F.when(opens, F.array_append(state["starts"], message["off"])).otherwise(state["starts"]).alias("starts"),
-            F.when(opens, F.lit(1).cast("bigint")).otherwise(state["count"] + 1).alias("count"),
-            F.when(opens, message["size"]).otherwise(state["bytes"] + message["size"]).alias("bytes"),
-            F.when(opens, message["at"]).otherwise(state["since"]).alias("since"),
-        )
+
+        def next_state(opening: Column) -> Column:
+            return F.struct(
+                F.when(opening, F.array_append(state["starts"], message["off"])).otherwise(state["starts"]),
+                F.when(opening, F.lit(1).cast("bigint")).otherwise(state["count"] + 1),
+                F.when(opening, message["size"]).otherwise(state["bytes"] + message["size"]),
+                F.when(opening, message["at"]).otherwise(state["since"]),
+            )
+
+        return P.bind(opens, next_state)
 
     none = F.lit(0).cast("bigint")
     begin = F.struct(
@@ -216,8 +220,10 @@ def assign_batches(
     steps = F.array_sort(F.transform("_rows", step))
     starts = F.aggregate(steps, begin, advance, lambda state: state["starts"])
     reached = F.size(F.filter("_starts", lambda start: start <= F.col(order)))
+    # the walk gets a column of its own below the layout, so that it runs once per group
     return (
-        gathered.select(*keys, starts.alias("_starts"), F.inline("_rows"))
+        gathered.withColumn("_starts", starts)
+        .select(*keys, "_starts", F.inline("_rows"))
         .withColumn("publish_batch", reached.cast("bigint"))
         .drop("_starts")
     )

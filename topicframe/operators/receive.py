@@ -13,6 +13,7 @@ from .ordering import DEFAULT_SPAN, ordinal
 
 LOG = ("topic", "part")
 SEGMENT = 65536
+SEGMENT_BATCH = (*LOG, "segment_no", "batch_no")
 
 
 def assign_receive_batches(
