@@ -4,8 +4,9 @@ import pytest
 
 from topicframe.operators import delivery
 from topicframe.plans.consume import Subscription, consume_bytes
+from topicframe.plans.publish import Target, publish_bytes
 from topicframe.sinks.tables import write_messages
-from topicframe.sources.topics import snapshot
+from topicframe.sources.topics import read_topics, snapshot
 from topicframe.streaming import reader, runner, stateful
 from topicframe.workspace import fresh_path, shared_dir
 
@@ -107,3 +108,43 @@ def test_streamed_redelivery_equals_batch(spark, log):
     assert got == [i for i in range(89) if i % 2 == 1 or i % 6 == 0]
     with pytest.raises(ValueError):
         stateful.due_for_redelivery(delivered, acks, 9)
+
+
+def _publish(spark, source, table, state, checkpoint, failures=None, publisher=None):
+    stored = spark.read.parquet(source).schema
+
+    def split(poll, ends):
+        return publish_bytes(poll, Target("${t}"), demarcator="\n", ends=ends)
+
+    stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", 1).parquet(source)
+    runner.publish(stream, publisher or split, table, state, checkpoint, failures)
+
+
+def test_published_offsets_go_on_from_poll_to_poll(spark, bundles):
+    source, table, state, checkpoint, failures = (fresh_path(spark, label) for label in "stcpf")
+    for content in ("1\n2", "3", "4\n5"):
+        rows = bundles(({"t": "a"}, content), ({"t": "b"}, "x"), ({}, "lost"))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    _publish(spark, source, table, state, checkpoint, failures)
+    _publish(spark, source, table, state, checkpoint, failures)
+    got = read_topics(spark, table, pattern=".*").orderBy("topic", "off").collect()
+    assert [(r.topic, r.off) for r in got] == [("a", i) for i in range(5)] + [("b", i) for i in range(3)]
+    assert {bytes(r.data) for r in got if r.topic == "a"} == {b"1", b"2", b"3", b"4", b"5"}
+    assert spark.read.parquet(failures).count() == 3
+
+
+def test_a_repeated_poll_replaces_itself(spark, bundles):
+    source, table, state, checkpoint = (fresh_path(spark, label) for label in "stcp")
+    bundles(({"t": "a"}, "1\n2")).coalesce(1).write.parquet(source)
+
+    def failing(poll, ends):
+        # the messages are written, then the poll is lost before its ends are
+        published = publish_bytes(poll, Target("${t}"), demarcator="\n", ends=ends)
+        write_messages(published.messages, f"{table}/poll=0", mode="overwrite")
+        raise RuntimeError("lost in between")
+
+    with pytest.raises(Exception, match="lost in between"):
+        _publish(spark, source, table, state, checkpoint, publisher=failing)
+    assert read_topics(spark, table, pattern=".*").count() == 2
+    _publish(spark, source, table, state, checkpoint)
+    assert sorted(r.off for r in read_topics(spark, table, pattern=".*").collect()) == [0, 1]

@@ -370,4 +370,8 @@ select doc_id, received, case when received = chunk_count then 'complete' else '
   case when received = chunk_count then md5(data) end as digest
 from state join (select doc_id, data from e) using (doc_id)
 where doc_id * 60 + 3600 <= (select max(doc_id) * 60 from lost)""",
+    "stream_publish": f"""{_TOKENS}
+select lang as topic, count(*) as n, cast(0 as bigint) as lo, count(*) - 1 as hi,
+  cast(count(*) * (count(*) - 1) / 2 as bigint) as off_sum, {_SUM.format("data")}
+from piece where lang <> 'de' group by lang""",
 }

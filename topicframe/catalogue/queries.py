@@ -732,3 +732,24 @@ def stream_chunks(spark, sf_dir):
     chunks = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     closed = _drained(spark, stateful.assemble(chunks, 3600), lambda poll: poll, "stream-chunks")
     return closed.select(F.col("chunk_set").alias("doc_id"), "received", "status", _md5("data"))
+
+
+@query
+def stream_publish(spark, sf_dir):
+    source, table = fresh_path(spark, "bundles"), fresh_path(spark, "streamed-topics")
+    V.documents(spark, sf_dir).repartition(4, "bundle_id").write.parquet(source)
+    stored = spark.read.parquet(source)
+    runner.publish(
+        spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 2).parquet(source),
+        lambda poll, ends: publishers.publish_bytes(
+            poll, publishers.Target("${topic}", partitions=4), demarcator="\n", ends=ends
+        ),
+        table,
+        fresh_path(spark, "ends"),
+        fresh_path(spark, "publish-checkpoint"),
+    )
+    return (
+        topics.read_topics(spark, table, pattern=".*")
+        .groupBy("topic")
+        .agg(_n(), F.min("off").alias("lo"), F.max("off").alias("hi"), F.sum("off").alias("off_sum"), _checksum("data"))
+    )

@@ -20,6 +20,7 @@ from ..functions import keys as K
 from ..functions import payload as P
 from ..functions.mapping import map_of, mapped_columns
 from ..functions.templates import is_blank, render
+from .lookup import left_lookup
 from .ordering import running_total
 from .records import Format
 
@@ -135,17 +136,20 @@ def assign_offsets(
     bundles: DataFrame,
     sent: Column,
     order: str = "bundle_id",
-    base: Column | int = 0,
+    ends: DataFrame | None = None,
     span: int = 512,
 ) -> DataFrame:
     """Add ``first_off``, where each bundle's messages begin in its topic.
 
     ``sent`` is the number of messages of a bundle, so only bundles are numbered, not the
-    messages they are split into; a message's offset is ``first_off + pos``.
+    messages they are split into; a message's offset is ``first_off + pos``. A topic begins
+    at its ``next_off`` in ``ends``, or at 0.
     """
     placed = running_total(bundles, ["topic"], order, sent, "first_off", span=span)
-    start = base if isinstance(base, Column) else F.lit(base)
-    return placed.withColumn("first_off", F.col("first_off") + start)
+    if ends is None:
+        return placed
+    known = left_lookup(placed, ends.select("topic", "next_off"), ["topic"], spread=order)
+    return known.withColumn("first_off", F.col("first_off") + F.coalesce("next_off", F.lit(0))).drop("next_off")
 
 
 def assign_batches(

@@ -47,6 +47,8 @@ class Subscription:
         """
         if self.scope == "all":
             return {"": A.automatic(self.mapping, records)}
+        if self.scope != "mapped":
+            raise ValueError(f"unknown scope {self.scope!r}; use mapped or all")
         values = A.mapped_values(self.mapping)
         if records:
             values[C.TOPIC_ATTRIBUTE] = F.col("topic")
@@ -55,29 +57,58 @@ class Subscription:
             values[C.SCHEMA_ATTRIBUTE] = schema if mapped is None else F.coalesce(schema, mapped)
         return values
 
+    def numbered(self, messages: DataFrame, records: bool) -> _Runs:
+        """Batches and runs over no more than the columns a consumer needs.
 
-def _carry(df: DataFrame, shared: dict[str, Column]) -> tuple[DataFrame, list[Column], Column]:
-    """Put the shared attributes on the rows; aggregates that keep them; their map afterwards.
+        Attributes are taken from the messages first, so that keys and properties are not
+        moved, and the map of them is built once per bundle: inside a run they are equal, so
+        any row's will do.
+        """
+        shared = self.shared_attributes(records)
+        columns = {name: f"_attribute{i}" for i, name in enumerate(shared)}
+        narrow = messages.select(
+            *LOG,
+            "off",
+            "data",
+            A.schema_text().alias("_schema"),
+            F.col("schema_def").isNotNull().alias("_has_schema"),
+            *[value.alias(columns[name]) for name, value in shared.items()],
+        )
+        if "" in columns:
+            key = F.struct(A.entries(F.col(columns[""])).alias("entries"))
+            attributes = F.col(columns[""])
+        else:
+            key = F.struct("topic", "_schema", *columns.values())
+            attributes = map_of({name: F.col(column) for name, column in columns.items()})
+        cut, within = self.batches(narrow)
+        if records and "topic" not in within:
+            within = [*within, "topic"]
+        return _Runs(
+            bundling.runs(cut, key, within), within, [F.first(c).alias(c) for c in columns.values()], attributes
+        )
 
-    They are equal inside a run, so any row's will do and the map is built once per bundle.
-    """
-    names = {name: f"_attribute{i}" for i, name in enumerate(shared)}
-    for name, column in names.items():
-        df = df.withColumn(column, shared[name])
-    kept = [F.first(column).alias(column) for column in names.values()]
-    after = F.col(names[""]) if "" in names else map_of({name: F.col(column) for name, column in names.items()})
-    return df, kept, after
+
+@dataclass(frozen=True)
+class _Runs:
+    """Messages with their run; what names a batch; aggregates that keep the attributes; their map."""
+
+    messages: DataFrame
+    within: list[str]
+    kept: list[Column]
+    attributes: Column
 
 
 def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = True) -> DataFrame:
-    """The raw consumer: payloads of each run joined by the demarcator."""
-    batched, within = sub.batches(messages)
-    numbered = bundling.runs(batched, bundling.run_key(sub.mapping, sub.scope), within)
-    carried, kept, attributes = _carry(numbered, sub.shared_attributes(records=False))
+    """The raw consumer: payloads of each run joined by the demarcator.
+
+    A bundle that mixes topics, as batches across topics may give, has no topic of its own.
+    """
+    runs = sub.numbered(messages, records=False)
+    topic = F.when(F.min("topic") == F.max("topic"), F.min("topic"))
     bundles = bundling.concat(
-        carried, sub.demarcator, within, drop_empty, extra=[F.first("topic").alias("_topic"), *kept]
+        runs.messages, sub.demarcator, runs.within, drop_empty, extra=[topic.alias("_topic"), *runs.kept]
     )
-    counted = A.merge(attributes, map_of({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")}))
+    counted = A.merge(runs.attributes, map_of({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")}))
     named = (
         bundles.withColumn("topic", F.col("_topic"))
         .withColumn("consumer_id", F.lit(sub.consumer_id))
@@ -103,21 +134,16 @@ def consume_records(
     are parsed and rewritten in their own rows beforehand. With ``needs_schema`` a message
     without schema text counts as one whose schema cannot be found.
     """
-    batched, within = sub.batches(messages)
-    if "topic" not in within:
-        within = [*within, "topic"]
-    numbered = bundling.runs(batched, bundling.run_key(sub.mapping, sub.scope, records=True), within)
-    parsed = records.route(records.parse(numbered, schema, reader, options))
+    numbered = sub.numbered(messages, records=True)
+    parsed = records.route(records.parse(numbered.messages, schema, reader, options))
     if needs_schema:
-        unknown = F.col("schema_def").isNull()
-        parsed = parsed.withColumn("failed", F.col("failed") | unknown).withColumn(
-            "kept", F.when(unknown, F.slice("kept", F.lit(1), F.lit(0))).otherwise(F.col("kept"))
+        parsed = parsed.withColumn("failed", F.col("failed") | ~F.col("_has_schema")).withColumn(
+            "kept", F.when(F.col("_has_schema"), F.col("kept")).otherwise(F.slice("kept", F.lit(1), F.lit(0)))
         )
     rewritten = parsed.withColumn("_written", records.written(F.col("kept"), writer)).withColumn(
         "_bad", F.when(F.col("failed"), F.col("data"))
     )
-    carried, kept, attributes = _carry(rewritten, sub.shared_attributes(records=True))
-    runs = carried.groupBy(*within, "run").agg(
+    runs = rewritten.groupBy(*numbered.within, "run").agg(
         F.expr("listagg(_written, X'') within group (order by off)").alias("_good"),
         P.joined("_bad", sub.demarcator, "off").alias("_failed"),
         F.sum(F.size("kept")).alias("record_count"),
@@ -125,9 +151,9 @@ def consume_records(
         F.count("_bad").alias("_failed_count"),
         F.min("off").alias("first_off"),
         F.max("off").alias("last_off"),
-        *kept,
+        *numbered.kept,
     )
-    counted = A.merge(attributes, map_of({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")}))
+    counted = A.merge(numbered.attributes, map_of({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")}))
     nothing = F.lit(0).cast("bigint")
     routes = F.array(
         F.struct(
@@ -146,6 +172,6 @@ def consume_records(
         ),
     )
     routed = runs.select(
-        *within, F.col("run").alias("bundle_no"), "first_off", "last_off", F.inline(routes)
+        *numbered.within, F.col("run").alias("bundle_no"), "first_off", "last_off", F.inline(routes)
     ).where((F.col("relationship") == C.PARSE_FAILURE) & (F.col("message_count") > 0) | (F.col("record_count") > 0))
     return conform(routed.withColumn("consumer_id", F.lit(sub.consumer_id)), BUNDLE_SCHEMA)

@@ -35,9 +35,16 @@ class Published:
 
 
 def publish_bytes(
-    bundles: DataFrame, target: Target, key: str | None = None, demarcator: str | None = None
+    bundles: DataFrame,
+    target: Target,
+    key: str | None = None,
+    demarcator: str | None = None,
+    ends: DataFrame | None = None,
 ) -> Published:
-    """The raw publisher: each token of a bundle's content is a message."""
+    """The raw publisher: each token of a bundle's content is a message.
+
+    Offsets of a topic go on from ``ends`` (topic, next_off), a small stored table.
+    """
     addressed = publish.with_properties(
         publish.with_key(publish.with_topic(bundles, target.topic), key), target.properties
     )
@@ -47,7 +54,7 @@ def publish_bytes(
         sent = F.size(P.tokens(F.col("content"), mark))
     else:
         sent = F.lit(1)
-    placed = publish.assign_offsets(routed.where(F.col("relationship") == C.SUCCESS), sent)
+    placed = publish.assign_offsets(routed.where(F.col("relationship") == C.SUCCESS), sent, ends=ends)
     cut = publish.split(placed, demarcator)
     return Published(_as_messages(cut, target), audit.publish_counts(routed, sent))
 
@@ -61,16 +68,17 @@ def publish_records(
     key_field: str | None = None,
     partial: str = "none",
     options: dict[str, str] | None = None,
+    ends: DataFrame | None = None,
 ) -> Published:
     """The record publisher: each record of a bundle's content is a message.
 
-    Keys come from a record field alone, never from the bundle.
+    Keys come from a record field alone, never from the bundle. ``ends`` as above.
     """
     addressed = publish.with_properties(publish.with_topic(bundles, target.topic), target.properties)
     parsed = records.parse(addressed, schema, reader, options, data="content")
     routed = publish.route(parsed, partial)
     sent = F.size("records")
-    placed = publish.assign_offsets(routed.where(sent > 0), sent)
+    placed = publish.assign_offsets(routed.where(sent > 0), sent, ends=ends)
     cut = publish.explode_records(placed, schema, writer, key_field)
     return Published(_as_messages(cut, target), audit.publish_counts(routed, sent).drop("records"))
 

@@ -31,8 +31,12 @@ def subscribed(topics: str | None = None, pattern: str | None = None) -> Column:
 def read_topics(
     spark: SparkSession, path: str, topics: str | None = None, pattern: str | None = None
 ) -> DataFrame:
-    """The messages of the subscribed topics."""
-    return spark.read.schema(MESSAGE_SCHEMA).parquet(path).where(subscribed(topics, pattern))
+    """The messages of the subscribed topics.
+
+    Folders above ``topic``, as streamed publishers write per poll, are no part of a message.
+    """
+    found = spark.read.schema(MESSAGE_SCHEMA).parquet(path).where(subscribed(topics, pattern))
+    return found.select(*MESSAGE_SCHEMA.names)
 
 
 def consumer_identity(

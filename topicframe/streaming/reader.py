@@ -30,4 +30,5 @@ def stream_topics(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return start_position(reader.parquet(path).where(subscribed(topics, pattern)), at_subscribe, start)
+    found = reader.parquet(path).where(subscribed(topics, pattern)).select(*MESSAGE_SCHEMA.names)
+    return start_position(found, at_subscribe, start)

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
+from ..plans.publish import Published
+from ..schema import MESSAGE_SCHEMA
+from ..sinks.tables import write_messages
 from ..workspace import safe_name, shared_dir
 
 
@@ -43,6 +47,17 @@ def run(
             written = batch.sparkSession.read.parquet(out)
             acknowledge(written).write.mode("overwrite").parquet(f"{acks}/poll={number}")
 
+    drain(stream, commit, checkpoint, poll, timeout_seconds)
+
+
+def drain(
+    stream: DataFrame,
+    commit: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    poll: str | None = None,
+    timeout_seconds: float | None = None,
+) -> None:
+    """Hand each poll to ``commit``; the checkpoint moves on when it returns."""
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)
     query = writer.start()
@@ -53,6 +68,49 @@ def run(
             query.stop()
 
 
+def publish(
+    bundles: DataFrame,
+    publisher: Callable[[DataFrame, DataFrame], Published],
+    table: str,
+    state: str,
+    checkpoint: str,
+    failures: str | None = None,
+    compression: str = "NONE",
+    poll: str | None = None,
+    timeout_seconds: float | None = None,
+) -> None:
+    """Publish a stream of bundles into a topic table.
+
+    ``publisher`` gets a poll and the topics' ends and gives what to publish. A poll's
+    messages, its failed bundles and the new ends are folders of its own, so that a repeated
+    poll replaces itself with the same offsets. Ends are taken from the messages as written.
+    """
+
+    def commit(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        ends = _ends(spark, state, number)
+        published = publisher(batch, ends)
+        out = f"{table}/poll={number}"
+        write_messages(published.messages, out, compression, mode="overwrite")
+        if failures:
+            failed = published.bundles.where(F.col("relationship") != C.SUCCESS)
+            failed.write.mode("overwrite").parquet(f"{failures}/poll={number}")
+        written = spark.read.schema(MESSAGE_SCHEMA).parquet(out)
+        reached = written.select("topic", (F.col("off") + 1).alias("next_off")).unionByName(ends)
+        merged = reached.groupBy("topic").agg(F.max("next_off").alias("next_off"))
+        merged.write.mode("overwrite").parquet(f"{state}/poll={number}")
+
+    drain(bundles, commit, checkpoint, poll, timeout_seconds)
+
+
+def _ends(spark: SparkSession, state: str, number: int) -> DataFrame:
+    """Where each topic's next message goes, as the poll before left it."""
+    schema = "topic string, next_off bigint"
+    if number == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{state}/poll={number - 1}")
+
+
 def acknowledged(acks: DataFrame) -> DataFrame:
     """Cursors from the acknowledgements of all polls."""
     return acks.groupBy("consumer_id", "topic", "part").agg(F.max("position").alias("position"))
