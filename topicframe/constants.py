@@ -37,11 +37,10 @@ DEFAULT_DEMARCATOR = "\n"
 DEFAULT_RECEIVE_BATCH = 1000
 DEFAULT_PUBLISH_BATCH_MESSAGES = 1000
 DEFAULT_PUBLISH_BATCH_BYTES = 131072
-DEFAULT_PUBLISH_BATCH_INTERVAL = "10 milliseconds"
+DEFAULT_PUBLISH_BATCH_MILLISECONDS = 10
 DEFAULT_SENDS_PER_FLUSH = 100
 DEFAULT_CHUNK_BYTES = 536870912
 DEFAULT_ACK_TIMEOUT_SECONDS = 30
 MINIMUM_ACK_TIMEOUT_SECONDS = 10
 DEFAULT_CHUNK_EXPIRY_SECONDS = 60
 DEFAULT_PENDING_CHUNKED = 10
-DEFAULT_PARTITION_REFRESH = "1 minute"

@@ -156,7 +156,7 @@ def assign_batches(
     df: DataFrame,
     max_messages: int = C.DEFAULT_PUBLISH_BATCH_MESSAGES,
     max_bytes: int = C.DEFAULT_PUBLISH_BATCH_BYTES,
-    interval: timedelta = timedelta(milliseconds=10),
+    interval: timedelta = timedelta(milliseconds=C.DEFAULT_PUBLISH_BATCH_MILLISECONDS),
     within: Sequence[str] = ("topic", "part", "batch_no"),
     order: str = "off",
     sends_per_flush: int | None = C.DEFAULT_SENDS_PER_FLUSH,

@@ -21,8 +21,13 @@ def parse(
     options: dict[str, str] | None = None,
     data: str = "data",
 ) -> DataFrame:
-    """Add ``records``, all records of the payload, malformed ones marked in ``_corrupt``."""
-    return df.withColumn("records", codecs.read_records(F.col(data), schema, fmt, options))
+    """Add ``records``, all records of the payload, malformed ones marked in ``_corrupt``.
+
+    The optimizer copies a column's expression into every filter it pushes below, and would
+    parse again there. What a generator puts out is not copied, so the column is made by one.
+    """
+    read = codecs.read_records(F.col(data), schema, fmt, options)
+    return df.select("*", F.inline(F.array(F.struct(read.alias("records")))))
 
 
 def explode(df: DataFrame, records: str = "records") -> DataFrame:

@@ -78,7 +78,7 @@ def publish_records(
     parsed = records.parse(addressed, schema, reader, options, data="content")
     routed = publish.route(parsed, partial)
     sent = F.size("records")
-    placed = publish.assign_offsets(routed.where(sent > 0), sent, ends=ends)
+    placed = publish.assign_offsets(routed, sent, ends=ends)
     cut = publish.explode_records(placed, schema, writer, key_field)
     return Published(_as_messages(cut, target), audit.publish_counts(routed, sent).drop("records"))
 
