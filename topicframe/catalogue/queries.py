@@ -29,6 +29,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONSUMER = "events-audit"
 BROKER = "broker://local"
 MARK = "***"
+# what a broker would know beside the log: when the subscription was made, how far it got,
+# and which messages were acknowledged (here those with a key)
+SUBSCRIBED = "publish_time < timestamp '2024-01-15 00:00:00'"
+PROCESSED = "publish_time < timestamp '2024-01-25 00:00:00'"
+ACKED = "key is not null"
+OPEN = "key is null"
 REGISTRY: dict[str, Query] = {}
 
 
@@ -149,7 +155,7 @@ def topic_pattern(spark, sf_dir):
 @query
 def start_position(spark, sf_dir):
     log = V.messages(spark, sf_dir)
-    ends = hold(topics.snapshot(log.where("off <= 5000")), "snapshot")
+    ends = hold(topics.snapshot(log.where(SUBSCRIBED)), "snapshot")
     return _union(
         [
             topics.start_position(log, ends, start)
@@ -165,7 +171,7 @@ def start_position(spark, sf_dir):
 def resume_cursor(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     identity = topics.consumer_identity("audit", topics="all-events")
-    earlier = topics.snapshot(log.where("off < 8000"))
+    earlier = topics.snapshot(log.where(PROCESSED))
     cursors = hold(earlier.withColumn("consumer_id", F.lit(identity)), "cursors")
     return (
         topics.resume(log, cursors, identity)
@@ -446,7 +452,8 @@ def prefix_keep(spark, sf_dir):
 
 @query
 def schema_failures(spark, sf_dir):
-    log = V.messages(spark, sf_dir).withColumn("schema_def", F.when(F.col("off") % 41 != 0, F.col("schema_def")))
+    known = F.col("properties").getItem("tier").isNotNull()
+    log = V.messages(spark, sf_dir).withColumn("schema_def", F.when(known, F.col("schema_def")))
     return records.route_schema(log).groupBy("topic", "relationship").agg(_n(), F.sum("off").alias("off_sum"))
 
 
@@ -570,13 +577,13 @@ def individual_acks(spark, sf_dir):
 
 
 def _acked(log: DataFrame) -> DataFrame:
-    return delivery.individual_acks(log.where("off % 7 <> 0"), CONSUMER)
+    return delivery.individual_acks(log.where(ACKED), CONSUMER)
 
 
 @query
 def backlog(spark, sf_dir):
     log = V.messages(spark, sf_dir)
-    cursors = hold(topics.snapshot(log.where("off < 8000")), "cursors")
+    cursors = hold(topics.snapshot(log.where(PROCESSED)), "cursors")
     forms = {
         "cursor": delivery.backlog(log, cursors=cursors),
         "singly": delivery.backlog(log, acks=_acked(log)),
@@ -612,7 +619,7 @@ def due_for_redelivery(spark, sf_dir):
 @query
 def dedupe(spark, sf_dir):
     log = V.messages(spark, sf_dir)
-    twice = log.unionByName(log.where("off % 7 = 0"))
+    twice = log.unionByName(log.where(OPEN))
     return delivery.dedupe(twice).groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"), _checksum("data"))
 
 
@@ -706,7 +713,7 @@ def commit_replay(spark, sf_dir):
 @query
 def stream_dedupe(spark, sf_dir):
     path = _staged(spark, sf_dir)
-    tables.write_messages(V.messages(spark, sf_dir).where("off % 7 = 0"), path)
+    tables.write_messages(V.messages(spark, sf_dir).where(OPEN), path)
     once = stateful.dedupe(reader.stream_topics(spark, path, pattern=".*"), "100 days")
     kept = _drained(spark, once.select("topic", "off"), lambda poll: poll, "stream-dedupe")
     return kept.groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"))
@@ -717,7 +724,7 @@ def stream_redelivery(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     sent, acked = fresh_path(spark, "sent"), fresh_path(spark, "acked")
     tables.write_messages(log, sent)
-    tables.write_messages(log.where("off % 7 <> 0"), acked)
+    tables.write_messages(log.where(ACKED), acked)
     delivered = reader.stream_topics(spark, sent, pattern=".*").withColumnRenamed("publish_time", "delivered_at")
     acks = reader.stream_topics(spark, acked, pattern=".*").withColumnRenamed("publish_time", "acked_at")
     due = stateful.due_for_redelivery(delivered, acks, 86400)
