@@ -2,7 +2,8 @@ import datetime as dt
 
 import pytest
 
-from topicframe.operators import delivery
+from topicframe import constants as C
+from topicframe.operators import audit, delivery
 from topicframe.plans.consume import Subscription, consume_bytes
 from topicframe.plans.publish import Target, publish_bytes
 from topicframe.sinks.tables import write_messages
@@ -11,13 +12,30 @@ from topicframe.streaming import reader, runner, stateful
 from topicframe.workspace import fresh_path, shared_dir
 
 
+SUB = Subscription("c", subscription_type=C.FAILOVER)
+
+
 def _pipeline(poll):
-    return consume_bytes(poll, Subscription("c"), drop_empty=False)
+    return consume_bytes(poll, SUB, drop_empty=False)
 
 
-def _run(spark, path, sink, acks, checkpoint, **options):
+def _run(spark, path, sink, acks, checkpoint, sub=SUB, **options):
     stream = reader.stream_topics(spark, path, pattern=".*", **options)
-    runner.run(stream, _pipeline, sink, checkpoint, acks, delivery.cumulative_acks)
+    runner.run(stream, _pipeline, sink, checkpoint, acks, sub.acknowledge)
+
+
+def test_a_shared_subscription_acknowledges_each_message(spark, log):
+    path, sink, acks, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "acks", "checkpoint"))
+    messages = log([{"data": str(i), "off": 3 * i} for i in range(5)])
+    write_messages(messages, path)
+    _run(spark, path, sink, acks, checkpoint, Subscription("c"))
+    assert sorted(r.off for r in spark.read.parquet(acks).collect()) == [0, 3, 6, 9, 12]
+    assert delivery.backlog(messages, spark.read.parquet(acks)).count() == 0
+    (receipt,) = audit.receipts(spark.read.parquet(sink), "broker://x").collect()
+    assert (receipt.messages, receipt.first_off, receipt.last_off) == (5, 0, 12)
+    assert receipt.transit_uri == "broker://x/t"
+    with pytest.raises(ValueError):
+        delivery.acknowledger("Other", "c")
 
 
 def test_resume_adds_only_what_is_new(spark, log):
@@ -38,7 +56,7 @@ def test_a_crash_between_output_and_commit_replays(spark, log):
     path, sink, acks, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "acks", "checkpoint"))
     write_messages(log([{"data": str(i)} for i in range(4)]), path)
 
-    def failing(_):
+    def failing(bundles, messages):
         raise RuntimeError("lost before the acknowledgement")
 
     stream = reader.stream_topics(spark, path, pattern=".*")

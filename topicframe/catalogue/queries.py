@@ -695,15 +695,11 @@ def stream_topics(spark, sf_dir):
 def commit_replay(spark, sf_dir):
     path, sink, acks = _staged(spark, sf_dir), fresh_path(spark, "replay"), fresh_path(spark, "replay-acks")
     identity = fresh_path(spark, topics.consumer_identity("audit", pattern=".*", consumer_name="replay"))
+    sub = _subscription(subscription_type=C.EXCLUSIVE)
     for _ in range(2):
         stream = reader.stream_topics(spark, path, pattern=".*", max_files=8)
         runner.run(
-            stream,
-            lambda poll: consume.consume_bytes(poll, _subscription(), drop_empty=False),
-            sink,
-            identity,
-            acks,
-            delivery.cumulative_acks,
+            stream, lambda poll: consume.consume_bytes(poll, sub, drop_empty=False), sink, identity, acks, sub.acknowledge
         )
     bundles = spark.read.parquet(sink).groupBy("topic", "part").agg(F.sum("message_count").alias("n"))
     cursors = runner.acknowledged(spark.read.parquet(acks)).select("topic", "part", "position")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,17 @@ def individual_acks(df: DataFrame, consumer_id: str) -> DataFrame:
     return df.select(F.lit(consumer_id).alias("consumer_id"), *MESSAGE)
 
 
+def acknowledger(
+    subscription_type: str, consumer_id: str
+) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """How a subscription acknowledges, given the bundles it wrote and the messages they are from."""
+    if subscription_type not in C.SUBSCRIPTION_TYPES:
+        raise ValueError(f"unknown subscription type {subscription_type!r}; use one of {C.SUBSCRIPTION_TYPES}")
+    if acknowledges_singly(subscription_type):
+        return lambda bundles, messages: individual_acks(messages, consumer_id)
+    return lambda bundles, messages: cumulative_acks(bundles)
+
+
 def backlog(df: DataFrame, acks: DataFrame | None = None, cursors: DataFrame | None = None) -> DataFrame:
     """Messages still to be acknowledged: beyond the cursor, and not acknowledged singly."""
     left = df

@@ -13,7 +13,7 @@ from .. import constants as C
 from ..functions import attributes as A
 from ..functions import payload as P
 from ..functions.mapping import map_of
-from ..operators import bundling, records
+from ..operators import bundling, delivery, records
 from ..operators.receive import LOG, SEGMENT, assign_receive_batches
 from ..schema import BUNDLE_SCHEMA, conform
 
@@ -33,6 +33,14 @@ class Subscription:
     scope: str = "mapped"
     by: Sequence[str] = LOG
     segment: int | None = SEGMENT
+    subscription_type: str = C.SHARED
+
+    def acknowledge(self, bundles: DataFrame, messages: DataFrame) -> DataFrame:
+        """Acknowledgements for messages whose bundles are written.
+
+        Where they are cumulative, empty bundles must be among them (``drop_empty=False``).
+        """
+        return delivery.acknowledger(self.subscription_type, self.consumer_id)(bundles, messages)
 
     def batches(self, messages: DataFrame) -> tuple[DataFrame, list[str]]:
         """The messages in receive batches, and the columns that name a batch."""

@@ -25,7 +25,7 @@ def run(
     sink: str,
     checkpoint: str,
     acks: str | None = None,
-    acknowledge: Callable[[DataFrame], DataFrame] | None = None,
+    acknowledge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
     poll: str | None = None,
     timeout_seconds: float | None = None,
@@ -33,8 +33,9 @@ def run(
     """Apply ``pipeline`` to each poll and write the result under ``sink``.
 
     Every poll has its own folder, named by its number and overwritten if the poll is
-    repeated after a failure, so a replay leaves no duplicates. Acknowledgements are derived
-    from what was written, after it was written; then the checkpoint moves on.
+    repeated after a failure, so a replay leaves no duplicates. Acknowledgements are made of
+    what was written and the poll's messages once the output is there; then the checkpoint
+    moves on.
 
     Without ``poll`` the stream is drained and the call returns; with it (say ``2 seconds``)
     the stream is polled until ``timeout_seconds`` have passed, or for good.
@@ -45,7 +46,7 @@ def run(
         pipeline(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(out)
         if acks and acknowledge:
             written = batch.sparkSession.read.parquet(out)
-            acknowledge(written).write.mode("overwrite").parquet(f"{acks}/poll={number}")
+            acknowledge(written, batch).write.mode("overwrite").parquet(f"{acks}/poll={number}")
 
     drain(stream, commit, checkpoint, poll, timeout_seconds)
 
