@@ -83,7 +83,19 @@ def test_latest_starts_behind_the_snapshot(spark, log):
 
 def test_one_bound_per_poll(spark):
     with pytest.raises(ValueError):
-        reader.stream_topics(spark, "/nowhere", "t", max_files=1, max_bytes="1m")
+        reader.stream_topics(spark, "/nowhere", "t", max_files=1, max_bytes=1_000_000)
+    with pytest.raises(ValueError):
+        reader.stream_bundles(spark, "/nowhere", max_files=1, max_bytes=1_000_000)
+
+
+def test_a_poll_can_be_bounded_by_bytes(spark, log):
+    path, sink = fresh_path(spark, "log"), fresh_path(spark, "sink")
+    for i in range(3):
+        write_messages(log([{"off": i}]), path)
+    stream = reader.stream_topics(spark, path, "t", max_bytes=1000)
+    runner.run(stream, lambda poll: poll.select("off"), sink, fresh_path(spark, "checkpoint"))
+    polls = spark.read.parquet(sink).groupBy("poll").count().collect()
+    assert len(polls) == 3 and sum(r["count"] for r in polls) == 3
 
 
 def test_checkpoint_follows_identity(spark, log):
@@ -129,12 +141,10 @@ def test_streamed_redelivery_equals_batch(spark, log):
 
 
 def _publish(spark, source, table, state, checkpoint, failures=None, publisher=None):
-    stored = spark.read.parquet(source).schema
-
     def split(poll, ends):
         return publish_bytes(poll, Target("${t}"), demarcator="\n", ends=ends)
 
-    stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = reader.stream_bundles(spark, source, max_files=1)
     runner.publish(stream, publisher or split, table, state, checkpoint, failures)
 
 

@@ -741,9 +741,8 @@ def stream_chunks(spark, sf_dir):
 def stream_publish(spark, sf_dir):
     source, table = fresh_path(spark, "bundles"), fresh_path(spark, "streamed-topics")
     V.documents(spark, sf_dir).repartition(4, "bundle_id").write.parquet(source)
-    stored = spark.read.parquet(source)
     runner.publish(
-        spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 2).parquet(source),
+        reader.stream_bundles(spark, source, max_files=2),
         lambda poll, ends: publishers.publish_bytes(
             poll, publishers.Target("${topic}", partitions=4), demarcator="\n", ends=ends
         ),

@@ -1,4 +1,4 @@
-"""The two envelopes every operator reads and writes."""
+"""The envelopes operators read and write."""
 
 from __future__ import annotations
 
@@ -42,6 +42,15 @@ BUNDLE_SCHEMA = T.StructType(
     ]
 )
 
+# One row per bundle a publisher takes. ``bundle_id`` is unique and gives the sending order.
+OUTGOING_SCHEMA = T.StructType(
+    [
+        T.StructField("bundle_id", T.LongType(), False),
+        T.StructField("attributes", _ATTRIBUTES),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the envelope columns in order; columns ``df`` lacks become typed nulls."""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StructType
 
-from ..schema import MESSAGE_SCHEMA
+from ..schema import MESSAGE_SCHEMA, OUTGOING_SCHEMA
 from ..sources.topics import start_position, subscribed
 
 
@@ -16,19 +18,31 @@ def stream_topics(
     start: str = "earliest",
     at_subscribe: DataFrame | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Messages of the subscribed topics as they are added to the table.
 
     A trigger is one poll; ``max_files`` or ``max_bytes`` bound it. The folder is listed
     again at each trigger, so partitions and topics added later are picked up.
     """
+    found = _bounded(spark, MESSAGE_SCHEMA, max_files, max_bytes).parquet(path)
+    found = found.where(subscribed(topics, pattern)).select(*MESSAGE_SCHEMA.names)
+    return start_position(found, at_subscribe, start)
+
+
+def stream_bundles(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Bundles for a publisher as they are added to a table of them."""
+    return _bounded(spark, OUTGOING_SCHEMA, max_files, max_bytes).parquet(path).select(*OUTGOING_SCHEMA.names)
+
+
+def _bounded(spark: SparkSession, schema: StructType, max_files: int | None, max_bytes: int | None) -> DataStreamReader:
     if max_files and max_bytes:
         raise ValueError("bound a poll by files or by bytes, not both")
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    found = reader.parquet(path).where(subscribed(topics, pattern)).select(*MESSAGE_SCHEMA.names)
-    return start_position(found, at_subscribe, start)
+    return reader

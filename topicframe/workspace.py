@@ -6,6 +6,7 @@ import hashlib
 import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_KEY} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="topicframe-")
-    spark.conf.set(_KEY, made)
-    return made
+    return _private_dir()
+
+
+@cache
+def _private_dir() -> str:
+    return tempfile.mkdtemp(prefix="topicframe-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
