@@ -171,7 +171,8 @@ def test_random_logs_against_a_fold(log, seed):
     for segment in (None, 10**6):
         sub = Subscription("c", mapping="p", demarcator="**", max_messages=size, segment=segment)
         got = consume_bytes(log(rows), sub, drop_empty=False).collect()
-        assert sorted((b.topic, b.part, bytes(b.content), b.message_count, b.last_off) for b in got) == _fold(rows, size, b"**")
+        bundles = sorted((b.topic, b.part, bytes(b.content), b.message_count, b.last_off) for b in got)
+        assert bundles == _fold(rows, size, b"**")
 
 
 def test_acknowledgements(log):
@@ -185,7 +186,7 @@ def test_acknowledgements(log):
 
 def test_failures_are_joined_whole(log):
     messages = log([{"data": "message"}, {"data": "message"}, {"data": "fine"}])
-    flagged = messages.withColumn("batch_no", F.lit(0)).withColumn("run", F.lit(1)).withColumn("failed", F.col("off") < 2)
+    flagged = messages.withColumns({"batch_no": F.lit(0), "run": F.lit(1), "failed": F.col("off") < 2})
     (only,) = bundling.failures(flagged, "***").collect()
     assert bytes(only.content) == b"message***message" and only.relationship == C.PARSE_FAILURE
     assert (only.failed_count, only.first_off, only.last_off) == (2, 0, 1)

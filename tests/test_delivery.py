@@ -151,6 +151,6 @@ def test_pending_cap(log, auto_ack, action, by):
 
 def test_dead_letters_come_back(spark, log):
     path = fresh_path(spark, "test-dead")
-    bad = log([{"data": "x"}, {"data": "y", "topic": "a/b"}]).select("topic", "off", "data", F.lit(C.FAILURE).alias("relationship"))
+    bad = log([{"data": "x"}, {"data": "y", "topic": "a/b"}]).withColumn("relationship", F.lit(C.FAILURE))
     dead_letter(bad, path)
     assert _offs(spark.read.parquet(path).where(F.col("relationship") == C.FAILURE)) == [("a/b", 1), ("t", 0)]

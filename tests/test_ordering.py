@@ -33,7 +33,8 @@ def test_running_total_equals_a_fold(spark, seed, span):
 
 
 def test_ordinal_with_ties(spark):
-    df = spark.createDataFrame([(0, "b"), (0, "a"), (5, "a"), (9, "c")], "off bigint, topic string").withColumn("part", F.lit(1))
+    rows = [(0, "b", 1), (0, "a", 1), (5, "a", 1), (9, "c", 1)]
+    df = spark.createDataFrame(rows, "off bigint, topic string, part int")
     got = {(r.off, r.topic): r.ordinal for r in ordinal(df, ["part"], ties=["topic"], span=2).collect()}
     assert got == {(0, "a"): 0, (0, "b"): 1, (5, "a"): 2, (9, "c"): 3}
 

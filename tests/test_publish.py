@@ -153,7 +153,9 @@ def test_json_records(bundles, copies):
 
 
 def test_key_field_types(spark):
-    df = spark.sql("select 7L as n, cast('by' as binary) as b, array(cast(104 as tinyint), cast(-61 as tinyint), cast(-87 as tinyint)) as a, true as t, cast(null as string) as z")
+    df = spark.sql(
+        """select 7L as n, cast('by' as binary) as b, array(104Y, -61Y, -87Y) as a, true as t, cast(null as string) as z"""
+    )
     got = {f: publish.with_key_field(df, f).first().key for f in "nbatz"}
     assert got == {"n": "7", "b": "by", "a": "hé", "t": "true", "z": None}
 

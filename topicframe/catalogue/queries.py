@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import attributes as A
 from ..functions import codecs
-from ..functions import payload as P
 from ..functions.templates import render
 from ..operators import audit, bundling, chunking, delivery, publish, records
 from ..operators.receive import assign_receive_batches
@@ -466,7 +465,9 @@ def publish_routes(spark, sf_dir):
 @query
 def publish_record_routes(spark, sf_dir):
     bundles = V.many_record_messages(spark, sf_dir).select(
-        F.col("off").alias("bundle_id"), F.create_map(F.lit("t"), "topic").alias("attributes"), F.col("data").alias("content")
+        F.col("off").alias("bundle_id"),
+        F.create_map(F.lit("t"), "topic").alias("attributes"),
+        F.col("data").alias("content"),
     )
 
     def counted(partial: str) -> DataFrame:
@@ -628,7 +629,10 @@ def dispatch(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     return _union(
         [
-            delivery.dispatch(log, 4, mode).groupBy("consumer").agg(_n(), F.sum("off").alias("off_sum")).withColumn("mode", F.lit(mode))
+            delivery.dispatch(log, 4, mode)
+            .groupBy("consumer")
+            .agg(_n(), F.sum("off").alias("off_sum"))
+            .withColumn("mode", F.lit(mode))
             for mode in C.SUBSCRIPTION_TYPES
         ]
     )

@@ -18,7 +18,7 @@ BATCH = ("topic", "part", "batch_no")
 
 def by_topic(df: DataFrame, within: Sequence[str]) -> DataFrame:
     """Position of each message among those of its topic inside a batch that mixes topics."""
-    window = Window.partitionBy(*within, "topic").orderBy("off")
+    window = Window.partitionBy(*reversed(within), "topic").orderBy("off")
     return df.withColumn("topic_pos", F.row_number().over(window).cast("bigint"))
 
 
@@ -42,7 +42,8 @@ def runs(df: DataFrame, key: Column, within: Sequence[str] = BATCH, order: str =
     Equal keys that are not neighbours are different runs. ``seq`` numbers the messages of
     the batch.
     """
-    window = Window.partitionBy(*within).orderBy(order)
+    # sorting compares the batch number before the topic's name
+    window = Window.partitionBy(*reversed(within)).orderBy(order)
     return (
         df.withColumn("_key", key)
         .withColumn("seq", F.row_number().over(window).cast("bigint"))
@@ -73,7 +74,7 @@ def concat(
     mark = P.byte_length(demarcator)
     grouped = (
         df.withColumn("_data", F.coalesce("data", F.lit("").cast("binary")))
-        .groupBy(*within, "run")
+        .groupBy("run", *reversed(within))
         .agg(
             P.joined("_data", demarcator, "seq").alias("_joined"),
             (F.min(F.when(P.is_filled(), F.col("seq"))) - F.min("seq")).alias("_ahead"),
@@ -103,7 +104,7 @@ def failures(
     """One bundle per run of the messages flagged ``failed``, whole and joined in order."""
     return (
         df.where("failed")
-        .groupBy(*within)
+        .groupBy(*reversed(within))
         .agg(
             P.joined("data", demarcator, order).alias("content"),
             F.count("*").alias("failed_count"),

@@ -33,11 +33,12 @@ def running_total(
     ``order`` is a non-negative whole number; ``ties`` order rows that share it. With
     ``order`` unique per ``by`` a span holds at most ``span`` rows. ``by`` must not be null.
     """
-    keys = list(by)
+    # rows are sorted by these columns in turn; a topic's name is slowest to compare
+    keys = list(reversed(by))
     cut = df.withColumn("_value", value.cast("bigint")).withColumn("_span", F.expr(f"`{order}` div {span}"))
-    in_span = Window.partitionBy(*keys, "_span").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    in_span = Window.partitionBy("_span", *keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.join(_span_starts(cut, keys), [*keys, "_span"])
+        cut.join(_span_starts(cut, keys), ["_span", *keys])
         .withColumn(name, F.col("_start") + F.coalesce(F.sum("_value").over(in_span), F.lit(0)))
         .drop("_value", "_span", "_start")
     )
@@ -62,19 +63,19 @@ def _span_starts(cut: DataFrame, keys: list[str]) -> DataFrame:
     segmented = cut.withColumn("_segment", F.expr(f"_span div {_SPANS_PER_SEGMENT}")).where(
         "_span is not null and _segment is not null"
     )
-    spans = segmented.groupBy(*keys, "_segment", "_span").agg(F.sum("_value").alias("_total"))
+    spans = segmented.groupBy("_span", "_segment", *keys).agg(F.sum("_value").alias("_total"))
     before_span = (
-        Window.partitionBy(*keys, "_segment").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_segment", *keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     )
     before_segment = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     segments = (
-        spans.groupBy(*keys, "_segment")
+        spans.groupBy("_segment", *keys)
         .agg(F.sum("_total").alias("_segment_total"))
         .withColumn("_segment_start", F.coalesce(F.sum("_segment_total").over(before_segment), F.lit(0)))
         .drop("_segment_total")
     )
     return (
         spans.withColumn("_inner", F.coalesce(F.sum("_total").over(before_span), F.lit(0)))
-        .join(segments, [*keys, "_segment"])
+        .join(segments, ["_segment", *keys])
         .select(*keys, "_span", (F.col("_segment_start") + F.col("_inner")).alias("_start"))
     )

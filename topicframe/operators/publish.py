@@ -176,7 +176,7 @@ def assign_batches(
         raise ValueError("batching and chunking exclude each other")
     keys = list(within)
     if sends_per_flush:
-        window = Window.partitionBy(*keys).orderBy(order)
+        window = Window.partitionBy(*reversed(keys)).orderBy(order)
         df = df.withColumn("_rank", F.row_number().over(window) - 1)
         df = df.withColumn("flush_no", F.expr(f"_rank div {sends_per_flush}")).drop("_rank")
         keys.append("flush_no")
@@ -220,7 +220,7 @@ def assign_batches(
         )
 
     rest = [c for c in df.columns if c not in keys]
-    gathered = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    gathered = df.groupBy(*reversed(keys)).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
     steps = F.array_sort(F.transform("_rows", step))
     starts = F.aggregate(steps, begin, advance, lambda state: state["starts"])
     reached = F.size(F.filter("_starts", lambda start: start <= F.col(order)))

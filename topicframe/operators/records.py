@@ -98,7 +98,7 @@ def write(
     """
     return (
         df.withColumn("_written", written(F.col(records), fmt))
-        .groupBy(*within)
+        .groupBy(*reversed(within))
         .agg(
             F.expr(f"listagg(_written, X'') within group (order by {order})").alias("content"),
             F.sum(F.size(records)).alias("record_count"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -84,10 +84,10 @@ class Subscription:
         )
         if "" in columns:
             key = F.struct(A.entries(F.col(columns[""])).alias("entries"))
-            attributes = F.col(columns[""])
+            attributes = lambda added: A.merge(F.col(columns[""]), map_of(added))
         else:
             key = F.struct("topic", "_schema", *columns.values())
-            attributes = map_of({name: F.col(column) for name, column in columns.items()})
+            attributes = lambda added: map_of({**{n: F.col(c) for n, c in columns.items()}, **added})
         cut, within = self.batches(narrow)
         if records and "topic" not in within:
             within = [*within, "topic"]
@@ -98,12 +98,13 @@ class Subscription:
 
 @dataclass(frozen=True)
 class _Runs:
-    """Messages with their run; what names a batch; aggregates that keep the attributes; their map."""
+    """Messages with their run; what names a batch; aggregates that keep the attributes; and the
+    map of those and any added ones, which win."""
 
     messages: DataFrame
     within: list[str]
     kept: list[Column]
-    attributes: Column
+    attributes: Callable[[dict[str, Column]], Column]
 
 
 def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = True) -> DataFrame:
@@ -116,7 +117,7 @@ def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = Tru
     bundles = bundling.concat(
         runs.messages, sub.demarcator, runs.within, drop_empty, extra=[topic.alias("_topic"), *runs.kept]
     )
-    counted = A.merge(runs.attributes, map_of({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")}))
+    counted = runs.attributes({C.MESSAGE_COUNT_ATTRIBUTE: F.col("message_count")})
     named = (
         bundles.withColumn("topic", F.col("_topic"))
         .withColumn("consumer_id", F.lit(sub.consumer_id))
@@ -151,7 +152,7 @@ def consume_records(
     rewritten = parsed.withColumn("_written", records.written(F.col("kept"), writer)).withColumn(
         "_bad", F.when(F.col("failed"), F.col("data"))
     )
-    runs = rewritten.groupBy(*numbered.within, "run").agg(
+    runs = rewritten.groupBy("run", *reversed(numbered.within)).agg(
         F.expr("listagg(_written, X'') within group (order by off)").alias("_good"),
         P.joined("_bad", sub.demarcator, "off").alias("_failed"),
         F.sum(F.size("kept")).alias("record_count"),
@@ -161,7 +162,7 @@ def consume_records(
         F.max("off").alias("last_off"),
         *numbered.kept,
     )
-    counted = A.merge(numbered.attributes, map_of({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")}))
+    counted = numbered.attributes({C.RECORD_COUNT_ATTRIBUTE: F.col("record_count")})
     nothing = F.lit(0).cast("bigint")
     routes = F.array(
         F.struct(
