@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 import pytest
+from topicframe.catalogue.queries import REGISTRY
 
 from .compare import connect, differences
 
@@ -13,7 +14,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_its_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert differences(df, duck, entry.oracle_sql()[name]) == []
@@ -25,4 +26,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) <= set(entry.oracle_sql())
