@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_lengths, token_orc
+from . import simhash_bk, token_lengths, token_orc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_simhash_bk(spark, sf_dir):
+    return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_length_histogram(spark, sf_dir):
     return token_lengths.limits(token_lengths.histogram(table(spark, sf_dir, "documents")))
