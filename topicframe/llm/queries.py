@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash_bk, token_lengths, token_orc
+from . import simhash_bk, super_kmers, token_lengths, token_orc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,12 @@ def op4_simhash_bk(spark, sf_dir):
     return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_super_kmers(spark, sf_dir):
+    removed = super_kmers.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op7_length_histogram(spark, sf_dir):
     return token_lengths.limits(token_lengths.histogram(table(spark, sf_dir, "documents")))

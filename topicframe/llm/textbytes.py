@@ -114,9 +114,8 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every k consecutive hashes, by doubling; shorter than the input by k - 1."""
-    base = _U(0xD6E8FEB86659FD93)
-    have, out, rest, scale = 0, None, k, None
-    part, width, factor = h, 1, base
+    have, out, rest = 0, None, k
+    part, width, factor = h, 1, 0xD6E8FEB86659FD93
     while rest:
         if rest & 1:
             if out is None:
@@ -125,14 +124,14 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
                 n = len(h) - have - width + 1
                 if n <= 0:
                     return np.zeros(0, _U)
-                out = out[:n] * factor + part[have : have + n]
+                out = out[:n] * _U(factor) + part[have : have + n]
                 have += width
         rest >>= 1
         if rest:
             n = len(part) - width
             if n <= 0:
                 return np.zeros(0, _U)
-            part, width, factor = part[:n] * factor + part[width : width + n], width * 2, factor * factor
+            part, width, factor = part[:n] * _U(factor) + part[width : width + n], width * 2, factor * factor & _MASK
     return mix(out)
 
 
