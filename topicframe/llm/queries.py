@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_bk, super_kmers, token_lengths, token_orc
+from . import run_length_index, simhash_bk, super_kmers, token_lengths, token_orc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_run_length_bwt(spark, sf_dir):
+    removed = run_length_index.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_simhash_bk(spark, sf_dir):
     return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
