@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import hold
 from . import run_length_index, simhash_bk, super_kmers, token_lengths, token_orc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,7 +42,8 @@ def op6_super_kmers(spark, sf_dir):
 
 @query
 def op7_length_histogram(spark, sf_dir):
-    return token_lengths.limits(token_lengths.histogram(table(spark, sf_dir, "documents")))
+    lengths = hold(token_lengths.histogram(table(spark, sf_dir, "documents")), "token-lengths")
+    return token_lengths.limits(lengths)
 
 
 @query

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .encoder import default_vocabulary, encoder
 
 #: lengths that share a bucket of the two-level sums
-BUCKET = 4096
+BUCKET = 64
 
 
 def _counted(vocabulary: str):
@@ -48,7 +48,8 @@ def limits(histogram: DataFrame) -> DataFrame:
     """One row a length L that occurs.
 
     docs_from, tokens_from: documents of at least L tokens and their tokens; docs_to, tokens_to:
-    those of at most L; truncated_tokens: what stays if every document is cut at L.
+    those of at most L; truncated_tokens: what stays if every document is cut at L. The histogram
+    is read twice; give it as a stored table, or texts are encoded twice.
     """
     bucket = F.floor(F.col("length") / BUCKET)
     lengths = histogram.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"), bucket.alias("bucket"))
