@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import hold
-from . import run_length_index, simhash_bk, super_kmers, token_lengths, token_orc
+from . import run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_winnowing(spark, sf_dir):
+    found = winnowing.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op2_run_length_bwt(spark, sf_dir):
     removed = run_length_index.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
