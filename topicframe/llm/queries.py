@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import hold
-from . import run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
+from . import divergence_rules, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +59,13 @@ def op7_length_histogram(spark, sf_dir):
     return token_lengths.limits(lengths)
 
 
+@query
+def op8_divergence_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = divergence_rules.judged(docs)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op10_token_orc(spark, sf_dir):
     return token_orc.written_digests(table(spark, sf_dir, "documents"))
