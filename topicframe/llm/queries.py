@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import hold
-from . import divergence_rules, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
+from . import attention_mil, divergence_rules, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,11 +42,25 @@ def op2_run_length_bwt(spark, sf_dir):
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op3_attention_mil(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = attention_mil.train(docs, table(spark, sf_dir, "labels"))
+    return attention_mil.scored(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op4_simhash_bk(spark, sf_dir):
     return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_noisy_channel(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = noisy_channel.train(docs, table(spark, sf_dir, "labels"))
+    return noisy_channel.scored(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op6_super_kmers(spark, sf_dir):
     removed = super_kmers.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
