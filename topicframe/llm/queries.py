@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import hold
-from . import attention_mil, divergence_rules, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
+from . import attention_mil, best_fit, divergence_rules, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,12 @@ def op8_divergence_rules(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op9_best_fit(spark, sf_dir):
+    pieces = hold(best_fit.lengths(table(spark, sf_dir, "documents")), "piece-lengths")
+    return best_fit.packed(pieces)
+
+
 @query
 def op10_token_orc(spark, sf_dir):
     return token_orc.written_digests(table(spark, sf_dir, "documents"))
