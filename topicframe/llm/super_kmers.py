@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +23,7 @@ from .shared_windows import Method, Tokens, judged
 from .textbytes import SPACED, blocks, covered, span_hashes, text_bytes, words
 
 WINDOW = 13
-GRAM = 3
+GRAM = 5
 
 
 def packed_words(raw: np.ndarray, off: np.ndarray) -> Tokens:
@@ -84,7 +85,7 @@ def method(window: int = WINDOW, gram: int = GRAM) -> Method:
 _RESULT = StructType().add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
 
 
-def _finish(window: int, kept_columns: list[str]):
+def _finish(window: int, kept_columns: list[str], verbatim: bool):
     def run(table: pa.Table, row: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Table:
         raw, off = text_bytes(table.column("text"))
         order = np.argsort(row, kind="stable")
@@ -110,18 +111,25 @@ def _finish(window: int, kept_columns: list[str]):
         out = {c: table.column(c) for c in kept_columns}
         out["n_words"] = pa.array(np.concatenate([*n_words, empty]))
         out["n_removed"] = pa.array(np.concatenate([*n_removed, empty]))
-        out["kept_text"] = pa.array(kept, pa.binary()).cast(pa.string())
+        text = pa.array(kept, pa.binary()).cast(pa.string())
+        if verbatim:
+            given = table.column("text").combine_chunks()
+            text = pc.if_else(pc.equal(out["n_removed"], 0), given, text)
+        out["kept_text"] = text
         return pa.table(out)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, others, n_words, n_removed, kept_text): others holds the remaining columns of docs."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, verbatim: bool = False) -> DataFrame:
+    """(doc_id, others, n_words, n_removed, kept_text): others holds the remaining columns of docs.
+
+    kept_text is the kept words joined by one space; verbatim: a text that keeps all stays as it is.
+    """
     kept = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")), F.lit(0).alias("_")).alias("others"),
     )
     schema = StructType([kept.schema["doc_id"], kept.schema["others"], *_RESULT])
-    return judged(kept, method(window, gram), _finish(window, ["doc_id", "others"]), schema)
+    return judged(kept, method(window, gram), _finish(window, ["doc_id", "others"], verbatim), schema)
