@@ -116,3 +116,17 @@ def rule_counts(text):
         if seen[tuple(w[k : k + 8])] > 1:
             repeat.update(range(k, k + 8))
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeat)
+
+
+def without_repeats(docs, size=13):
+    """{doc_id: kept words joined by one space}"""
+    first: dict = {}
+    words = {i: spaced(t) for i, t in docs}
+    for i in sorted(words):
+        for k in range(len(words[i]) - size + 1):
+            first.setdefault(tuple(words[i][k : k + size]), i)
+    out = {}
+    for i, w in words.items():
+        gone = {j for k in range(len(w) - size + 1) if first[tuple(w[k : k + size])] < i for j in range(k, k + size)}
+        out[i] = " ".join(x for k, x in enumerate(w) if k not in gone)
+    return out
