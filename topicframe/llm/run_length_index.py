@@ -8,10 +8,10 @@ runs of equal characters, cut also where a context that occurs more than once be
 run keeps its character, the rank of that character before it, and the sampled text position of
 its first row. In a repetitive text the runs are far fewer than the rows.
 
-Every string then streams backwards through the index: a step finds the run of the current row and
-maps to the row of the position before it. At each window the matching statistic (cut at 50)
-reaches its full length in the strings of the row's context, whose first row is a run's sampled
-head, and so names the smallest document with that window.
+Every string then streams backwards through the index, from the sampled row of its last window: a
+step finds the run of the current row and maps to the row of the byte before it, so that the
+matching statistic, cut at 50, stays at its full length. The first row of a context that occurs
+more than once is a run's sampled head, and names the smallest document with that window.
 
 Defined results: a null text is empty; a text under 50 bytes is kept whole; rows with the same
 doc_id never remove from each other; a row without doc_id is kept whole and removes nothing;
@@ -32,7 +32,7 @@ from .shared_windows import Method, Tokens, judged
 from .textbytes import blocks, covered, text_bytes
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 #: a byte that UTF-8 never has, behind every string
 _END = 0xFF
 
@@ -42,8 +42,21 @@ def byte_tokens(raw: np.ndarray, off: np.ndarray) -> Tokens:
     return Tokens(raw, at, at + 1, off, raw.astype(np.uint64) + np.uint64(1))
 
 
-def _numbered(key: np.ndarray) -> np.ndarray:
-    return np.unique(key, return_inverse=True)[1]
+def _numbered(key: np.ndarray, bits: int = 64) -> np.ndarray:
+    """The rank of each key among the distinct ones; keys of few bits are sorted with their places in the rest."""
+    low = max(1, len(key).bit_length())
+    if bits + low <= 63:
+        ordered = np.sort((key << low) | np.arange(len(key)))
+        order, ordered = ordered & ((1 << low) - 1), ordered >> low
+    else:
+        order = np.argsort(key)
+        ordered = key[order]
+    new = np.zeros(len(key), np.int32)
+    new[1:] = ordered[1:] != ordered[:-1]
+    del ordered
+    rank = np.empty(len(key), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
+    return rank
 
 
 def contexts(text: np.ndarray, length: int) -> np.ndarray:
@@ -56,7 +69,8 @@ def contexts(text: np.ndarray, length: int) -> np.ndarray:
     rank = _numbered(key)
     while width < length:
         step = min(width, length - width)
-        rank = _numbered(rank[:-step] * (1 << 32) + rank[step:])
+        half = (n + length).bit_length()
+        rank = _numbered((rank[:-step].astype(np.int64) << half) | rank[step:], 2 * half)
         width += step
     return rank[:n]
 
@@ -70,13 +84,13 @@ class RunLengthIndex(NamedTuple):
     head: np.ndarray  # in that order: the row that the run's first row comes from
     first: np.ndarray  # in that order: first row
     size: np.ndarray  # in that order: rows
-    of_ends: np.ndarray  # first row of the context of each 0xFF, by position
+    of_last: np.ndarray  # row of the last full context of each string
 
     @classmethod
-    def build(cls, text: np.ndarray, length: int) -> RunLengthIndex:
+    def build(cls, text: np.ndarray, last: np.ndarray, length: int) -> RunLengthIndex:
         rank = contexts(text, length)
-        order = np.argsort(rank, kind="stable")  # ties by position
-        ordered = rank[order]
+        keyed = np.sort((rank.astype(np.int64) << 32) | np.arange(len(rank)))  # ties by position
+        order, ordered = keyed & 0xFFFFFFFF, keyed >> 32
         bwt = text[order - 1]
         opens = np.ones(len(order), bool)
         opens[1:] = ordered[1:] != ordered[:-1]
@@ -89,9 +103,9 @@ class RunLengthIndex(NamedTuple):
         by_byte = np.argsort(bwt[start], kind="stable")
         head = np.cumsum(size[by_byte]) - size[by_byte]
         key = bwt[start][by_byte].astype(np.int64) * len(order) + start[by_byte]
-        ends = np.flatnonzero(opens)[np.searchsorted(ordered[opens], rank[text == _END])]
         context = np.where(several[start], first_row, -1)
-        return cls(len(order), start, context, order[first_row], key, head, start[by_byte], size[by_byte], ends)
+        of_last = np.flatnonzero(opens)[rank[last]]  # ranks are dense
+        return cls(len(order), start, context, order[first_row], key, head, start[by_byte], size[by_byte], of_last)
 
     def back(self, row: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """A row whose context is the byte before that of row; the byte does come before it somewhere."""
@@ -112,20 +126,21 @@ def smallest_holders(texts: list[bytes], least: np.ndarray, length: int = LENGTH
     size = np.array([len(t) for t in texts], np.int64)
     text = np.frombuffer(b"".join(t + b"\xff" for t in texts), np.uint8)
     end = np.cumsum(size + 1) - 1
-    index = RunLengthIndex.build(text, length)
+    index = RunLengthIndex.build(text, end - length, length)
     count = size - length + 1
     out = np.repeat(least, count)
-    first = np.cumsum(count) - count
+    window = np.cumsum(count) - 1  # the last of each string
     # all strings step back together, the longest first, so that those at their start fall off the end
-    order = np.argsort(-size, kind="stable")
-    end_of, left, at = end[order], size[order], first[order]
-    row = index.of_ends[order]
-    for back in range(1, int(left[0]) + 1):
-        active = int(np.searchsorted(-left, -back, "right"))
-        row, sample = index.opened(index.back(row[:active], text[end_of[:active] - back]))
-        if back >= length:  # row holds the window that starts back bytes before the string's end
-            seen = np.flatnonzero(sample >= 0)
-            out[at[seen] + left[seen] - back] = least[np.searchsorted(end, sample[seen])]
+    order = np.argsort(-count, kind="stable")
+    window, count, place = window[order], count[order], (end - length)[order]
+    row, sample = index.opened(index.of_last[order])
+    for back in range(int(count[0])):
+        if back:
+            active = int(np.searchsorted(-count, -back, "left"))
+            window, place = window[:active] - 1, place[:active] - 1
+            row, sample = index.opened(index.back(row[:active], text[place]))
+        seen = np.flatnonzero(sample >= 0)
+        out[window[seen]] = least[np.searchsorted(end, sample[seen])]
     return out
 
 

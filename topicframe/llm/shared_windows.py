@@ -30,10 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sizes import dealt, parts
-from .textbytes import blocks, gram_hashes, sliding_min, span_hashes, text_bytes
+from .textbytes import blocks, gram_hashes, mix, sliding_min, span_hashes, text_bytes
 
 #: different strings of one minimiser before its windows travel one by one
-MOST_STRINGS = 4096
+MOST_STRINGS = 8192
+#: windows in one super-k-mer
+LONGEST = 64
+#: buckets of minimisers for each part of the documents; more of them hold less each
+BUCKETS = 8
+#: bytes of stored input for one part; larger parts send shared strings fewer times
+PART_BYTES = 6 << 20
 _U = np.uint64
 _FLAG = 1 << 31
 _EMPTY = np.zeros(0, np.int64)
@@ -75,16 +81,22 @@ def runs(tokens: Tokens, size: int, gram: int) -> Runs:
     least = sliding_min(gram_hashes(tokens.hashes, gram), size - gram + 1)
     if not len(least):
         return Runs(np.zeros(0, _U), _EMPTY, _EMPTY, _EMPTY)
-    text = np.repeat(np.arange(len(tokens.edge) - 1), np.diff(tokens.edge))[: len(least)]
-    window = np.flatnonzero(np.arange(size, size + len(least)) <= tokens.edge[1:][text])
-    if not len(window):
-        return Runs(np.zeros(0, _U), _EMPTY, _EMPTY, _EMPTY)
-    least, text = least[window], text[window]
-    new = np.ones(len(window), bool)
-    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    new = np.ones(len(least) + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:-1])
+    new[tokens.edge[tokens.edge <= len(least)]] = True
     head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(window)) - 1
-    return Runs(least[head], window[head], window[tail], text[head])
+    head, tail = head[:-1], head[1:] - 1
+    text = np.searchsorted(tokens.edge, head, "right") - 1
+    final = tokens.edge[1:][text] - size  # the last window of each run's text
+    inside = np.flatnonzero(head <= final)
+    head, tail, text = head[inside], np.minimum(tail, final)[inside], text[inside]
+    # a repeated phrase keeps its minimiser for long
+    pieces = (tail - head) // LONGEST + 1
+    if len(pieces) and pieces.max() > 1:
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        head, tail, text = np.repeat(head, pieces) + number * LONGEST, np.repeat(tail, pieces), np.repeat(text, pieces)
+        tail = np.minimum(tail, head + LONGEST - 1)
+    return Runs(mix(least[head]), head, tail, text)  # least values crowd at the low end
 
 
 def _bucket(h: np.ndarray, number: int) -> np.ndarray:
@@ -200,6 +212,16 @@ class _Strings(NamedTuple):
     edge: np.ndarray  # tokens of each row
 
 
+def _known(found: Runs, name: np.ndarray, hot: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(runs with a shared minimiser, whether each of those is hot)."""
+    if not len(name):
+        return _EMPTY, np.zeros(0, bool)
+    own = _name(found.anchor, number)
+    at = np.minimum(np.searchsorted(name, own), len(name) - 1)
+    keep = np.flatnonzero(name[at] == own)
+    return keep, hot[at[keep]]
+
+
 def _strings(table: pa.Table, shared: pa.Table, method: Method, number: int) -> _Strings:
     ids, _ = _doc_ids(table)
     base = np.array(shared.column("bucket").to_pylist(), np.int64) << 32
@@ -209,37 +231,42 @@ def _strings(table: pa.Table, shared: pa.Table, method: Method, number: int) ->
     hot = np.concatenate([*hots, np.zeros(0, np.uint8)]).astype(bool)
     order = np.argsort(name)
     name, hot = name[order], hot[order]
-    found_at: dict[tuple[int, bytes], int] = {}
+    found_at: dict[tuple[int, int, bytes], int] = {}
     string, row, first, sizes = [], [], [], np.zeros(table.num_rows, np.int64)
     for lo, hi, tokens, found in _token_blocks(table, method):
         sizes[lo:hi] = np.diff(tokens.edge)
-        own = _name(found.anchor, number)
-        at = np.minimum(np.searchsorted(name, own), max(len(name) - 1, 0))
-        keep = np.flatnonzero(name[at] == own) if len(name) else _EMPTY
+        keep, is_hot = _known(found, name, hot, number)
         if not len(keep):
             continue
-        warm, split = keep[~hot[at[keep]]], keep[hot[at[keep]]]
-        spread = found.last[split] - found.first[split] + 1
-        inside = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-        alone = np.repeat(found.first[split], spread) + inside
-        begin = np.concatenate([found.first[warm], alone])
-        last = np.concatenate([found.last[warm], alone]) + method.size - 1
-        text = np.concatenate([found.text[warm], np.repeat(found.text[split], spread)])
+        # a hot run is cut into its windows
+        pieces = np.where(is_hot, found.last[keep] - found.first[keep] + 1, 1)
+        run = np.repeat(np.arange(len(keep)), pieces)
+        alone = is_hot[run]
+        begin = found.first[keep][run] + np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        last = np.where(alone, begin, found.last[keep][run]) + method.size - 1
+        text = found.text[keep][run]
         a, b = tokens.start[begin], tokens.end[last]
-        bucket = np.concatenate([_bucket(found.anchor[warm], number), _bucket(span_hashes(tokens.raw, a[len(warm) :], b[len(warm) :]), number) if len(alone) else _EMPTY])
+        mark = span_hashes(tokens.raw, a, b)
+        bucket = np.where(alone, _bucket(mark, number), _bucket(found.anchor[keep][run], number))
         data = tokens.raw.tobytes()
-        for key in zip(bucket.tolist(), [data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], strict=True):
+        for key in zip(bucket.tolist(), mark.tolist(), [data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], strict=True):
             string.append(found_at.setdefault(key, len(found_at)))
         row.append(text + lo)
         first.append(begin - tokens.edge[:-1][text])
-    keys = sorted(found_at)
+    # by bucket, then by hash: the same order whenever the part is read again
+    keys = list(found_at)
+    bucket, mark = np.array([k[0] for k in keys], np.int64), np.array([k[1] for k in keys], np.uint64)
+    order = np.lexsort((mark, bucket)).tolist()
+    if len(keys) and (np.diff(mark[order]) == 0).any():
+        order.sort(key=lambda i: keys[i])
     rank = np.empty(len(keys), np.int64)
-    rank[[found_at[k] for k in keys]] = np.arange(len(keys))
+    rank[order] = np.arange(len(keys))
+    keys = [keys[i] for i in order]
     which = rank[np.array(string, np.int64)] if string else _EMPTY
     rows = np.concatenate([*row, _EMPTY])
     least = np.full(len(keys), np.iinfo(np.int64).max)
     np.minimum.at(least, which, ids[rows])
-    return _Strings([k[0] for k in keys], [k[1] for k in keys], least, which, ids[rows], rows, np.concatenate([*first, _EMPTY]), sizes)
+    return _Strings([k[0] for k in keys], [k[2] for k in keys], least, which, ids[rows], rows, np.concatenate([*first, _EMPTY]), sizes)
 
 
 _SENT = "bucket int, part int, data binary, sizes binary, least binary"
@@ -337,8 +364,9 @@ def spans_to_remove(table: pa.Table, shared: pa.Table, owned: pa.Table, method:
 
 def judged(docs: DataFrame, method: Method, finish: Callable, schema: str) -> DataFrame:
     """finish(table, row, first, last) over every part: its documents and the windows to remove."""
-    number = parts(docs)
-    rows = docs.withColumn("part", dealt(number, "doc_id", "text"))
+    in_parts = parts(docs, PART_BYTES)
+    number = in_parts * BUCKETS
+    rows = docs.withColumn("part", dealt(in_parts, "doc_id", "text"))
     asked = rows.groupBy("part").applyInArrow(_ask(method, number), _ASK)
     shared = asked.groupBy("bucket").applyInArrow(_answer(method), _SHARED)
     sent = rows.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_send(method, number), _SENT)

@@ -12,8 +12,12 @@ _UNKNOWN = 1 << 55
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """The size the planner knows for df; if it knows none, the size of its string columns."""
-    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The size of the tables that df reads, as the planner knows it; else the size of its string columns.
+
+    The plan's own estimate is not used: it guesses 20 bytes for a text.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     if known < _UNKNOWN:
         return known
     total = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"), F.lit(16))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 #: Texts are worked on in blocks of about this many bytes, so that a worker's memory is
 #: bounded by the block and by the longest single text.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _U = np.uint64
@@ -90,7 +90,7 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     most = 1 << 16
     while most < size:
         most *= 2
-    if most > 8 * BLOCK:  # one very long text: not kept
+    if most > 1 << 22:  # one very long text: not kept
         return _powers.__wrapped__(most)
     return _powers(most)
 
@@ -132,7 +132,9 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
             if n <= 0:
                 return np.zeros(0, _U)
             part, width, factor = part[:n] * _U(factor) + part[width : width + n], width * 2, factor * factor & _MASK
-    return mix(out)
+    out = out * _U(0xFF51AFD7ED558CCD)
+    out ^= out >> _U(32)
+    return out
 
 
 def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
