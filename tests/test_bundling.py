@@ -34,13 +34,31 @@ def test_runs_by_mapped_attributes(log):
     )
     got = _bundles(messages, mapping=f"prop,key={C.KEY_SOURCE}", demarcator="===")
     assert [bytes(b.content) for b in got] == [b"A===B", b"C", b"D"]
+    carried = {"prop": "val", C.PROPERTY_PREFIX + "prop": "val"}
     assert [b.attributes for b in got] == [
         {C.MESSAGE_COUNT_ATTRIBUTE: "2"},
-        {"prop": "val", C.MESSAGE_COUNT_ATTRIBUTE: "1"},
-        {"prop": "val", "key": "K", C.MESSAGE_COUNT_ATTRIBUTE: "1"},
+        {**carried, C.MESSAGE_COUNT_ATTRIBUTE: "1"},
+        {**carried, "key": "K", C.MESSAGE_COUNT_ATTRIBUTE: "1"},
     ]
 
 
+def test_a_bundle_carries_its_first_messages_id_and_properties(log):
+    messages = log([{"data": d, "message_id": f"{i}:1", "properties": {"n": d}} for i, d in enumerate("abc")])
+    (only,) = _bundles(messages)
+    assert only.attributes == {C.MESSAGE_ID_ATTRIBUTE: "0:1", C.PROPERTY_PREFIX + "n": "a", C.MESSAGE_COUNT_ATTRIBUTE: "3"}
+
+
+def test_raw_runs_do_not_break_on_schema(log):
+    messages = log([{"data": d, "schema_type": "AVRO", "schema_def": s} for d, s in zip("abcd", "1122")])
+    assert [bytes(b.content) for b in _bundles(messages)] == [b"a\nb\nc\nd"]
+
+
+def test_bundles_do_not_depend_on_how_far_offsets_are_apart(log):
+    for step in (1, 70_000, 2**40):
+        (only,) = _bundles(log([{"data": "x", "off": i * step} for i in range(50)]))
+        assert only.message_count == 50
+
+
 def test_equal_attributes_apart_are_different_bundles(log):
     messages = log([{"data": d, "properties": {"p": p}} for d, p in [("a", "1"), ("b", "2"), ("c", "1")]])
     assert [bytes(b.content) for b in _bundles(messages, mapping="p")] == [b"a", b"b", b"c"]

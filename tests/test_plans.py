@@ -8,7 +8,7 @@ import pytest
 from topicframe.operators import publish
 from topicframe.operators.receive import assign_receive_batches
 from topicframe.plans.consume import Subscription, consume_bytes, consume_records
-from topicframe.plans.publish import Target, publish_bytes
+from topicframe.plans.publish import Target, publish_bytes, publish_records
 from topicframe.sinks.tables import write_messages
 from topicframe.sources.topics import read_topics
 from topicframe.workspace import fresh_path
@@ -53,7 +53,7 @@ def test_subscription_prunes_partitions(spark, table, choice):
 @pytest.mark.parametrize("consume", ["bytes", "records"])
 def test_a_consumer_moves_its_messages_once(settled, table, consume):
     messages = read_topics(settled, table, pattern=".*")
-    sub = Subscription("c", mapping="p")
+    sub = Subscription("c", mapping="p", segment=65536)
     df = consume_bytes(messages, sub) if consume == "bytes" else consume_records(messages, sub, "x string")
     assert exchanges(plan(df)) == ["hashpartitioning(topic, part, _segment, 8)"]
 
@@ -67,6 +67,26 @@ def test_full_batches_order_rows_by_span_only(settled, table):
     assert text.count("FileScan") == 2 and "ReadSchema: struct<off:bigint>" in text
 
 
+def test_a_full_batch_consumer_reads_its_messages_twice(settled, table):
+    """Once narrow, to count, and once whole; every level of the count is reused, not read again."""
+    text = plan(consume_bytes(read_topics(settled, table, pattern=".*"), Subscription("c", mapping="p")))
+    assert text.count("FileScan") == 2 and text.count("ReadSchema: struct<off:bigint>") == 1
+
+
+def test_every_level_of_the_count_has_a_window_of_its_own(settled, table):
+    text = plan(assign_receive_batches(read_topics(settled, table, pattern=".*"), 10))
+    windows = re.findall(r"windowspecdefinition\(([^)]*) ASC", text)
+    assert {w.split(", ")[-1] for w in windows} == {"off", "_span", "_group1", "_group2", "_group3"}
+    for group, inner in (("_group1", "_span"), ("_group2", "_group1"), ("_group3", "_group2")):
+        assert any(w.startswith(group) and w.endswith(inner) for w in windows)
+
+
+def test_publishing_records_parses_once(settled, bundles):
+    published = publish_records(bundles(({"t": "a"}, "1,x\n2,y")), Target("${t}"), "n int, s string")
+    for df in (published.messages, published.bundles):
+        assert "from_csv" not in plan(df)
+
+
 def test_publish_batches_need_no_further_move(settled, table):
     messages = assign_receive_batches(read_topics(settled, table, pattern=".*"), 10, segment=100)
     within = ("topic", "part", "segment_no", "batch_no")
@@ -83,7 +103,7 @@ def test_publish_counts_need_no_join(settled, bundles):
 
 
 SCANNED = {
-    "topic_list": "struct<event_id:bigint,event_type:string>",
+    "topic_list": "struct<off:bigint,data:binary>",
     "key_attribute": "struct<event_id:bigint,user_id:bigint>",
     "parse_json_records": "struct<event_id:bigint,props:string>",
     "dynamic_topic": "struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>",

@@ -48,7 +48,13 @@ def test_runs(log):
     good, bad = _consumed(messages, mapping=f"prop,key={C.KEY_SOURCE}")
     assert not bad
     assert [bytes(b.content) for b in good] == [b'"A","10"\n"B","10"\n', b'"C","10"\n', b'"D","10"\n']
-    assert good[2].attributes == {"prop": "val", "key": "K", C.TOPIC_ATTRIBUTE: "t", C.RECORD_COUNT_ATTRIBUTE: "1"}
+    assert good[2].attributes == {
+        "prop": "val",
+        "key": "K",
+        C.PROPERTY_PREFIX + "prop": "val",
+        C.TOPIC_ATTRIBUTE: "t",
+        C.RECORD_COUNT_ATTRIBUTE: "1",
+    }
 
 
 TOPICS = [("foo", "A,9"), ("bar", "Z,10"), ("foo", "G,1"), ("bar", "F,7")]
@@ -120,7 +126,19 @@ OBJECT = '{"name":"Mary","age":32,"address":{"city":"X"},"tags":["a","b"],"emplo
         ("", 0, False),
         ("[]", 0, False),
         ("{bad", 0, True),
-        (f"[{OBJECT},", 0, True),
+        (f"[{OBJECT},", 1, True),
+        (f"[{OBJECT},{OBJECT}", 2, True),
+        (f'[{OBJECT},{{"name":"cu', 1, True),
+        ('{"age":1}\n{"age":2}\n\n{"age":3}\n', 3, False),
+        ('{"age":1}{"age":2} {"age":3}', 3, False),
+        (f"{OBJECT}\n{OBJECT}\n", 2, False),
+        (f"{OBJECT} trailing junk", 1, True),
+        ('{"age":1} trailing junk', 1, True),
+        ('[{"age":1}] [{"age":2},{"age":3}]', 3, False),
+        ('[{"age":1}], {"age":2}', 1, True),
+        ('junk {"age":1}', 0, True),
+        ('{"name":"a } ] , \\" {","age":1}{"age":2}', 2, False),
+        ('[{"age":1},]', 1, False),
         (f'[{OBJECT},{{"age":"zz"}},{OBJECT}]', 1, True),
     ],
 )
@@ -129,6 +147,37 @@ def test_json(log, text, kept, failed):
     assert (len(row.kept), row.failed) == (kept, failed)
 
 
+CSV_TEXTS = ['say "hi"', "two\nlines", "a,b", "", None, " spaced ", '"', "tab\there", "crlf\r\nhere", "\\back", "né"]
+
+
+def test_csv_texts_come_back(spark):
+    options = {"nullValue": "\\N"}
+    schema = "n bigint, text string"
+    rows = spark.createDataFrame(list(enumerate(CSV_TEXTS)), schema)
+    lines = rows.withColumn("line", codecs.serialize(F.struct("n", "text"), "csv", options))
+    joined = "".join(r.line for r in lines.orderBy("n").collect())
+    data = spark.createDataFrame([(bytearray((codecs.csv_header(["n", "text"]) + joined).encode()),)], "data binary")
+    got = records.explode(records.parse(data, schema, "csv", {**options, "header": "true"})).collect()
+    assert [(r.n, r.text, r[codecs.CORRUPT]) for r in got] == [(i, t, None) for i, t in enumerate(CSV_TEXTS)]
+
+
+@pytest.mark.parametrize(
+    "line, values", [('"say ""hi""",2', ('say "hi"', 2)), ("5\" pipe,3", ('5" pipe', 3)), ('"a, b" ,4', ("a, b", 4))]
+)
+def test_csv_quoting(log, line, values):
+    row = records.explode(records.parse(log([{"data": line + "\nlast,9"}]), "x string, y int")).orderBy("pos").collect()
+    assert [(r.x, r.y) for r in row] == [values, ("last", 9)]
+
+
+def test_writer_options(spark):
+    row = spark.createDataFrame([("a", None)], "x string, y string")
+    plain = codecs.serialize(F.struct("x", "y"), "csv", {"sep": ";", "quoteAll": "false", "nullValue": "-"})
+    assert row.select(plain.alias("v")).first().v == "a;-\n"
+    assert row.select(codecs.serialize(F.struct("x", "y"), "json", {"ignoreNullFields": "false"}).alias("v")).first().v == '{"x":"a","y":null}'
+    with pytest.raises(Exception, match="(?i)avro"):
+        row.select(codecs.serialize(F.struct("x", "y"), "avro").alias("v")).collect()
+
+
 def test_json_comes_back_as_it_was(log):
     (only,), _ = _consumed(log([{"data": OBJECT}]), JSON, reader="json", writer="json")
     assert bytes(only.content).decode() == OBJECT

@@ -1,10 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from topicframe import constants as C
-from topicframe.operators import audit, delivery
-from topicframe.plans.consume import Subscription, consume_bytes
+from topicframe.operators import audit, chunking, delivery
+from topicframe.plans.consume import Subscription, consume_bytes, consume_records
 from topicframe.plans.publish import Target, publish_bytes
 from topicframe.sinks.tables import write_messages
 from topicframe.sources.topics import read_topics, snapshot
@@ -20,7 +21,7 @@ def _pipeline(poll):
 
 
 def _run(spark, path, sink, acks, checkpoint, sub=SUB, **options):
-    stream = reader.stream_topics(spark, path, pattern=".*", **options)
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", **options)
     runner.run(stream, _pipeline, sink, checkpoint, acks, sub.acknowledge)
 
 
@@ -59,7 +60,7 @@ def test_a_crash_between_output_and_commit_replays(spark, log):
     def failing(bundles, messages):
         raise RuntimeError("lost before the acknowledgement")
 
-    stream = reader.stream_topics(spark, path, pattern=".*")
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest")
     with pytest.raises(Exception, match="lost before"):
         runner.run(stream, _pipeline, sink, checkpoint, acks, failing)
     assert spark.read.parquet(sink).count() == 1
@@ -92,7 +93,7 @@ def test_a_poll_can_be_bounded_by_bytes(spark, log):
     path, sink = fresh_path(spark, "log"), fresh_path(spark, "sink")
     for i in range(3):
         write_messages(log([{"off": i}]), path)
-    stream = reader.stream_topics(spark, path, "t", max_bytes=1000)
+    stream = reader.stream_topics(spark, path, "t", start="earliest", max_bytes=1000)
     runner.run(stream, lambda poll: poll.select("off"), sink, fresh_path(spark, "checkpoint"))
     polls = spark.read.parquet(sink).groupBy("poll").count().collect()
     assert len(polls) == 3 and sum(r["count"] for r in polls) == 3
@@ -105,42 +106,101 @@ def test_checkpoint_follows_identity(spark, log):
     assert runner.checkpoint_path(df, "a-sub").startswith(shared_dir(spark))
 
 
-def test_repeats_within_the_delay_are_dropped(spark, log):
-    path, sink = fresh_path(spark, "log"), fresh_path(spark, "sink")
-    messages = log([{"data": str(i)} for i in range(6)])
-    write_messages(messages, path)
-    write_messages(messages.where("off < 3"), path)
-    once = stateful.dedupe(reader.stream_topics(spark, path, pattern=".*", max_files=1), "1 hour")
-    runner.run(once.select("off"), lambda poll: poll, sink, fresh_path(spark, "checkpoint"))
-    assert sorted(r.off for r in spark.read.parquet(sink).collect()) == list(range(6))
+def test_latest_without_a_snapshot_needs_an_identity(spark, log):
+    path = fresh_path(spark, "log")
+    write_messages(log([{"data": "old"}]), path)
+    with pytest.raises(ValueError):
+        reader.stream_topics(spark, path, topics="t")
+    consumer, sink, checkpoint = (fresh_path(spark, label) for label in ("consumer", "sink", "checkpoint"))
+    for off in (1, 2):
+        reader.stream_topics(spark, path, topics="t", consumer_id=consumer)
+        write_messages(log([{"data": "new", "off": off}]), path)
+        stream = reader.stream_topics(spark, path, topics="t", consumer_id=consumer)
+        runner.run(stream, lambda poll: poll.select("off"), sink, checkpoint)
+    assert sorted(r.off for r in spark.read.parquet(sink).collect()) == [1, 2]
 
 
-def test_streamed_redelivery_equals_batch(spark, log):
+def test_a_repeated_poll_takes_its_committed_output_as_it_is(spark, log):
+    path, sink, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "checkpoint"))
+    write_messages(log([{"data": "x"}]), path)
+    stream = reader.stream_topics(spark, path, "t", start="earliest")
+
+    def failing(written, batch):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        runner.run(stream, lambda poll: poll.select("off"), sink, checkpoint, fresh_path(spark, "acks"), failing)
+    files = sorted(spark.read.parquet(sink).inputFiles())
+    runner.run(stream, lambda poll: poll.select("off"), sink, checkpoint)
+    assert sorted(spark.read.parquet(sink).inputFiles()) == files
+
+
+def test_no_distinct_message_is_dropped_in_bounded_polls(spark, log):
+    path, sink, ledger, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "ledger", "checkpoint"))
     start = dt.datetime(2024, 1, 1)
-    sent = log([{"publish_time": start + dt.timedelta(seconds=i)} for i in range(100)])
-    # even messages are acknowledged after five seconds, multiples of six too late
-    acked = log(
-        [
-            {"off": i, "publish_time": start + dt.timedelta(seconds=i + (20 if i % 6 == 0 else 5))}
-            for i in range(0, 100, 2)
-        ]
-    )
-    paths = fresh_path(spark, "sent"), fresh_path(spark, "acked")
-    write_messages(sent, paths[0])
-    write_messages(acked, paths[1])
-    delivered = reader.stream_topics(spark, paths[0], pattern=".*").withColumnRenamed("publish_time", "delivered_at")
-    acks = reader.stream_topics(spark, paths[1], pattern=".*").withColumnRenamed("publish_time", "acked_at")
-    due = stateful.due_for_redelivery(delivered, acks, 10)
-    sink = fresh_path(spark, "sink")
-    runner.run(due.select("off"), lambda poll: poll, sink, fresh_path(spark, "checkpoint"))
-    got = sorted(r.off for r in spark.read.parquet(sink).collect())
-    # the watermark ends at second 99, the earlier end of the two streams
-    assert got == [i for i in range(89) if i % 2 == 1 or i % 6 == 0]
-    with pytest.raises(ValueError):
-        stateful.due_for_redelivery(delivered, acks, 9)
+    for topic in "abc":
+        rows = [{"topic": topic, "off": i, "publish_time": start + dt.timedelta(hours=i)} for i in range(10)]
+        write_messages(log(rows).coalesce(1), path)
+        write_messages(log(rows[:4]).coalesce(1), path)
+    for _ in range(2):
+        stateful.dedupe(reader.stream_topics(spark, path, "a,b,c", start="earliest", max_files=1), sink, ledger, checkpoint)
+    got = sorted((r.topic, r.off) for r in spark.read.parquet(sink).collect())
+    assert got == [(t, i) for t in "abc" for i in range(10)]
 
 
-def _publish(spark, source, table, state, checkpoint, failures=None, publisher=None):
+def test_streamed_redelivery_equals_batch(spark, log):
+    start = dt.datetime(2024, 1, 1)
+    sent = log([{"publish_time": start + dt.timedelta(seconds=i)} for i in range(100)])
+    path, ledger = fresh_path(spark, "sent"), fresh_path(spark, "ledger")
+    write_messages(sent, path)
+    keys = lambda poll: poll.select(*delivery.MESSAGE, F.col("publish_time").alias("delivered_at"))
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", max_files=1)
+    runner.run(stream, keys, ledger, fresh_path(spark, "checkpoint"))
+    deliveries = stateful.delivered(ledger, spark)
+    acks = sent.where("off % 2 = 0")
+    now = F.lit(start + dt.timedelta(seconds=99))
+    got = delivery.due_for_redelivery(deliveries, acks, now, 10).collect()
+    # the topic is idle since; its messages fall due all the same
+    assert sorted(r.off for r in got) == [i for i in range(90) if i % 2 == 1]
+    assert "data" not in deliveries.columns
+
+
+def test_chunk_sets_come_out_with_their_last_chunk(spark, log):
+    path, sink, staged, checkpoint = (fresh_path(spark, label) for label in ("chunks", "sink", "staged", "checkpoint"))
+    rows = [{"data": f"message {i}", "message_id": f"m{i}"} for i in range(10)]
+    chunks = chunking.split(log(rows), 4).select("chunk_set", "chunk_no", "chunk_count", "data")
+    lost = (F.col("chunk_set") == "m3") & (F.col("chunk_no") == 0)
+    for number in (0, 1, 2):
+        chunks.where(F.col("chunk_no") == number).where(~lost).coalesce(1).write.mode("append").parquet(path)
+    chunks.where("chunk_set = 'm1'").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stateful.assemble(stream, sink, staged, checkpoint)
+    got = {r.chunk_set: bytes(r.data).decode() for r in spark.read.parquet(sink).collect()}
+    assert got == {f"m{i}": f"message {i}" for i in range(10) if i != 3} and spark.read.parquet(sink).count() == 9
+    waiting = stateful.open_chunks(spark, staged, checkpoint, 3).collect()
+    assert {r.chunk_set for r in waiting} == {"m3"}
+    # the missing chunk comes after all
+    chunks.where(lost).coalesce(1).write.mode("append").parquet(path)
+    stateful.assemble(stream, sink, staged, checkpoint)
+    assert spark.read.parquet(sink).where("chunk_set = 'm3'").count() == 1
+
+
+def test_streamed_parse_failures_are_kept_apart(spark, log):
+    path, sink, dead = (fresh_path(spark, label) for label in ("log", "sink", "dead"))
+    write_messages(log([{"data": "1,a"}, {"data": "broken", "topic": "a/b"}]), path)
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest")
+    pipeline = lambda poll: consume_records(poll, SUB, "n int, s string")
+    runner.run(stream, pipeline, sink, fresh_path(spark, "checkpoint"), dead_letters=dead)
+    assert [r.relationship for r in spark.read.parquet(sink).collect()] == [C.SUCCESS]
+    assert [(r.topic, bytes(r.content)) for r in spark.read.parquet(dead).collect()] == [("a/b", b"broken")]
+
+
+def test_single_acknowledgements_add_up(spark, log):
+    acks = delivery.individual_acks(log([{}, {}]), "c")
+    assert sorted(r.off for r in runner.acknowledged(acks.unionByName(acks)).collect()) == [0, 1]
+
+
+def _publish(spark, source, table, state, checkpoint, failures, publisher=None):
     def split(poll, ends):
         return publish_bytes(poll, Target("${t}"), demarcator="\n", ends=ends)
 
@@ -161,18 +221,48 @@ def test_published_offsets_go_on_from_poll_to_poll(spark, bundles):
     assert spark.read.parquet(failures).count() == 3
 
 
-def test_a_repeated_poll_replaces_itself(spark, bundles):
-    source, table, state, checkpoint = (fresh_path(spark, label) for label in "stcp")
-    bundles(({"t": "a"}, "1\n2")).coalesce(1).write.parquet(source)
+def test_a_repeated_poll_keeps_its_messages(spark, bundles):
+    source, table, state, checkpoint, failures = (fresh_path(spark, label) for label in "stcpf")
+    bundles(({"t": "a"}, "1\n2"), ({}, "lost")).coalesce(1).write.parquet(source)
+    lost = []
 
     def failing(poll, ends):
-        # the messages are written, then the poll is lost before its ends are
         published = publish_bytes(poll, Target("${t}"), demarcator="\n", ends=ends)
-        write_messages(published.messages, f"{table}/poll=0", mode="overwrite")
-        raise RuntimeError("lost in between")
+        if not lost:
+            lost.append(True)
+            # the messages are written, then the poll is lost before its ends are
+            write_messages(published.messages, runner.poll_folder(spark, table, checkpoint, 0), mode="overwrite")
+            raise RuntimeError("lost in between")
+        return published
 
     with pytest.raises(Exception, match="lost in between"):
-        _publish(spark, source, table, state, checkpoint, publisher=failing)
+        _publish(spark, source, table, state, checkpoint, failures, publisher=failing)
+    files = sorted(read_topics(spark, table, pattern=".*").inputFiles())
     assert read_topics(spark, table, pattern=".*").count() == 2
-    _publish(spark, source, table, state, checkpoint)
+    _publish(spark, source, table, state, checkpoint, failures)
+    assert sorted(r.off for r in read_topics(spark, table, pattern=".*").collect()) == [0, 1]
+    assert sorted(read_topics(spark, table, pattern=".*").inputFiles()) == files
+
+
+def test_two_publishers_share_a_table(spark, bundles):
+    table, state, failures = (fresh_path(spark, label) for label in "tsf")
+    for content in ("first", "second"):
+        source, checkpoint = fresh_path(spark, "source"), fresh_path(spark, "checkpoint")
+        bundles(({"t": "a"}, content)).coalesce(1).write.parquet(source)
+        _publish(spark, source, table, state, checkpoint, failures)
+    got = read_topics(spark, table, pattern=".*").orderBy("off").collect()
+    assert [(r.off, bytes(r.data)) for r in got] == [(0, b"first"), (1, b"second")]
+
+
+def test_a_lost_checkpoint_overwrites_nothing(spark, bundles):
+    source, table, state, failures = (fresh_path(spark, label) for label in "stof")
+    bundles(({"t": "a"}, "x")).coalesce(1).write.parquet(source)
+    for _ in range(2):
+        _publish(spark, source, table, state, fresh_path(spark, "checkpoint"), failures)
     assert sorted(r.off for r in read_topics(spark, table, pattern=".*").collect()) == [0, 1]
+
+
+def test_a_bundle_without_an_id_raises(spark, bundles):
+    nameless = bundles(({"t": "a"}, "x")).withColumn("bundle_id", F.lit(None).cast("bigint"))
+    with pytest.raises(Exception, match="cannot be put in order"):
+        publish_bytes(nameless, Target("${t}")).messages.collect()

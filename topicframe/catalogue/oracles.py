@@ -36,10 +36,11 @@ b as (
 
 _B = _batches(100)
 
-# runs by topic, tier and schema inside a batch
-_R = """
+# runs by tier inside a batch, for records by topic and schema too
+def _runs(schema: str) -> str:
+    return f"""
 c as (
-  select *, case when stype = 'AVRO' then sdef end as schema from b
+  select *, {schema} as schema from b
 ), f as (
   select *, case when row_number() over w = 1 or tier is distinct from lag(tier) over w
       or schema is distinct from lag(schema) over w then 1 else 0 end as chg
@@ -49,6 +50,10 @@ c as (
       rows between unbounded preceding and current row) as bigint) as run from f
 )"""
 
+
+_R = _runs("0")
+_RR = _runs("case when stype = 'AVRO' then sdef end")
+
 _CONTENT = """
 s as (
   select *, sum(case when body <> '' then 1 else 0 end) over (partition by topic, part, batch_no, run order by off
@@ -60,12 +65,11 @@ s as (
   from s group by topic, part, batch_no, run
 )"""
 
-_SEGMENT_BUNDLES = f"with {_M}, {_segments()}, {_R}, {_CONTENT}"
 _BUNDLES = f"with {_M}, {_B}, {_R}, {_CONTENT}"
 
 # messages of up to twenty lines, and their records
 _LINES = f"""
-with {_M}, {_segments(size=20)}, h as (
+with {_M}, {_batches(20)}, h as (
   select *, min(case when body <> '' then off end) over (partition by topic, part, batch_no) as filled,
     min(off) over (partition by topic, part, batch_no) as mid,
     body <> 'Malformed message' as good,
@@ -131,19 +135,60 @@ with e as (
 )"""
 
 
+# the runs of a record consumer that mapped scope makes of the same batches
+_RECORD_RUNS = """
+rc as (
+  select *, case when stype = 'AVRO' then sdef end as rschema from b
+), rf as (
+  select *, case when row_number() over w = 1 or tier is distinct from lag(tier) over w
+      or rschema is distinct from lag(rschema) over w then 1 else 0 end as rchg
+  from rc window w as (partition by topic, part, batch_no order by off)
+), rr as (
+  select *, sum(rchg) over (partition by topic, part, batch_no order by off rows between unbounded preceding and current row) as rrun from rf
+), q as (
+  select topic, part, batch_no, rrun, min(off) as lo, count(case when body not in ('', 'Malformed message') then 1 end) as good
+  from rr group by topic, part, batch_no, rrun
+)"""
+
+
 def _entries(where: str, name: str, value: str) -> str:
     return f"with {_M} select off, '{name}' as name, {value} as value from m where {where}"
 
 
 ORACLES: dict[str, str] = {
-    "consume_bundles": f"""{_SEGMENT_BUNDLES}
+    "consume_bundles": f"""{_BUNDLES}
 select topic, part, batch_no, run, tier, message_count, last_off as cum_ack, md5(content) as digest
 from g where message_count > 0""",
     "consume_short_segments": f"""with {_M}, {_segments(4096)}, {_R}, {_CONTENT}
 select topic, part, batch_no, run, message_count, first_off, md5(content) as digest from g where message_count > 0""",
     "consume_full_batches": f"""{_BUNDLES}
 select topic, part, batch_no, run, message_count, first_off, md5(content) as digest from g where message_count > 0""",
-    "consume_record_bundles": f"""with {_M}, {_segments()}, {_R}, q as (
+    "consume_sparse_offsets": f"""{_BUNDLES}
+select topic, part, batch_no, run, message_count, first_off, md5(content) as digest from g where message_count > 0""",
+    "consume_attributes": f"""with {_M}, {_B}, {_R}, {_CONTENT}, {_RECORD_RUNS}, heads as (
+  select 'mapped' as scope, 'bytes' as consumer, topic, part, first_off, message_count as n from g where message_count > 0
+  union all select 'all', 'bytes', topic, part, off, 1 from m where body <> ''
+  union all select 'mapped', 'records', topic, part, lo, good from q where good > 0
+  union all select 'all', 'records', topic, part, off, 1 from m where body not in ('', 'Malformed message')
+), h as (
+  select scope, consumer, topic, part, first_off, heads.n as n, m.off, m.tier, m.etype, m.stype, m.sdef
+  from heads join m using (topic, part) where m.off = first_off
+), named as (
+  select topic, part, first_off, scope, consumer, unnest(['tier', '{C.MESSAGE_ID_ATTRIBUTE}', '{C.PROPERTY_PREFIX}tier', '{C.PROPERTY_PREFIX}etype',
+    '{C.TOPIC_ATTRIBUTE}', '{C.SCHEMA_ATTRIBUTE}', case when consumer = 'bytes' then '{C.MESSAGE_COUNT_ATTRIBUTE}' else '{C.RECORD_COUNT_ATTRIBUTE}' end]) as name,
+  unnest([tier, off || ':' || part, tier, etype, case when consumer = 'records' then topic end,
+    case when consumer = 'records' and stype = 'AVRO' then sdef end, cast(n as varchar)]) as value
+from h
+)
+select * from named where value is not null""",
+    "json_lines": f"""with {_M}, {_batches(10)}, t as (
+  select topic, part, batch_no, min(off) as first_off, count(*) as n, cast(sum(cast(json_extract(props, '$.k') as bigint)) as bigint) as k_sum
+  from b join events on event_id = off group by topic, part, batch_no
+)
+select topic, first_off, n, k_sum, first_off % 3 <> 2 as failed from t""",
+    "csv_roundtrip": """select doc_id, case when doc_id % 10 <> 0 then md5(text) end as digest,
+  'say "' || lang || '", ' || source as quoted, false as corrupt from documents""",
+    "consume_record_bundles": f"""with {_M}, {_B}, {_RR}, q as (
   select topic, part, batch_no, run, min(schema) as schema, min(off) as lo, count(*) as n,
     count(case when body not in ('', 'Malformed message') then 1 end) as good,
     count(case when body = 'Malformed message' then 1 end) as bad,
@@ -156,10 +201,10 @@ select topic, part, batch_no, run as bundle_no, '{C.SUCCESS}' as relationship, g
   n as message_count, schema, md5(lines) as digest from q where good > 0
 union all
 select topic, part, batch_no, run, '{C.PARSE_FAILURE}', 0, bad, null, md5(whole) from q where bad > 0""",
-    "topic_list": f"""with {_M} select topic, count(*) as n, min(off) as lo, max(off) as hi from m
-where topic in ('{NAMESPACE}click', '{NAMESPACE}view') group by topic""",
-    "topic_pattern": f"""with {_M} select topic, count(*) as n from m
-where regexp_full_match(topic, '{NAMESPACE}(p|s).*') group by topic""",
+    "topic_list": f"""with {_M} select topic, part, off, md5(body) as digest from m
+where topic in ('{NAMESPACE}click', '{NAMESPACE}view')""",
+    "topic_pattern": f"""with {_M} select topic, part, off, md5(body) as digest from m
+where regexp_full_match(topic, '{NAMESPACE}(p|s).*')""",
     "start_position": f"""with {_M}, ends as (
   select topic, part, max(off) as position from m where ts < timestamp '2024-01-15' group by topic, part
 )
@@ -235,10 +280,10 @@ select topic, part, batch_no, run, count(*) as n, min(schema) as schema from r g
     "failure_bundles": f"""with {_M}, {_batches(1000)}
 select topic, part, batch_no, md5(string_agg(body, '***' order by off)) as digest, count(*) as n
 from b where body = 'Malformed message' group by topic, part, batch_no""",
-    "audit_receipts": f"""{_SEGMENT_BUNDLES}
-select '{CONSUMER}' as consumer_id, topic, batch_no, count(*) as bundles, cast(sum(message_count) as bigint) as messages,
+    "audit_receipts": f"""{_BUNDLES}
+select '{CONSUMER}' as consumer_id, topic, part, batch_no, count(*) as bundles, cast(sum(message_count) as bigint) as messages,
   min(first_off) as first_off, max(last_off) as last_off, '{BROKER}/' || topic as transit_uri
-from g where message_count > 0 group by topic, batch_no""",
+from g where message_count > 0 group by topic, part, batch_no""",
     "publish_counts": f"""{_TOKENS}
 select doc_id as bundle_id, cast(len(t) as varchar) as sent, 'docs-' || lang as topic from tok""",
     "audit_sends": f"""{_TOKENS}
@@ -252,8 +297,7 @@ select orderkey, 'json' as fmt, md5(json) as digest from w union all select orde
 select topic, part, batch_no, md5(string_agg(json, '' order by off)) as digest, count(*) as n from b group by topic, part, batch_no""",
     "prefix_keep": f"{_LINES} select topic, part, off, kept, uid_sum, failed from kept",
     "schema_failures": f"""with {_M}
-select topic, case when tier is null then '{C.PARSE_FAILURE}' else '{C.SUCCESS}' end as relationship,
-  count(*) as n, cast(sum(off) as bigint) as off_sum from m group by 1, 2""",
+select topic, off, case when tier is null then '{C.PARSE_FAILURE}' else '{C.SUCCESS}' end as relationship from m""",
     "publish_routes": f"""select case when lang = 'de' then '' else lang end as topic,
   case when lang = 'de' then '{C.FAILURE}' else '{C.SUCCESS}' end as relationship, count(*) as n, {_SUM.format("text")}
 from documents group by 1, 2""",
@@ -265,13 +309,11 @@ select topic, 'messages' as what, cast(sum(sent) as bigint) as n, partial from z
 union all
 select topic, case when failed then '{C.FAILURE}' else '{C.SUCCESS}' end, count(*), partial from z group by topic, failed, partial""",
     "error_policy": f"""with {_M}, x as (
-  select body = 'Malformed message' as bad, count(*) as n, count(case when body not in ('', 'Malformed message') then 1 end) as usable
-  from m group by 1
+  select off, body = 'Malformed message' as bad, cast(body not in ('', 'Malformed message') as bigint) as usable from m
 )
-select '{C.SUCCESS}' as relationship, cast(sum(n) as bigint) as n, cast(sum(usable) as bigint) as usable, 'consume' as policy from x
-union all select '{C.SUCCESS}', n, usable, 'discard' from x where not bad
-union all select case when bad then '{C.FAILURE}' else '{C.SUCCESS}' end, n,
-  case when bad then n else usable end, 'fail' from x""",
+select off, '{C.SUCCESS}' as relationship, usable, 'consume' as policy from x
+union all select off, '{C.SUCCESS}', usable, 'discard' from x where not bad
+union all select off, case when bad then '{C.FAILURE}' else '{C.SUCCESS}' end, case when bad then 1 else usable end, 'fail' from x""",
     "dead_letters": f"""{_LINES}
 select '{C.PARSE_FAILURE}' as relationship, topic, count(*) as n, {_SUM.format("data")}
 from text join kept using (topic, part, off) where failed group by topic""",
@@ -283,7 +325,7 @@ from text join kept using (topic, part, off) where failed group by topic""",
   from piece join base using (doc_id)
 )
 select topic, off % 4 as part, count(*) as n, min(off) as lo, max(off) as hi, {_SUM.format("data")} from msg group by 1, 2""",
-    "publish_records": f"""with {_O}, {_segments(source="w")}, u as (
+    "publish_records": f"""with {_O}, {_batches(100, "w")}, u as (
   select *, min(off) over (partition by topic, part, batch_no) as bundle_id from b
 ), x as (
   select *, row_number() over (partition by topic order by bundle_id, off) - 1 as place,
@@ -291,11 +333,11 @@ select topic, off % 4 as part, count(*) as n, min(off) as lo, max(off) as hi, {_
 )
 select topic, target as part, count(*) as n, min(place) as lo, max(place) as hi, {_SUM.format("json")} from x group by topic, target""",
     "partition_routes": f"""with {_M}, x as (
-  select 'RoundRobinPartition' as mode, coalesce({_bucket("k", 4)}, off % 4) as part from m
-  union all select 'SinglePartition', coalesce({_bucket("k", 4)}, 2) from m
-  union all select 'CustomPartition', length(topic) % 4 from m
+  select off, 'RoundRobinPartition' as mode, coalesce({_bucket("k", 4)}, off % 4) as part from m
+  union all select off, 'SinglePartition', coalesce({_bucket("k", 4)}, 2) from m
+  union all select off, 'CustomPartition', length(topic) % 4 from m
 )
-select part, count(*) as n, mode from x group by part, mode""",
+select off, part, mode from x""",
     "publish_batches": f"""with recursive {_M}, {_batches(1000)}, x as (
   select *, (row_number() over (partition by topic, part, batch_no order by off) - 1) // 100 as flush_no,
     length(body) as size, epoch_us(ts) as sent_at from b
@@ -319,32 +361,31 @@ from z group by topic, part, batch_no, flush_no, publish_batch""",
     "cumulative_acks": f"""with {_M}
 select '{CONSUMER}' as consumer_id, topic, part, max(off) as position from m group by topic, part""",
     "individual_acks": f"""with {_M}
-select '{CONSUMER}' as consumer_id, topic, count(*) as n, cast(sum(off) as bigint) as off_sum from m group by topic""",
+select '{CONSUMER}' as consumer_id, topic, part, off from m""",
     "backlog": f"""with {_M}, ends as (
   select topic, part, max(off) as position from m where ts < timestamp '2024-01-25' group by topic, part
 ), x as (
   select topic, off, off > coalesce(position, -1) as beyond, k is null as open from m left join ends using (topic, part)
 )
-select topic, count(*) as n, min(off) as lo, 'cursor' as form from x where beyond group by topic
-union all select topic, count(*), min(off), 'singly' from x where open group by topic
-union all select topic, count(*), min(off), 'both' from x where beyond and open group by topic""",
+select topic, off, 'cursor' as form from x where beyond
+union all select topic, off, 'singly' from x where open
+union all select topic, off, 'both' from x where beyond and open""",
     "compact_acks": f"""with {_M}, p as (
   select topic, part, coalesce(min(case when k is null then off end) - 1, max(off)) as position from m group by topic, part
 )
 select topic, part, position, count(case when k is not null and off > position then 1 end) as n
 from p join m using (topic, part) group by topic, part, position""",
     "due_for_redelivery": f"""with {_M}
-select topic, count(*) as n, min(off) as lo, cast(sum(off) as bigint) as off_sum from m
-where k is null and ts <= (select max(ts) from events) - interval 1 day group by topic""",
+select topic, part, off from m where k is null and ts <= (select max(ts) from events) - interval 1 day""",
     "dedupe": f"""with {_M}
-select topic, count(*) as n, cast(sum(off) as bigint) as off_sum, {_SUM.format("body")} from m group by topic""",
+select topic, part, off, md5(body) as digest from m""",
     "dispatch": f"""with {_M}, x as (
   select 'Exclusive' as mode, 0 as consumer, off from m
   union all select 'Failover', 0, off from m
   union all select 'Shared', off % 4, off from m
   union all select 'Key_Shared', coalesce({_bucket("k", 4)}, off % 4), off from m
 )
-select cast(consumer as bigint) as consumer, count(*) as n, cast(sum(off) as bigint) as off_sum, mode from x group by consumer, mode""",
+select off, cast(consumer as bigint) as consumer, mode from x""",
     "chunk_split": f"""{_CHUNKS}
 select doc_id, chunk_no, chunk_count, md5(data[chunk_no * 500 + 1 : chunk_no * 500 + 500]) as digest from c""",
     "chunk_roundtrip": f"{_CHUNKS} select doc_id, chunk_count, md5(data) as digest from e",
@@ -358,18 +399,19 @@ select doc_id, 'ack' as action from x where rn > 10 union all select doc_id, 're
     "stream_topics": f"with {_M} select topic, off from m where topic in ('{NAMESPACE}click', '{NAMESPACE}view')",
     "commit_replay": f"""with {_M}
 select topic, part, count(case when body <> '' then 1 end) as n, max(off) as position from m group by topic, part""",
-    "stream_dedupe": f"""with {_M}
-select topic, count(*) as n, cast(sum(off) as bigint) as off_sum from m group by topic""",
-    "stream_redelivery": f"""with {_M}, reached as (
-  select least(max(ts), max(case when k is not null then ts end)) as mark from m
-)
-select topic, count(*) as n, cast(sum(off) as bigint) as off_sum from m, reached
-where k is null and ts + interval 1 day < date_trunc('millisecond', mark) group by topic""",
+    "stream_latest": f"with {_M} select topic, off from m where ts >= timestamp '2024-01-15'",
+    "stream_dedupe": f"with {_M} select topic, part, off, md5(body) as digest from m",
+    "stream_redelivery": f"""with {_M}
+select topic, part, off from m where k is null and ts <= (select max(ts) from events) - interval 1 day""",
     "stream_chunks": f"""{_CHUNKS}
-select doc_id, received, case when received = chunk_count then 'complete' else 'expired' end as status,
-  case when received = chunk_count then md5(data) end as digest
-from state join (select doc_id, data from e) using (doc_id)
-where doc_id * 60 + 3600 <= (select max(doc_id) * 60 from lost)""",
+select doc_id, chunk_count, md5(data) as digest from state join (select doc_id, data from e) using (doc_id) where received = chunk_count""",
+    "stream_dead_letters": f"""with {_M}, {_B}, {_RR}
+select '{C.PARSE_FAILURE}' as relationship, topic, part, batch_no, run as bundle_no, md5(string_agg(body, '***' order by off)) as digest
+from r where body = 'Malformed message' group by topic, part, batch_no, run""",
+    "stream_publish_failures": f"""select doc_id as bundle_id, '{C.FAILURE}' as relationship, md5(text) as digest from documents where lang = 'de'""",
+    "stream_two_publishers": f"""{_TOKENS}
+select lang as topic, count(*) as n, count(*) as offsets, cast(0 as bigint) as lo, count(*) - 1 as hi, {_SUM.format("data")}
+from piece where lang <> 'de' group by lang""",
     "stream_publish": f"""{_TOKENS}
 select lang as topic, count(*) as n, cast(0 as bigint) as lo, count(*) - 1 as hi,
   cast(count(*) * (count(*) - 1) / 2 as bigint) as off_sum, {_SUM.format("data")}

@@ -115,6 +115,57 @@ def consume_full_batches(spark, sf_dir):
     return _bundle_keys(consume.consume_bytes(V.messages(spark, sf_dir), _subscription(segment=None)))
 
 
+@query
+def consume_sparse_offsets(spark, sf_dir):
+    """The same log with offsets far apart has the same bundles."""
+    sparse = V.messages(spark, sf_dir).withColumn("off", F.col("off") * 70_000)
+    bundles = _bundle_keys(consume.consume_bytes(sparse, _subscription()))
+    return bundles.withColumn("first_off", F.expr("first_off div 70000"))
+
+
+@query
+def consume_attributes(spark, sf_dir):
+    """Every attribute of every bundle, of both consumers in both scopes."""
+    log = V.messages(spark, sf_dir)
+
+    def listed(scope: str, consumer: str) -> DataFrame:
+        sub = _subscription(scope=scope)
+        made = consume.consume_bytes(log, sub) if consumer == "bytes" else consume.consume_records(log, sub, V.RECORD)
+        good = made.where(F.col("relationship") == C.SUCCESS)
+        rows = good.select("topic", _big("part").alias("part"), "first_off", F.explode("attributes").alias("name", "value"))
+        return rows.withColumns({"scope": F.lit(scope), "consumer": F.lit(consumer)})
+
+    return _union([listed(scope, consumer) for scope in ("mapped", "all") for consumer in ("bytes", "records")])
+
+
+@query
+def json_lines(spark, sf_dir):
+    """Several JSON records in a message: a line each, leftovers behind some, some arrays cut off."""
+    batched = assign_receive_batches(V.json_messages(spark, sf_dir), 10)
+    joined = bundling.concat(bundling.runs(batched, F.struct("topic")), "\n")
+    broken = F.when(F.col("first_off") % 3 == 0, F.concat(F.col("content").cast("string"), F.lit("\nleft over")))
+    arrays = F.concat(F.lit("["), F.replace(F.col("content").cast("string"), F.lit("\n"), F.lit(",")))
+    cut_off = F.when(F.col("first_off") % 3 == 1, arrays)
+    text = F.coalesce(broken, cut_off, F.col("content").cast("string"))
+    parsed = records.route(records.parse(joined.withColumn("data", text.cast("binary")), "k bigint", "json"))
+    kept = F.aggregate("kept", F.lit(0).cast("bigint"), lambda total, r: total + r["k"])
+    return parsed.select("topic", "first_off", _big(F.size("kept")).alias("n"), kept.alias("k_sum"), "failed")
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Texts with quotes, line breaks and nulls, written as CSV and read back."""
+    null_text = {"nullValue": "\\N"}
+    docs = V.table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("text"), F.concat(F.lit('say "'), "lang", F.lit('", '), "source").alias("quoted")
+    )
+    written = codecs.serialize(F.struct("doc_id", "text", "quoted"), "csv", null_text)
+    lines = docs.select(F.concat(F.lit(codecs.csv_header(docs.columns)), written).cast("binary").alias("data"))
+    back = records.parse(lines, "doc_id bigint, text string, quoted string", "csv", {**null_text, "header": "true"})
+    rows = records.explode(back)
+    return rows.select("doc_id", _md5("text"), "quoted", F.col(codecs.CORRUPT).isNotNull().alias("corrupt"))
+
+
 @query
 def consume_record_bundles(spark, sf_dir):
     bundles = consume.consume_records(V.messages(spark, sf_dir), _subscription(), V.RECORD)
@@ -136,19 +187,15 @@ def consume_record_bundles(spark, sf_dir):
 
 @query
 def topic_list(spark, sf_dir):
-    wanted = topics.subscribed(f"{V.NAMESPACE}click, {V.NAMESPACE}view")
-    return (
-        V.messages(spark, sf_dir)
-        .where(wanted)
-        .groupBy("topic")
-        .agg(_n(), F.min("off").alias("lo"), F.max("off").alias("hi"))
-    )
+    wanted = f"{V.NAMESPACE}click, {V.NAMESPACE}view"
+    found = topics.read_topics(spark, _staged(spark, sf_dir), topics=wanted)
+    return found.select("topic", _big("part").alias("part"), "off", _md5("data"))
 
 
 @query
 def topic_pattern(spark, sf_dir):
-    wanted = topics.subscribed(pattern=V.NAMESPACE + "(p|s).*")
-    return V.messages(spark, sf_dir).where(wanted).groupBy("topic").agg(_n())
+    found = topics.read_topics(spark, _staged(spark, sf_dir), pattern=V.NAMESPACE + "(p|s).*")
+    return found.select("topic", _big("part").alias("part"), "off", _md5("data"))
 
 
 @query
@@ -346,7 +393,7 @@ def record_counts(spark, sf_dir):
 
 @query
 def schema_runs(spark, sf_dir):
-    numbered = bundling.runs(_batched(spark, sf_dir, 1000), bundling.run_key(None))
+    numbered = bundling.runs(_batched(spark, sf_dir, 1000), bundling.run_key(None, records=True))
     return numbered.groupBy("topic", _big("part").alias("part"), "batch_no", "run").agg(
         _n(), F.min(A.schema_text()).alias("schema")
     )
@@ -453,7 +500,7 @@ def prefix_keep(spark, sf_dir):
 def schema_failures(spark, sf_dir):
     known = F.col("properties").getItem("tier").isNotNull()
     log = V.messages(spark, sf_dir).withColumn("schema_def", F.when(known, F.col("schema_def")))
-    return records.route_schema(log).groupBy("topic", "relationship").agg(_n(), F.sum("off").alias("off_sum"))
+    return records.route_schema(log).select("topic", "off", "relationship")
 
 
 @query
@@ -485,12 +532,8 @@ def error_policy(spark, sf_dir):
 
     def counted(policy: str) -> DataFrame:
         usable = F.size(F.filter("records", lambda r: r.isNotNull()))
-        return (
-            records.apply_policy(parsed, policy)
-            .groupBy("relationship")
-            .agg(_n(), F.sum(usable).alias("usable"))
-            .withColumn("policy", F.lit(policy))
-        )
+        kept = records.apply_policy(parsed, policy)
+        return kept.select("off", "relationship", _big(usable).alias("usable"), F.lit(policy).alias("policy"))
 
     return _union([counted(policy) for policy in ("consume", "discard", "fail")])
 
@@ -543,10 +586,9 @@ def partition_routes(spark, sf_dir):
     }
     return _union(
         [
-            publish.route_partitions(log, 4, mode, "off", partition)
-            .groupBy(_big("part").alias("part"))
-            .agg(_n())
-            .withColumn("mode", F.lit(mode))
+            publish.route_partitions(log, 4, mode, "off", partition).select(
+                "off", _big("part").alias("part"), F.lit(mode).alias("mode")
+            )
             for mode, partition in chosen.items()
         ]
     )
@@ -574,7 +616,7 @@ def cumulative_acks(spark, sf_dir):
 @query
 def individual_acks(spark, sf_dir):
     acks = delivery.individual_acks(V.messages(spark, sf_dir), CONSUMER)
-    return acks.groupBy("consumer_id", "topic").agg(_n(), F.sum("off").alias("off_sum"))
+    return acks.select("consumer_id", "topic", _big("part").alias("part"), "off")
 
 
 def _acked(log: DataFrame) -> DataFrame:
@@ -590,12 +632,7 @@ def backlog(spark, sf_dir):
         "singly": delivery.backlog(log, acks=_acked(log)),
         "both": delivery.backlog(log, _acked(log), cursors),
     }
-    return _union(
-        [
-            left.groupBy("topic").agg(_n(), F.min("off").alias("lo")).withColumn("form", F.lit(form))
-            for form, left in forms.items()
-        ]
-    )
+    return _union([left.select("topic", "off", F.lit(form).alias("form")) for form, left in forms.items()])
 
 
 @query
@@ -614,14 +651,14 @@ def due_for_redelivery(spark, sf_dir):
     delivered = log.withColumnRenamed("publish_time", "delivered_at")
     now = log.agg(F.max("publish_time")).scalar()
     due = delivery.due_for_redelivery(delivered, _acked(log), now, 86400)
-    return due.groupBy("topic").agg(_n(), F.min("off").alias("lo"), F.sum("off").alias("off_sum"))
+    return due.select("topic", _big("part").alias("part"), "off")
 
 
 @query
 def dedupe(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     twice = log.unionByName(log.where(OPEN))
-    return delivery.dedupe(twice).groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"), _checksum("data"))
+    return delivery.dedupe(twice).select("topic", _big("part").alias("part"), "off", _md5("data"))
 
 
 @query
@@ -629,10 +666,7 @@ def dispatch(spark, sf_dir):
     log = V.messages(spark, sf_dir)
     return _union(
         [
-            delivery.dispatch(log, 4, mode)
-            .groupBy("consumer")
-            .agg(_n(), F.sum("off").alias("off_sum"))
-            .withColumn("mode", F.lit(mode))
+            delivery.dispatch(log, 4, mode).select("off", "consumer", F.lit(mode).alias("mode"))
             for mode in C.SUBSCRIPTION_TYPES
         ]
     )
@@ -691,7 +725,7 @@ def _drained(spark, stream: DataFrame, pipeline, label: str) -> DataFrame:
 @query
 def stream_topics(spark, sf_dir):
     wanted = f"{V.NAMESPACE}click, {V.NAMESPACE}view"
-    stream = reader.stream_topics(spark, _staged(spark, sf_dir), wanted, max_files=4)
+    stream = reader.stream_topics(spark, _staged(spark, sf_dir), wanted, start="earliest", max_files=4)
     return _drained(spark, stream, lambda poll: poll.select("topic", "off"), "stream-topics").select("topic", "off")
 
 
@@ -701,7 +735,7 @@ def commit_replay(spark, sf_dir):
     identity = fresh_path(spark, topics.consumer_identity("audit", pattern=".*", consumer_name="replay"))
     sub = _subscription(subscription_type=C.EXCLUSIVE)
     for _ in range(2):
-        stream = reader.stream_topics(spark, path, pattern=".*", max_files=8)
+        stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", max_files=8)
         runner.run(
             stream, lambda poll: consume.consume_bytes(poll, sub, drop_empty=False), sink, identity, acks, sub.acknowledge
         )
@@ -710,13 +744,25 @@ def commit_replay(spark, sf_dir):
     return bundles.join(cursors, ["topic", "part"]).withColumn("part", _big("part"))
 
 
+@query
+def stream_latest(spark, sf_dir):
+    """By default a subscription begins behind what was there when it was made."""
+    log, path = V.messages(spark, sf_dir), fresh_path(spark, "topics")
+    consumer = fresh_path(spark, "consumer")
+    tables.write_messages(log.where(SUBSCRIBED), path)
+    reader.stream_topics(spark, path, pattern=".*", consumer_id=consumer)
+    tables.write_messages(log.where(f"not {SUBSCRIBED}"), path)
+    stream = reader.stream_topics(spark, path, pattern=".*", consumer_id=consumer)
+    return _drained(spark, stream, lambda poll: poll.select("topic", "off"), "stream-latest").select("topic", "off")
+
+
 @query
 def stream_dedupe(spark, sf_dir):
-    path = _staged(spark, sf_dir)
+    path, sink = _staged(spark, sf_dir), fresh_path(spark, "stream-dedupe")
     tables.write_messages(V.messages(spark, sf_dir).where(OPEN), path)
-    once = stateful.dedupe(reader.stream_topics(spark, path, pattern=".*"), "100 days")
-    kept = _drained(spark, once.select("topic", "off"), lambda poll: poll, "stream-dedupe")
-    return kept.groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"))
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", max_files=V.SOME_FILES)
+    stateful.dedupe(stream, sink, fresh_path(spark, "ledger"), fresh_path(spark, "dedupe-checkpoint"))
+    return spark.read.parquet(sink).select("topic", _big("part").alias("part"), "off", _md5("data"))
 
 
 @query
@@ -725,37 +771,86 @@ def stream_redelivery(spark, sf_dir):
     sent, acked = fresh_path(spark, "sent"), fresh_path(spark, "acked")
     tables.write_messages(log, sent)
     tables.write_messages(log.where(ACKED), acked)
-    delivered = reader.stream_topics(spark, sent, pattern=".*").withColumnRenamed("publish_time", "delivered_at")
-    acks = reader.stream_topics(spark, acked, pattern=".*").withColumnRenamed("publish_time", "acked_at")
-    due = stateful.due_for_redelivery(delivered, acks, 86400)
-    kept = _drained(spark, due.select("topic", "off"), lambda poll: poll, "stream-redelivery")
-    return kept.groupBy("topic").agg(_n(), F.sum("off").alias("off_sum"))
+
+    def noted(path: str, label: str) -> str:
+        keys = lambda poll: poll.select(*delivery.MESSAGE, F.col("publish_time").alias("delivered_at"))
+        stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", max_files=8)
+        ledger = fresh_path(spark, label)
+        runner.run(stream, keys, ledger, fresh_path(spark, f"{label}-checkpoint"))
+        return ledger
+
+    deliveries = stateful.delivered(noted(sent, "sent-ledger"), spark)
+    acks = spark.read.parquet(noted(acked, "acked-ledger"))
+    now = log.agg(F.max("publish_time")).scalar()
+    due = delivery.due_for_redelivery(deliveries, acks, now, 86400)
+    return due.select("topic", _big("part").alias("part"), "off")
 
 
 @query
 def stream_chunks(spark, sf_dir):
-    path = fresh_path(spark, "chunks")
-    V.broken_chunks(spark, sf_dir).write.parquet(path)
-    chunks = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    closed = _drained(spark, stateful.assemble(chunks, 3600), lambda poll: poll, "stream-chunks")
-    return closed.select(F.col("chunk_set").alias("doc_id"), "received", "status", _md5("data"))
+    path, sink = fresh_path(spark, "chunks"), fresh_path(spark, "stream-chunks")
+    # a set's chunks come in different polls
+    V.broken_chunks(spark, sf_dir).repartition(4, "chunk_no").write.parquet(path)
+    chunks = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    stateful.assemble(chunks, sink, fresh_path(spark, "open-chunks"), fresh_path(spark, "chunks-checkpoint"))
+    return spark.read.parquet(sink).select(_big("chunk_set").alias("doc_id"), "chunk_count", _md5("data"))
 
 
 @query
-def stream_publish(spark, sf_dir):
-    source, table = fresh_path(spark, "bundles"), fresh_path(spark, "streamed-topics")
-    V.documents(spark, sf_dir).repartition(4, "bundle_id").write.parquet(source)
+def stream_dead_letters(spark, sf_dir):
+    """A streamed record consumer keeps what it cannot parse in the dead-letter table."""
+    dead, sub = fresh_path(spark, "dead"), _subscription()
+    stream = reader.stream_topics(spark, _staged(spark, sf_dir), pattern=".*", start="earliest")
+    runner.run(
+        stream,
+        lambda poll: consume.consume_records(poll, sub, V.RECORD),
+        fresh_path(spark, "good"),
+        fresh_path(spark, "dead-checkpoint"),
+        dead_letters=dead,
+    )
+    return spark.read.parquet(dead).select("relationship", "topic", _big("part").alias("part"), "batch_no", "bundle_no", _md5("content"))
+
+
+def _publish_stream(spark, bundles: DataFrame, table: str, ends: str, checkpoint: str, failures: str) -> None:
+    source = fresh_path(spark, "bundles")
+    bundles.repartition(4, "bundle_id").write.parquet(source)
     runner.publish(
         reader.stream_bundles(spark, source, max_files=2),
-        lambda poll, ends: publishers.publish_bytes(
-            poll, publishers.Target("${topic}", partitions=4), demarcator="\n", ends=ends
+        lambda poll, reached: publishers.publish_bytes(
+            poll, publishers.Target("${topic}", partitions=4), demarcator="\n", ends=reached
         ),
         table,
-        fresh_path(spark, "ends"),
-        fresh_path(spark, "publish-checkpoint"),
+        ends,
+        checkpoint,
+        failures,
     )
+
+
+@query
+def stream_publish(spark, sf_dir):
+    table, ends, checkpoint, failures = (fresh_path(spark, x) for x in ("streamed-topics", "ends", "checkpoint", "failed"))
+    _publish_stream(spark, V.documents(spark, sf_dir), table, ends, checkpoint, failures)
     return (
         topics.read_topics(spark, table, pattern=".*")
         .groupBy("topic")
         .agg(_n(), F.min("off").alias("lo"), F.max("off").alias("hi"), F.sum("off").alias("off_sum"), _checksum("data"))
     )
+
+
+@query
+def stream_publish_failures(spark, sf_dir):
+    """Bundles without a topic come back from the failure table of a streamed publisher."""
+    table, ends, checkpoint, failures = (fresh_path(spark, x) for x in ("streamed-topics", "ends", "checkpoint", "failed"))
+    _publish_stream(spark, V.documents(spark, sf_dir), table, ends, checkpoint, failures)
+    return spark.read.parquet(failures).select("bundle_id", "relationship", _md5("content"))
+
+
+@query
+def stream_two_publishers(spark, sf_dir):
+    """Two publishers into one topic table, one after the other: every message, and every offset once."""
+    table, ends, failures = (fresh_path(spark, x) for x in ("shared-topics", "shared-ends", "failed"))
+    for rest in (0, 1):
+        some = V.documents(spark, sf_dir).where(F.col("bundle_id") % 2 == rest)
+        _publish_stream(spark, some, table, ends, fresh_path(spark, "publisher"), failures)
+    found = topics.read_topics(spark, table, pattern=".*").groupBy("topic")
+    return found.agg(_n(), F.countDistinct("off").alias("offsets"), F.min("off").alias("lo"), F.max("off").alias("hi"), _checksum("data"))

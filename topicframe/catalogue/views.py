@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codecs
 from ..functions.mapping import map_of
 from ..operators import bundling, chunking
-from ..operators.receive import LOG, SEGMENT, SEGMENT_BATCH, assign_receive_batches
+from ..operators.receive import LOG, assign_receive_batches
 from ..schema import MESSAGE_SCHEMA, conform
 
 NAMESPACE = "persistent://public/default/"
@@ -48,13 +48,23 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: files a bounded poll takes in queries, so that streams are read in several polls
+SOME_FILES = 8
+
+
+def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages whose payload is the event's JSON properties."""
+    return messages(spark, sf_dir).drop("data").join(
+        table(spark, sf_dir, "events").select(F.col("event_id").alias("off"), F.col("props").cast("binary").alias("data")), "off"
+    )
+
+
 def many_record_messages(spark: SparkSession, sf_dir: str, lines: int = 20) -> DataFrame:
     """Messages of up to ``lines`` records each: consecutive payloads joined by newlines."""
-    batched = assign_receive_batches(messages(spark, sf_dir), lines, segment=SEGMENT)
+    batched = assign_receive_batches(messages(spark, sf_dir), lines)
     joined = bundling.concat(
-        bundling.runs(batched, F.struct("topic"), SEGMENT_BATCH),
+        bundling.runs(batched, F.struct("topic")),
         "\n",
-        SEGMENT_BATCH,
         extra=[F.max("publish_time").alias("publish_time")],
     )
     return joined.select(*LOG, F.col("first_off").alias("off"), "publish_time", F.col("content").alias("data"))
@@ -113,8 +123,8 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bundles of up to a hundred CSV lines."""
-    batched = assign_receive_batches(order_messages(spark, sf_dir), 100, segment=SEGMENT)
-    joined = bundling.concat(bundling.runs(batched, F.struct("topic"), SEGMENT_BATCH), "", SEGMENT_BATCH)
+    batched = assign_receive_batches(order_messages(spark, sf_dir), 100)
+    joined = bundling.concat(bundling.runs(batched, F.struct("topic")), "")
     return joined.select(
         F.col("first_off").alias("bundle_id"),
         map_of({"topic": F.col("topic")}).alias("attributes"),

@@ -24,13 +24,13 @@ def mapped(spec: str | None) -> Column:
     return map_of(mapped_values(spec))
 
 
-def message_id() -> Column:
-    return map_of({C.MESSAGE_ID_ATTRIBUTE: F.col("message_id")})
+def message_id(value: Column | str = "message_id") -> Column:
+    return map_of({C.MESSAGE_ID_ATTRIBUTE: F.col(value) if isinstance(value, str) else value})
 
 
-def prefixed_properties() -> Column:
+def prefixed_properties(properties: Column | str = "properties") -> Column:
     """Every message property under the automatic prefix; no properties, no entries."""
-    renamed = F.transform_keys("properties", lambda name, _: F.concat(F.lit(C.PROPERTY_PREFIX), name))
+    renamed = F.transform_keys(properties, lambda name, _: F.concat(F.lit(C.PROPERTY_PREFIX), name))
     return F.coalesce(renamed, empty_map())
 
 

@@ -6,16 +6,20 @@ needs no shuffle. ``_corrupt`` in a record holds the offending text, null when i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.avro.functions import from_avro
+from pyspark.sql.avro.functions import from_avro, to_avro
 
 CORRUPT = "_corrupt"
 
-_CSV_OPTIONS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+# a quote inside a quoted field is doubled, and a quoted field may hold line breaks
+_CSV_QUOTING = {"quote": '"', "escape": '"', "multiLine": "true"}
+_CSV_OPTIONS = {**_CSV_QUOTING, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+_CSV_WRITING = {**_CSV_QUOTING, "quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _LINE_END = "\n"
 
 
@@ -35,8 +39,13 @@ def read_records(
 ) -> Column:
     """All records of one payload, good and bad, in order. An empty payload has none.
 
-    ``fmt`` is ``csv`` (one record per line), ``json`` (one object, or an array of them),
-    ``avro``, or a function from the payload to an array of structs that end in ``_corrupt``.
+    ``fmt`` is ``csv``, ``json``, ``avro``, or a function from the payload to an array of structs
+    that end in ``_corrupt``.
+
+    CSV has a record per line; line breaks inside quoted fields belong to the field. ``options``
+    are the reader's; with ``header`` the first line is skipped, columns go by place. JSON has any
+    number of objects, or arrays of them, one behind the other; text between or behind them, and
+    what a cut-off array has after its last whole element, is a malformed record.
     """
     if callable(fmt):
         return fmt(data)
@@ -44,18 +53,15 @@ def read_records(
     settings = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     text = data.cast("string")
     if fmt == "csv":
-        lines = F.filter(F.split(text, "\r?\n"), lambda line: F.trim(line) != "")
+        has_header = str(settings.pop("header", "false")).lower() == "true"
+        lines = csv_lines(text, settings)
+        if has_header:
+            lines = _bound(lines, lambda x: F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))))
         ddl = _ddl(_with_corrupt(fields))
         records = F.transform(lines, lambda line: F.from_csv(line, ddl, {**_CSV_OPTIONS, **settings}))
     elif fmt == "json":
         full = _with_corrupt(fields)
-        # an array is cut into its elements first, so that each element can fail alone
-        cut = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
-        elements = F.coalesce(cut, F.array(text))
-        records = F.when(
-            F.trim(text) != "",
-            F.transform(elements, lambda element: F.from_json(element, full, settings)),
-        )
+        records = F.transform(json_values(text), lambda value: F.from_json(value, full, settings))
     elif fmt == "avro":
         records = _read_avro(data, fields, options)
     else:
@@ -63,6 +69,83 @@ def read_records(
     return F.coalesce(records, F.array().cast(T.ArrayType(_with_corrupt(fields))))
 
 
+def csv_lines(text: Column, settings: dict[str, str] | None = None) -> Column:
+    """The lines of CSV text that are not blank; a quoted field may hold line breaks."""
+    wanted = settings or {}
+    mark = re.escape(wanted.get("sep", wanted.get("delimiter", ",")))
+    quote = re.escape(wanted.get("quote", '"'))
+    field = rf"(?:[ \t]*{quote}(?:[^{quote}]++|{quote}{quote})*+{quote}(?:(?!{mark})[^\r\n])*+|(?:(?!{mark})[^\r\n])*+)"
+    quoted = F.regexp_extract_all(text, F.lit(rf"({field}(?:{mark}{field})*+)"), 1)
+    plain = F.split(text, "\r?\n")
+    cut = F.when(text.contains(wanted.get("quote", '"')), quoted).otherwise(plain)
+    return F.filter(cut, lambda line: F.trim(line) != "")
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+_FLAT_OBJECT = r"(?s)\s*\{[^{}\[\]]*\}\s*"
+_FLAT_ARRAY = r"(?s)\s*\[[^\[\]]*\]\s*"
+
+
+def json_values(text: Column) -> Column:
+    """The records in JSON text: top-level objects, and the elements of top-level arrays, in order.
+
+    A payload of one object, of one array without arrays in it, or of one flat object per line is
+    cut without looking at each sign; any other is walked sign by sign.
+    """
+    lines = F.filter(F.split(text, "\r?\n"), lambda line: F.trim(line) != "")
+    single = text.rlike(f"^{_FLAT_OBJECT}$")
+    listed = F.when(text.rlike(f"^{_FLAT_ARRAY}$"), F.from_json(text, "array<string>"))
+    by_line = _bound(lines, lambda x: F.when(F.forall(x, lambda line: line.rlike(f"^{_FLAT_OBJECT}$")), x))
+    return F.when(F.trim(text) == "", F.array().cast("array<string>")).otherwise(
+        F.when(single, F.array(text)).otherwise(F.coalesce(listed, by_line, _walked(text)))
+    )
+
+
+def _walked(text: Column) -> Column:
+    """The same by depth: strings are skipped whole, brackets and commas counted."""
+    signs = F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]++|\\.)*+"|[\[\]{},]|[^\[\]{},"]++|")'), 1)
+    zero, no = F.lit(0), F.lit(False)
+    begin = F.struct(
+        zero.alias("depth"),
+        no.alias("listed"),
+        zero.alias("at"),
+        zero.alias("start"),
+        F.array().cast("array<struct<start:int,size:int>>").alias("found"),
+    )
+
+    def step(s: Column, sign: Column) -> Column:
+        size = F.length(sign)
+        behind = s["at"] + size
+        opens, closes = sign.isin("[", "{"), sign.isin("]", "}")
+        top = s["depth"] == 0
+        last = closes & (s["depth"] == 1)
+        between = (sign == ",") & (s["depth"] == 1) & s["listed"]
+        enters = top & (sign == "[")
+        cut = F.struct(s["start"].alias("start"), F.when(last & ~s["listed"], behind - s["start"]).otherwise(s["at"] - s["start"]).alias("size"))
+        ends = last | between | (opens & top)
+        return F.struct(
+            F.when(opens, s["depth"] + 1).when(closes, s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
+            F.when(opens & top, sign == "[").otherwise(s["listed"]).alias("listed"),
+            behind.alias("at"),
+            F.when(last | between | enters, behind).when(opens & top, s["at"]).otherwise(s["start"]).alias("start"),
+            F.when(ends, F.array_append(s["found"], cut)).otherwise(s["found"]).alias("found"),
+        )
+
+    def pieces(s: Column) -> Column:
+        rest = F.struct(s["start"].alias("start"), (s["at"] - s["start"]).alias("size"))
+        cuts = F.array_append(s["found"], rest)
+        texts = F.transform(cuts, lambda c: F.substring(text, c["start"] + 1, c["size"]))
+        # a bracket that was never closed is an error of its own, behind what could be read
+        return F.when(s["depth"] > 0, F.array_append(texts, F.lit("["))).otherwise(texts)
+
+    walked = F.aggregate(signs, begin, step, lambda s: _bound(s, pieces))
+    return F.filter(walked, lambda piece: F.trim(F.regexp_replace(piece, r"\s+", " ")) != "")
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -93,12 +176,28 @@ def without_corrupt(record: Column) -> Column:
     return record.dropFields(CORRUPT)
 
 
-def serialize(record: Column, fmt: str | Callable[[Column], Column]) -> Column:
-    """One record as the writer puts it into a payload: a JSON object, or a quoted CSV line."""
+def serialize(record: Column, fmt: str | Callable[[Column], Column], options: dict[str, str] | None = None) -> Column:
+    """One record as the writer puts it into a payload: a JSON object, a CSV line, or Avro bytes.
+
+    ``options`` are the writer's: delimiter (``sep``), quoting (``quoteAll``, ``quote``), the text
+    for nulls (``nullValue``) and so on for CSV, ``schema`` for Avro. Without ``nullValue`` a null
+    and an empty text are written alike in CSV.
+    """
+    wanted = dict(options or {})
     if callable(fmt):
         return fmt(record)
     if fmt == "json":
-        return F.to_json(record)
+        return F.to_json(record, wanted)
     if fmt == "csv":
-        return F.concat(F.to_csv(record, {"quoteAll": "true"}), F.lit(_LINE_END))
-    raise ValueError(f"unknown record format {fmt!r}; use json, csv or a function")
+        return F.concat(F.to_csv(record, {**_CSV_WRITING, **wanted}), F.lit(_LINE_END))
+    if fmt == "avro":
+        return to_avro(record, wanted.get("schema", ""))
+    raise ValueError(f"unknown record format {fmt!r}; use json, csv, avro or a function")
+
+
+def csv_header(names: list[str], options: dict[str, str] | None = None) -> str:
+    """The header line the CSV writer would put before records of these fields."""
+    wanted = {**_CSV_WRITING, **(options or {})}
+    quote = wanted["quote"]
+    quoted = [f"{quote}{n.replace(quote, quote * 2)}{quote}" if wanted["quoteAll"] == "true" else n for n in names]
+    return wanted.get("sep", wanted.get("delimiter", ",")).join(quoted) + _LINE_END

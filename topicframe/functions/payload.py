@@ -27,7 +27,11 @@ def is_filled(data: Column | str = "data") -> Column:
 
 
 def joined(data: str, demarcator: str, order: str) -> Column:
-    """Payloads of a group joined by the demarcator in ``order``; for use in ``agg``."""
+    """Payloads of a group joined by the demarcator in ``order``; for use in ``agg``.
+
+    The result is one value, so the payloads of a group must stay under 2 GB together: with
+    payloads of megabytes, choose a smaller receive batch.
+    """
     return F.expr(f"listagg({data}, {bytes_literal(demarcator)}) within group (order by {order})")
 
 
@@ -55,6 +59,23 @@ def _without_empty_end(pieces: Column) -> Column:
     )
 
 
+def token_count(content: Column, demarcator: Column | str) -> Column:
+    """How many tokens ``tokens`` gives, without cutting."""
+    if isinstance(demarcator, str) and demarcator == "":
+        return F.lit(1).cast("bigint")
+    mark = F.lit(demarcator) if isinstance(demarcator, str) else demarcator
+    text = content.cast("string")
+
+    def counted(value: Column, by: Column) -> Column:
+        cuts = (F.length(value) - F.length(F.replace(value, by, F.lit("")))) / F.length(by)
+        behind = F.when(value.endswith(by), 1).otherwise(0)
+        return F.when(F.length(value) == 0, 0).otherwise(cuts + 1 - behind).cast("bigint")
+
+    bytewise = counted(F.decode(content, _BYTEWISE), F.decode(mark.cast("binary"), _BYTEWISE))
+    of_any = F.when(F.is_valid_utf8(text), counted(text, mark)).otherwise(bytewise)
+    return F.when(is_filled(mark.cast("binary")), of_any).otherwise(F.lit(1).cast("bigint"))
+
+
 def tokens(content: Column, demarcator: Column | str) -> Column:
     """Content cut at each demarcator, without the empty piece behind a last one.
 

@@ -9,9 +9,9 @@ from .. import constants as C
 
 
 def receipts(bundles: DataFrame, broker_url: str) -> DataFrame:
-    """Receive events added up per consumer, topic and receive batch."""
+    """Receive events added up per consumer, log and receive batch."""
     return (
-        bundles.groupBy("consumer_id", "topic", "batch_no")
+        bundles.groupBy("consumer_id", "topic", "part", "batch_no")
         .agg(
             F.count("*").alias("bundles"),
             F.sum("message_count").alias("messages"),

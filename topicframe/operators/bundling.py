@@ -25,12 +25,13 @@ def by_topic(df: DataFrame, within: Sequence[str]) -> DataFrame:
 def run_key(spec: str | None, scope: str = "mapped", records: bool = False) -> Column:
     """What two neighbours must share to stay in one bundle.
 
-    ``mapped``: mapped attributes, topic and schema. ``all``: every attribute, hence also the
-    message id, so that messages with ids are never bundled together.
+    ``mapped``: mapped attributes, and for records topic and schema. ``all``: every attribute,
+    hence also the message id, so that messages with ids are never bundled together.
     """
     if scope == "mapped":
         values = [v.alias(f"v{i}") for i, v in enumerate(A.mapped_values(spec).values())]
-        return F.struct(F.col("topic"), A.schema_text().alias("schema"), *values)
+        shared = [F.col("topic"), A.schema_text().alias("schema")] if records else [F.lit(0).alias("_")]
+        return F.struct(*shared, *values)
     if scope == "all":
         return F.struct(A.entries(A.automatic(spec, records)).alias("entries"))
     raise ValueError(f"unknown scope {scope!r}; use mapped or all")

@@ -1,10 +1,11 @@
 """Running totals over a log of any length without a task per log.
 
-A window over a whole (topic, part) would sort it in one task. Here the offsets are cut
-into spans. A first, narrow pass adds up each span; the totals are summed in two levels; and
-the row-level window then runs inside one span, so no task sees more than ``span`` rows of a
-log however much of the data one topic holds. Nothing depends on how rows happen to be
-partitioned, so a lost executor recomputes the same numbers.
+A window over a whole (topic, part) would sort it in one task. Here the offsets are cut into
+spans, and the row-level window runs inside one span. What was reached before a span comes from
+totals of spans, of groups of 65 536 spans, of groups of those, and so on over all bits an offset
+can have. So no window holds more than 65 536 totals or ``span`` rows of a log, whether offsets
+are dense or as sparse as hashes. Nothing depends on how rows happen to be partitioned, so a lost
+executor recomputes the same numbers.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DEFAULT_SPAN = 8192
-_SPANS_PER_SEGMENT = 65536
+_FAN = 65536
 
 
 def running_total(
@@ -30,15 +31,18 @@ def running_total(
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows before this one, per ``by``.
 
-    ``order`` is a non-negative whole number; ``ties`` order rows that share it. With
-    ``order`` unique per ``by`` a span holds at most ``span`` rows. ``by`` must not be null.
+    ``order`` is a non-negative whole number; a row without one raises, as it has no place in
+    the order. ``ties`` order rows that share it. With ``order`` unique per ``by`` a span holds
+    at most ``span`` rows. ``by`` must not be null.
     """
     # rows are sorted by these columns in turn; a topic's name is slowest to compare
     keys = list(reversed(by))
-    cut = df.withColumn("_value", value.cast("bigint")).withColumn("_span", F.expr(f"`{order}` div {span}"))
+    missing = F.raise_error(F.lit(f"a row without {order} cannot be put in order")).cast("bigint")
+    place = F.when(F.col(order).isNull(), missing).otherwise(F.expr(f"`{order}` div {span}"))
+    cut = df.withColumn("_value", value.cast("bigint")).withColumn("_span", place)
     in_span = Window.partitionBy("_span", *keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.join(_span_starts(cut, keys), ["_span", *keys])
+        cut.join(_span_starts(cut, keys, span), ["_span", *keys])
         .withColumn(name, F.col("_start") + F.coalesce(F.sum("_value").over(in_span), F.lit(0)))
         .drop("_value", "_span", "_start")
     )
@@ -56,26 +60,36 @@ def ordinal(
     return running_total(df, by, order, F.lit(1), name, ties, span)
 
 
-def _span_starts(cut: DataFrame, keys: list[str]) -> DataFrame:
+def _levels(span: int) -> list[str]:
+    """Names of the groupings: spans, groups of spans, groups of groups, up to the whole log."""
+    rest, names = (1 << 63) // span, ["_span"]
+    while rest > _FAN:
+        rest //= _FAN
+        names.append(f"_group{len(names)}")
+    return names
+
+
+def _span_starts(cut: DataFrame, keys: list[str], span: int) -> DataFrame:
     """What was reached before each span, as (keys, _span, _start)."""
-    # both joins below drop null spans and segments; saying so here keeps the two uses of
-    # ``spans`` identical, so its scan and shuffle are done once and reused
-    segmented = cut.withColumn("_segment", F.expr(f"_span div {_SPANS_PER_SEGMENT}")).where(
-        "_span is not null and _segment is not null"
-    )
-    spans = segmented.groupBy("_span", "_segment", *keys).agg(F.sum("_value").alias("_total"))
-    before_span = (
-        Window.partitionBy("_segment", *keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before_segment = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    segments = (
-        spans.groupBy("_segment", *keys)
-        .agg(F.sum("_total").alias("_segment_total"))
-        .withColumn("_segment_start", F.coalesce(F.sum("_segment_total").over(before_segment), F.lit(0)))
-        .drop("_segment_total")
-    )
-    return (
-        spans.withColumn("_inner", F.coalesce(F.sum("_total").over(before_span), F.lit(0)))
-        .join(segments, ["_segment", *keys])
-        .select(*keys, "_span", (F.col("_segment_start") + F.col("_inner")).alias("_start"))
-    )
+    names = _levels(span)
+    grouped = cut
+    for i, name in enumerate(names[1:], 1):
+        grouped = grouped.withColumn(name, F.expr(f"_span div {_FAN**i}"))
+    # the joins below drop null groups; saying so here keeps the uses of each level identical,
+    # so its scan and shuffle are done once and reused
+    grouped = grouped.where(" and ".join(f"{n} is not null" for n in names))
+    level = grouped.groupBy(*names, *keys).agg(F.sum("_value").alias("_total"))
+    levels = [level]
+    for i in range(1, len(names)):
+        levels.append(levels[-1].groupBy(*names[i:], *keys).agg(F.sum("_total").alias("_total")))
+    starts = None
+    for i in reversed(range(len(names))):
+        within = Window.partitionBy(*names[i + 1 : i + 2], *keys).orderBy(names[i])
+        before = F.coalesce(F.sum("_total").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        inner = levels[i].select(*names[i : i + 2], *keys, before.alias("_inner"))
+        if starts is None:
+            starts = inner.withColumnRenamed("_inner", "_start")
+        else:
+            joined = inner.join(starts.select(names[i + 1], *keys, F.col("_start").alias("_outer")), [names[i + 1], *keys])
+            starts = joined.select(names[i], *keys, (F.col("_outer") + F.col("_inner")).alias("_start"))
+    return starts

@@ -73,17 +73,21 @@ def records_to_messages(df: DataFrame, record: Column, fmt: Format) -> DataFrame
     return df.withColumn("data", codecs.serialize(record, fmt).cast("binary"))
 
 
-def explode_records(df: DataFrame, schema: T.StructType | str, writer: Format, key_field: str | None) -> DataFrame:
-    """One message per record of ``records``, with ``pos``, ``data`` and the ``key`` of its field."""
-    rest = [c for c in df.columns if c not in ("records", "content", "key")]
+def record_messages(
+    schema: T.StructType | str, writer: Format, key_field: str | None, options: dict[str, str] | None = None
+) -> Column:
+    """``records`` as an array of message key and payload, in their order."""
     fields = {f.name: f.dataType for f in codecs.as_struct(schema).fields}
-    exploded = df.select(*rest, F.posexplode("records").alias("pos", "_record"))
-    key = F.lit(None).cast("string")
-    if key_field in fields:
-        key_writer = writer if callable(writer) or writer in ("json", "csv") else "json"
-        key = K.key_text(F.col("_record").getField(key_field), fields[key_field], key_writer)
-    data = codecs.serialize(codecs.without_corrupt(F.col("_record")), writer).cast("binary")
-    return exploded.select(*rest, "pos", key.alias("key"), data.alias("data"))
+
+    def message(record: Column) -> Column:
+        key = F.lit(None).cast("string")
+        if key_field in fields:
+            key_writer = writer if callable(writer) or writer in ("json", "csv") else "json"
+            key = K.key_text(record.getField(key_field), fields[key_field], key_writer)
+        data = codecs.serialize(codecs.without_corrupt(record), writer, options).cast("binary")
+        return F.struct(key.alias("key"), data.alias("data"))
+
+    return F.transform("records", message)
 
 
 def route(df: DataFrame, partial: str = "none") -> DataFrame:

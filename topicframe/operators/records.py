@@ -79,9 +79,9 @@ def counts(df: DataFrame, records: str = "kept") -> DataFrame:
     return df.withColumn("record_count", F.size(records).cast("bigint"))
 
 
-def written(records: Column, fmt: Format) -> Column:
+def written(records: Column, fmt: Format, options: dict[str, str] | None = None) -> Column:
     """A message's records serialized one after another, as bytes; null when there are none."""
-    lines = F.transform(records, lambda r: codecs.serialize(codecs.without_corrupt(r), fmt))
+    lines = F.transform(records, lambda r: codecs.serialize(codecs.without_corrupt(r), fmt, options))
     return F.when(F.size(records) > 0, F.array_join(lines, "").cast("binary"))
 
 
@@ -91,13 +91,14 @@ def write(
     within: Sequence[str],
     order: str = "off",
     records: str = "kept",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per ``within`` with the records of its messages serialized in order.
 
     Each message is serialized before the shuffle, so what moves is the output's own bytes.
     """
     return (
-        df.withColumn("_written", written(F.col(records), fmt))
+        df.withColumn("_written", written(F.col(records), fmt, options))
         .groupBy(*reversed(within))
         .agg(
             F.expr(f"listagg(_written, X'') within group (order by {order})").alias("content"),

@@ -14,7 +14,7 @@ from ..functions import attributes as A
 from ..functions import payload as P
 from ..functions.mapping import map_of
 from ..operators import bundling, delivery, records
-from ..operators.receive import LOG, SEGMENT, assign_receive_batches
+from ..operators.receive import LOG, assign_receive_batches
 from ..schema import BUNDLE_SCHEMA, conform
 
 
@@ -22,8 +22,9 @@ from ..schema import BUNDLE_SCHEMA, conform
 class Subscription:
     """Settings shared by both consumers.
 
-    ``segment`` is the offset span a receive batch may not cross; None asks for full batches
-    at the price of a second pass and shuffle.
+    A receive batch is full but for a log's last. With ``segment`` it also ends where the log
+    enters its next segment of that many offsets, which saves a pass and a shuffle but makes
+    bundles depend on how dense the offsets are.
     """
 
     consumer_id: str
@@ -32,7 +33,7 @@ class Subscription:
     max_messages: int = C.DEFAULT_RECEIVE_BATCH
     scope: str = "mapped"
     by: Sequence[str] = LOG
-    segment: int | None = SEGMENT
+    segment: int | None = None
     subscription_type: str = C.SHARED
 
     def acknowledge(self, bundles: DataFrame, messages: DataFrame) -> DataFrame:
@@ -51,7 +52,8 @@ class Subscription:
     def shared_attributes(self, records: bool) -> dict[str, Column]:
         """Attributes equal on all messages of a run, as columns under their final names.
 
-        In ``all`` scope that is every attribute, kept as one map under the empty name.
+        The record consumer's runs also share topic and schema. In ``all`` scope that is every
+        attribute, kept as one map under the empty name.
         """
         if self.scope == "all":
             return {"": A.automatic(self.mapping, records)}
@@ -68,32 +70,39 @@ class Subscription:
     def numbered(self, messages: DataFrame, records: bool) -> _Runs:
         """Batches and runs over no more than the columns a consumer needs.
 
-        Attributes are taken from the messages first, so that keys and properties are not
-        moved, and the map of them is built once per bundle: inside a run they are equal, so
-        any row's will do.
+        Shared attributes are taken from the messages before they are moved. Message id and
+        properties are those of a run's first message; the map of all is built once per bundle.
         """
         shared = self.shared_attributes(records)
         columns = {name: f"_attribute{i}" for i, name in enumerate(shared)}
+        whole = "" in columns
         narrow = messages.select(
             *LOG,
             "off",
             "data",
-            A.schema_text().alias("_schema"),
             F.col("schema_def").isNotNull().alias("_has_schema"),
             *[value.alias(columns[name]) for name, value in shared.items()],
+            *([] if whole else ["message_id", "properties"]),
         )
-        if "" in columns:
+        first = F.min_by(F.struct(*columns.values(), *([] if whole else ["message_id", "properties"])), "off")
+        of_first = lambda name: F.col("_first").getField(name)
+        if whole:
             key = F.struct(A.entries(F.col(columns[""])).alias("entries"))
-            attributes = lambda added: A.merge(F.col(columns[""]), map_of(added))
+            attributes = lambda added: A.merge(of_first(columns[""]), map_of(added))
         else:
-            key = F.struct("topic", "_schema", *columns.values())
-            attributes = lambda added: map_of({**{n: F.col(c) for n, c in columns.items()}, **added})
+            key = F.struct(F.lit(0).alias("_"), *columns.values())
+            late = (C.TOPIC_ATTRIBUTE, C.SCHEMA_ATTRIBUTE) if records else ()
+
+            def attributes(added: dict[str, Column]) -> Column:
+                early = map_of({n: of_first(c) for n, c in columns.items() if n not in late})
+                last = map_of({**{n: of_first(columns[n]) for n in late}, **added})
+                carried = [A.message_id(of_first("message_id")), A.prefixed_properties(of_first("properties"))]
+                return A.merge(early, *carried, last)
+
         cut, within = self.batches(narrow)
         if records and "topic" not in within:
             within = [*within, "topic"]
-        return _Runs(
-            bundling.runs(cut, key, within), within, [F.first(c).alias(c) for c in columns.values()], attributes
-        )
+        return _Runs(bundling.runs(cut, key, within), within, [first.alias("_first")], attributes)
 
 
 @dataclass(frozen=True)
@@ -110,7 +119,8 @@ class _Runs:
 def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = True) -> DataFrame:
     """The raw consumer: payloads of each run joined by the demarcator.
 
-    A bundle that mixes topics, as batches across topics may give, has no topic of its own.
+    Runs break on mapped attributes alone. A bundle that mixes topics, as batches across topics
+    may give, has no topic of its own.
     """
     runs = sub.numbered(messages, records=False)
     topic = F.when(F.min("topic") == F.max("topic"), F.min("topic"))
@@ -136,6 +146,7 @@ def consume_records(
     writer: records.Format = "csv",
     options: dict[str, str] | None = None,
     needs_schema: bool = False,
+    writer_options: dict[str, str] | None = None,
 ) -> DataFrame:
     """The record consumer: good records of each run rewritten, bad messages kept whole.
 
@@ -149,7 +160,7 @@ def consume_records(
         parsed = parsed.withColumn("failed", F.col("failed") | ~F.col("_has_schema")).withColumn(
             "kept", F.when(F.col("_has_schema"), F.col("kept")).otherwise(F.slice("kept", F.lit(1), F.lit(0)))
         )
-    rewritten = parsed.withColumn("_written", records.written(F.col("kept"), writer)).withColumn(
+    rewritten = parsed.withColumn("_written", records.written(F.col("kept"), writer, writer_options)).withColumn(
         "_bad", F.when(F.col("failed"), F.col("data"))
     )
     runs = rewritten.groupBy("run", *reversed(numbered.within)).agg(

@@ -13,6 +13,7 @@ from ..functions import payload as P
 from ..functions.templates import render
 from ..operators import audit, publish, records
 from ..schema import MESSAGE_SCHEMA, conform
+from ..workspace import hold
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ def publish_bytes(
     routed = publish.route(addressed)
     if demarcator:
         mark = render(demarcator) if "${" in demarcator else demarcator
-        sent = F.size(P.tokens(F.col("content"), mark))
+        sent = P.token_count(F.col("content"), mark)
     else:
         sent = F.lit(1)
     placed = publish.assign_offsets(routed.where(F.col("relationship") == C.SUCCESS), sent, ends=ends)
@@ -69,18 +70,25 @@ def publish_records(
     partial: str = "none",
     options: dict[str, str] | None = None,
     ends: DataFrame | None = None,
+    writer_options: dict[str, str] | None = None,
 ) -> Published:
     """The record publisher: each record of a bundle's content is a message.
 
-    Keys come from a record field alone, never from the bundle. ``ends`` as above.
+    Keys come from a record field alone, never from the bundle. ``ends`` as above. Bundles are
+    parsed and their records written once, into a stored table; offsets are numbered over its
+    narrow columns, and messages and bundles are read from it.
     """
     addressed = publish.with_properties(publish.with_topic(bundles, target.topic), target.properties)
     parsed = records.parse(addressed, schema, reader, options, data="content")
     routed = publish.route(parsed, partial)
-    sent = F.size("records")
-    placed = publish.assign_offsets(routed, sent, ends=ends)
-    cut = publish.explode_records(placed, schema, writer, key_field)
-    return Published(_as_messages(cut, target), audit.publish_counts(routed, sent).drop("records"))
+    messages = publish.record_messages(schema, writer, key_field, writer_options)
+    made = hold(routed.withColumn("messages", messages).withColumn("sent", F.size("records").cast("bigint")).drop("records"), "record-bundles")
+    numbered = publish.assign_offsets(made.select("bundle_id", "topic", "sent").where("sent > 0"), F.col("sent"), ends=ends)
+    sending = made.select("bundle_id", "topic", "properties", "messages").where("sent > 0")
+    placed = sending.join(numbered.select("bundle_id", "first_off"), "bundle_id")
+    cut = placed.select("topic", "properties", "first_off", F.posexplode("messages").alias("pos", "_message"))
+    cut = cut.select("topic", "properties", "first_off", "pos", "_message.*")
+    return Published(_as_messages(cut, target), audit.publish_counts(made.drop("messages"), F.col("sent")).drop("sent"))
 
 
 def _as_messages(cut: DataFrame, target: Target) -> DataFrame:

@@ -30,5 +30,5 @@ def write_messages(
 
 
 def dead_letter(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Keep failed messages or bundles for replay, by route and topic."""
-    df.hint("rebalance", "relationship", "topic").write.mode(mode).partitionBy("relationship", "topic").parquet(path)
+    """Keep failed messages or bundles for replay, by route; the topic stays as it is, blank or not."""
+    df.hint("rebalance", "relationship", "topic").write.mode(mode).partitionBy("relationship").parquet(path)

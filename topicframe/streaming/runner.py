@@ -1,7 +1,15 @@
-"""Running a pipeline over a stream: output first, acknowledgement after."""
+"""Running a pipeline over a stream: output first, acknowledgement after.
+
+A poll's output is a folder named by the stream's own identity (that of its checkpoint) and the
+poll's number. A folder that a writer has committed is never written again: a repeated poll takes
+it as it stands, so readers of the table, streams among them, see its files once. Two streams into
+one table have two identities, and a stream whose checkpoint was lost has a new one, so none
+overwrites another's output.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +18,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..plans.publish import Published
 from ..schema import MESSAGE_SCHEMA
-from ..sinks.tables import write_messages
-from ..workspace import safe_name, shared_dir
+from ..sinks.tables import dead_letter, write_messages
+from ..workspace import complete, exists, hold, safe_name, shared_dir
 
 
 def checkpoint_path(df: DataFrame, consumer_id: str) -> str:
@@ -19,6 +27,21 @@ def checkpoint_path(df: DataFrame, consumer_id: str) -> str:
     return f"{shared_dir(df.sparkSession)}/topicframe/consumers/{safe_name(consumer_id)}"
 
 
+def identity(spark: SparkSession, checkpoint: str) -> str:
+    """The identity Spark has given the stream of this checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def poll_folder(spark: SparkSession, root: str, checkpoint: str, number: int) -> str:
+    return f"{root}/poll={identity(spark, checkpoint)}-{number}"
+
+
+def write_once(df: Callable[[], DataFrame], path: str, spark: SparkSession, partition_by: Sequence[str] = ()) -> None:
+    """Write a poll's folder unless it is there already."""
+    if not complete(spark, path):
+        df().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def run(
     stream: DataFrame,
     pipeline: Callable[[DataFrame], DataFrame],
@@ -29,24 +52,30 @@ def run(
     partition_by: Sequence[str] = (),
     poll: str | None = None,
     timeout_seconds: float | None = None,
+    dead_letters: str | None = None,
 ) -> None:
     """Apply ``pipeline`` to each poll and write the result under ``sink``.
 
-    Every poll has its own folder, named by its number and overwritten if the poll is
-    repeated after a failure, so a replay leaves no duplicates. Acknowledgements are made of
-    what was written and the poll's messages once the output is there; then the checkpoint
-    moves on.
+    With ``dead_letters`` the rows of the parse-failure route go to a table of their own.
+    Acknowledgements are made of what was written and the poll's messages once the output is
+    there; then the checkpoint moves on.
 
     Without ``poll`` the stream is drained and the call returns; with it (say ``2 seconds``)
     the stream is polled until ``timeout_seconds`` have passed, or for good.
     """
 
     def commit(batch: DataFrame, number: int) -> None:
-        out = f"{sink}/poll={number}"
-        pipeline(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(out)
+        spark = batch.sparkSession
+        out = poll_folder(spark, sink, checkpoint, number)
+        if dead_letters and not complete(spark, out):
+            rows = hold(pipeline(batch), "poll")
+            failed = F.col("relationship") == C.PARSE_FAILURE
+            dead_letter(rows.where(failed), poll_folder(spark, dead_letters, checkpoint, number), mode="overwrite")
+            write_once(lambda: rows.where(~failed), out, spark, partition_by)
+        write_once(lambda: pipeline(batch), out, spark, partition_by)
         if acks and acknowledge:
-            written = batch.sparkSession.read.parquet(out)
-            acknowledge(written, batch).write.mode("overwrite").parquet(f"{acks}/poll={number}")
+            noted = poll_folder(spark, acks, checkpoint, number)
+            write_once(lambda: acknowledge(spark.read.parquet(out), batch), noted, spark)
 
     drain(stream, commit, checkpoint, poll, timeout_seconds)
 
@@ -75,43 +104,49 @@ def publish(
     table: str,
     state: str,
     checkpoint: str,
-    failures: str | None = None,
+    failures: str,
     compression: str = "NONE",
     poll: str | None = None,
     timeout_seconds: float | None = None,
 ) -> None:
     """Publish a stream of bundles into a topic table.
 
-    ``publisher`` gets a poll and the topics' ends and gives what to publish. A poll's
-    messages, its failed bundles and the new ends are folders of its own, so that a repeated
-    poll replaces itself with the same offsets. Ends are taken from the messages as written.
+    ``publisher`` gets a poll and the topics' ends and gives what to publish. Failed bundles go
+    to ``failures``, before any message is written. All publishers into one table share one
+    ``state``, the table of the topics' ends, and go on from each other's; they take turns, as a
+    table of files gives no lock: do not run two at the same moment.
     """
 
     def commit(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        ends = _ends(spark, state, number)
-        published = publisher(batch, ends)
-        out = f"{table}/poll={number}"
-        write_messages(published.messages, out, compression, mode="overwrite")
-        if failures:
+        noted = poll_folder(spark, state, checkpoint, number)
+        if complete(spark, noted):
+            return
+        out = poll_folder(spark, table, checkpoint, number)
+        ends = _ends(spark, state)
+        if not complete(spark, out):
+            published = publisher(batch, ends)
             failed = published.bundles.where(F.col("relationship") != C.SUCCESS)
-            failed.write.mode("overwrite").parquet(f"{failures}/poll={number}")
+            write_once(lambda: failed, poll_folder(spark, failures, checkpoint, number), spark)
+            write_messages(published.messages, out, compression, mode="overwrite")
         written = spark.read.schema(MESSAGE_SCHEMA).parquet(out)
         reached = written.select("topic", (F.col("off") + 1).alias("next_off")).unionByName(ends)
-        merged = reached.groupBy("topic").agg(F.max("next_off").alias("next_off"))
-        merged.write.mode("overwrite").parquet(f"{state}/poll={number}")
+        reached.groupBy("topic").agg(F.max("next_off").alias("next_off")).write.mode("overwrite").parquet(noted)
 
     drain(bundles, commit, checkpoint, poll, timeout_seconds)
 
 
-def _ends(spark: SparkSession, state: str, number: int) -> DataFrame:
-    """Where each topic's next message goes, as the poll before left it."""
+def _ends(spark: SparkSession, state: str) -> DataFrame:
+    """Where each topic's next message goes, as all publishers' polls so far have left it."""
     schema = "topic string, next_off bigint"
-    if number == 0:
+    if not exists(spark, state):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{state}/poll={number - 1}")
+    polls = spark.read.schema(schema).parquet(state)
+    return hold(polls.groupBy("topic").agg(F.max("next_off").alias("next_off")), "ends")
 
 
 def acknowledged(acks: DataFrame) -> DataFrame:
-    """Cursors from the acknowledgements of all polls."""
-    return acks.groupBy("consumer_id", "topic", "part").agg(F.max("position").alias("position"))
+    """What all polls have acknowledged: cursors, or where messages were acknowledged singly, those."""
+    if "position" in acks.columns:
+        return acks.groupBy("consumer_id", "topic", "part").agg(F.max("position").alias("position"))
+    return acks.select("consumer_id", "topic", "part", "off").distinct()

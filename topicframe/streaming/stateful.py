@@ -1,64 +1,99 @@
-"""Operators that remember between polls, on watermarks and Spark's own state."""
+"""Operators that remember between polls, by tables of what earlier polls have seen.
+
+Nothing here goes by event time: a topic table is laid out by log, not by time, so a bounded poll
+may bring one topic to its end before the next begins, and a limit on lateness would drop it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as C
-from ..operators.chunking import COMPLETE, EXPIRED, joined
-from ..operators.delivery import MESSAGE, check_ack_timeout
+from ..operators import chunking
+from ..operators.delivery import MESSAGE
+from ..workspace import complete, exists, hold
+from .runner import drain, identity, poll_folder, write_once
+
 
+def dedupe(
+    stream: DataFrame,
+    sink: str,
+    ledger: str,
+    checkpoint: str,
+    poll: str | None = None,
+    timeout_seconds: float | None = None,
+) -> None:
+    """Write each message of a stream to ``sink`` once, however often and late it comes again.
 
-def dedupe(stream: DataFrame, within: str = "1 hour", time: str = "publish_time") -> DataFrame:
-    """Drop repeats of a message that arrive within the delay; state is kept no longer."""
-    return stream.withWatermark(time, within).dropDuplicatesWithinWatermark(MESSAGE)
+    ``ledger`` keeps the keys of all messages written, by log. A poll is held against the logs
+    and the range of offsets it has itself.
+    """
 
+    def commit(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        out = poll_folder(spark, sink, checkpoint, number)
+        write_once(lambda: _unseen(batch.dropDuplicates(MESSAGE), ledger), out, spark)
+        noted = poll_folder(spark, ledger, checkpoint, number)
+        write_once(lambda: spark.read.parquet(out).select(*MESSAGE), noted, spark, ("topic", "part"))
 
-def due_for_redelivery(
-    delivered: DataFrame,
-    acks: DataFrame,
-    timeout_seconds: int = C.DEFAULT_ACK_TIMEOUT_SECONDS,
-    late: str = "0 seconds",
-) -> DataFrame:
-    """Deliveries no acknowledgement followed in time.
+    drain(stream, commit, checkpoint, poll, timeout_seconds)
 
-    A left outer join of two streams: a delivery waits in state for an acknowledgement
-    between its own time and the timeout, and comes out unmatched once the watermark has
-    passed that point.
-    """
-    check_ack_timeout(timeout_seconds)
-    left = delivered.withWatermark("delivered_at", late).alias("d")
-    right = (
-        acks.select(*[F.col(c).alias(f"_{c}") for c in MESSAGE], F.col("acked_at"))
-        .withWatermark("acked_at", late)
-        .alias("a")
-    )
-    same = [F.col(f"d.{c}") == F.col(f"a._{c}") for c in MESSAGE]
-    in_time = F.expr(f"a.acked_at between d.delivered_at and d.delivered_at + interval {timeout_seconds} seconds")
-    joined = left.join(right, [*same, in_time], "leftOuter")
-    return joined.where(F.col("a.acked_at").isNull()).select("d.*")
+
+def _unseen(batch: DataFrame, ledger: str) -> DataFrame:
+    spark = batch.sparkSession
+    if not exists(spark, ledger):
+        return batch
+    lo, hi = batch.agg(F.min("off"), F.max("off")).first()
+    if lo is None:
+        return batch
+    seen = spark.read.schema("off bigint, topic string, part int").parquet(ledger).where(F.col("off").between(lo, hi))
+    return batch.join(seen.select(*MESSAGE), MESSAGE, "left_anti")
 
 
 def assemble(
     chunks: DataFrame,
-    after_seconds: int = C.DEFAULT_CHUNK_EXPIRY_SECONDS,
-    late: str = "0 seconds",
-) -> DataFrame:
-    """Chunk sets closed once nothing came for ``after_seconds``, as complete or expired.
+    sink: str,
+    staged: str,
+    checkpoint: str,
+    carry: tuple[str, ...] = (),
+    poll: str | None = None,
+    timeout_seconds: float | None = None,
+) -> None:
+    """Write each chunked message to ``sink`` in the poll that brings its last chunk.
+
+    Chunks of open sets are staged from poll to poll for as long as it takes; ``open_chunks`` shows
+    them. A chunk that comes again after its set was written is dropped.
+    """
+
+    def commit(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        out = poll_folder(spark, sink, checkpoint, number)
+        before = open_chunks(spark, staged, checkpoint, number - 1)
+        fresh = batch.select("chunk_set", "chunk_no", "chunk_count", "data", *carry)
+        if exists(spark, sink):
+            earlier = spark.read.schema("chunk_set string, poll string").parquet(sink)
+            earlier = earlier.where(F.col("poll") != f"{identity(spark, checkpoint)}-{number}").select("chunk_set").distinct()
+            fresh = fresh.join(earlier, "chunk_set", "left_anti")
+        known = fresh if before is None else before.unionByName(fresh)
+        write_once(lambda: chunking.assemble(known, carry), out, spark)
+        left = known.join(spark.read.parquet(out).select("chunk_set"), "chunk_set", "left_anti")
+        write_once(lambda: left.dropDuplicates(["chunk_set", "chunk_no"]), poll_folder(spark, staged, checkpoint, number), spark)
+
+    chunks = chunks.withColumn("chunk_set", F.col("chunk_set").cast("string"))
+    drain(chunks, commit, checkpoint, poll, timeout_seconds)
+
+
+def open_chunks(spark: SparkSession, staged: str, checkpoint: str, number: int) -> DataFrame | None:
+    """The chunks that were waiting for others after a poll; None if there was no such poll."""
+    path = poll_folder(spark, staged, checkpoint, number)
+    return spark.read.parquet(path) if number >= 0 and complete(spark, path) else None
+
+
+def delivered(ledger: str, spark: SparkSession) -> DataFrame:
+    """The deliveries noted by ``runner.run`` over message keys and ``delivered_at``, each at its latest time.
 
-    A set is a session of its chunks. Only complete sets carry ``data``.
+    With the acknowledgements' ledger and the time of day this is what ``delivery.due_for_redelivery``
+    asks for, so an idle topic's messages fall due as well. Payloads are in neither ledger.
     """
-    return (
-        chunks.withWatermark("publish_time", late)
-        .groupBy("chunk_set", F.session_window("publish_time", f"{after_seconds} seconds"))
-        .agg(
-            F.collect_set(F.struct("chunk_no", F.col("data").cast("string").alias("text"))).alias("_chunks"),
-            F.max("chunk_count").alias("chunk_count"),
-            F.max("publish_time").alias("last_time"),
-        )
-        .withColumn("received", F.size("_chunks").cast("bigint"))
-        .withColumn("status", F.when(F.col("received") == F.col("chunk_count"), COMPLETE).otherwise(EXPIRED))
-        .withColumn("data", F.when(F.col("status") == COMPLETE, joined(F.col("_chunks"))))
-        .select("chunk_set", "received", "chunk_count", "last_time", "status", "data")
-    )
+    notes = spark.read.parquet(ledger)
+    return hold(notes.groupBy(*MESSAGE).agg(F.max("delivered_at").alias("delivered_at")), "delivered")

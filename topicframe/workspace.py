@@ -48,6 +48,17 @@ def hold(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever file system its path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has committed all of a folder."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def safe_name(identity: str) -> str:
     """A folder name for an identity of any length and alphabet, distinct per identity."""
     readable = re.sub(r"[^A-Za-z0-9_.-]+", "_", identity)[:60]
