@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..workspace import hold
 from . import attention_mil, best_fit, divergence_rules, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(function):
