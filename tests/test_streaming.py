@@ -244,6 +244,11 @@ def test_a_repeated_poll_keeps_its_messages(spark, bundles):
     assert sorted(read_topics(spark, table, pattern=".*").inputFiles()) == files
 
 
+def test_a_failure_table_is_required(spark, bundles):
+    with pytest.raises(ValueError):
+        _publish(spark, "/nowhere", "t", "s", "c", None)
+
+
 def test_two_publishers_share_a_table(spark, bundles):
     table, state, failures = (fresh_path(spark, label) for label in "tsf")
     for content in ("first", "second"):

@@ -116,6 +116,8 @@ def publish(
     ``state``, the table of the topics' ends, and go on from each other's; they take turns, as a
     table of files gives no lock: do not run two at the same moment.
     """
+    if not failures:
+        raise ValueError("a streamed publisher needs a table for the bundles it cannot publish")
 
     def commit(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
