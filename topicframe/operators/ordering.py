@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DEFAULT_SPAN = 8192
+# three levels of 65 536 above it reach over all bits of an offset
+DEFAULT_SPAN = 32768
 _FAN = 65536
 
 

@@ -55,8 +55,10 @@ def publish_bytes(
         sent = P.token_count(F.col("content"), mark)
     else:
         sent = F.lit(1)
-    placed = publish.assign_offsets(routed.where(F.col("relationship") == C.SUCCESS), sent, ends=ends)
-    cut = publish.split(placed, demarcator)
+    sending = routed.where(F.col("relationship") == C.SUCCESS)
+    # only narrow rows are put in order; the content joins them afterwards
+    numbered = publish.assign_offsets(sending.select("bundle_id", "topic", sent.cast("bigint").alias("sent")), F.col("sent"), ends=ends)
+    cut = publish.split(sending.join(numbered.select("bundle_id", "first_off"), "bundle_id"), demarcator)
     return Published(_as_messages(cut, target), audit.publish_counts(routed, sent))
 
 
