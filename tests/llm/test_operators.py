@@ -124,6 +124,15 @@ def test_classifiers_on_odd_tables(odd, empty, labels, operator, folds, held_out
     assert operator.scored(odd, untaught).count() == odd.count()
 
 
+def test_a_long_text_costs_the_fit_only_itself(spark, docs, labels, monkeypatch):
+    monkeypatch.setattr(attention_mil, "MOST_PASSAGES", 200)
+    long = spark.createDataFrame([(-7, "words and more " * 10_000)], "doc_id bigint, text string")
+    more = labels.unionByName(spark.createDataFrame([(-7, 0, 0)], labels.schema))
+    want, got = attention_mil.train(docs, labels), attention_mil.train(docs.unionByName(long), more)
+    assert isinstance(got, attention_mil.Model) and all(np.array_equal(a, b) for a, b in zip(want, got, strict=True))
+    assert attention_mil.fitting([3, 9, 2, 4, 1], 6).tolist() == [True, False, True, False, True]
+
+
 def test_attention_finds_the_marked_passage():
     rng = np.random.default_rng(0)
     bags, y = [], np.arange(300) % 2

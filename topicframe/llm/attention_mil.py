@@ -7,8 +7,10 @@ logistic function of the weighted mean. Only documents carry labels; the weights
 learned from them.
 
 The classifier is fitted on at most ``MOST_DOCUMENTS`` labelled documents outside the held-out fold,
-of whole length; if the sample has more than ``MOST_PASSAGES`` passages, whole documents are left
-out of the fit, never parts of one. Scoring reads every passage of every text.
+of whole length. Passages are counted where the texts are; if the sample has more than
+``MOST_PASSAGES``, documents are taken by the hash of the id as long as they fit, and one that does
+not fit is passed over alone: whole documents are left out of the fit, never parts of one. A row
+repeated with its text is fitted once. Scoring reads every passage of every text.
 
 Defined results: a null or empty text is one passage of nothing and gets its score; without labels
 of both kinds the score is the share of ones, or one half; rows with equal doc_id are scored each
@@ -163,29 +165,54 @@ def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = STEPS,
     return Model(mean, scale, *p)
 
 
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of passages of every text."""
+    for batch in batches:
+        raw, off = text_bytes(batch.column("text"))
+        found = [np.zeros(0, np.int64)]
+        for lo, hi in blocks(off):
+            edge = words(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], SPACED)[2]
+            found.append(np.maximum(1, -(-np.diff(edge) // PASSAGE)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "doc_id", "tie")), pa.array(np.concatenate(found))], names=["label", "doc_id", "tie", "n"])
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = text_bytes(batch.column("text"))
         for lo, hi in blocks(off):
             x, first = passages(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
             rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("label")[lo:hi], batch.column("doc_id")[lo:hi], pa.array(rows, pa.binary())], names=["label", "doc_id", "bag"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c)[lo:hi] for c in ("label", "doc_id", "tie")), pa.array(rows, pa.binary())], names=["label", "doc_id", "tie", "bag"])
+
+
+def fitting(sizes: list[int], most: int) -> np.ndarray:
+    """Which of the sizes, in their order, are taken: each that still fits beside those before it."""
+    out, used = np.zeros(len(sizes), bool), 0
+    for i, n in enumerate(sizes):
+        if used + n <= most:
+            out[i], used = True, used + n
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_DOCUMENTS) -> Model | float:
     """A model, or the share of ones if the sample has one kind of label only."""
-    chosen = sample(docs, labels, "quality", FOLDS, HELD_OUT, most)
-    rows = chosen.mapInArrow(_bags, "label int, doc_id bigint, bag binary").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    label = rows.column("label").to_numpy().astype(float)
+    chosen = sample(docs, labels, "quality", FOLDS, HELD_OUT, most).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    chosen = chosen.withColumn("tie", F.xxhash64("text"))
+    numbers = chosen.mapInArrow(_numbers, "label int, doc_id bigint, tie bigint, n bigint").dropDuplicates(["doc_id", "tie"])
+    numbers = numbers.withColumn("place", F.xxhash64("doc_id")).toArrow().sort_by([(c, "ascending") for c in ("place", "doc_id", "tie")])
+    label = numbers.column("label").to_numpy().astype(float)
     if not len(label) or label.min() == label.max():
         return float(label.mean()) if len(label) else 0.5
-    bags = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in rows.column("bag").to_pylist()]
-    room = np.cumsum([len(b) for b in bags]) <= MOST_PASSAGES
-    kept = [b for b, k in zip(bags, room, strict=True) if k]
-    if not kept or label[room].min() == label[room].max():
+    room = fitting(numbers.column("n").to_pylist(), MOST_PASSAGES)
+    if not room.any() or label[room].min() == label[room].max():
         return float(label.mean())
+    kept = pa.table({c: numbers.column(c) for c in ("doc_id", "tie")}).filter(pa.array(room))
+    taken = docs.sparkSession.createDataFrame(kept)
+    bags = chosen.join(F.broadcast(taken), ["doc_id", "tie"]).mapInArrow(_bags, "label int, doc_id bigint, tie bigint, bag binary")
+    rows = bags.dropDuplicates(["doc_id", "tie"]).toArrow().sort_by([("doc_id", "ascending"), ("tie", "ascending")])
+    kept = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in rows.column("bag").to_pylist()]
     first = np.concatenate([[0], np.cumsum([len(b) for b in kept])])
-    return fit(np.concatenate(kept).astype(float), first, label[room])
+    return fit(np.concatenate(kept).astype(float), first, rows.column("label").to_numpy().astype(float))
 
 
 def _score(model: Model | float):
