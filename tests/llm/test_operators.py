@@ -56,6 +56,12 @@ def test_winnowing_on_odd_tables(spark, odd, empty, most_sent):
     assert none == 0
 
 
+def test_copies_of_a_text_go_to_several_parts(spark):
+    copies = spark.createDataFrame([(i, t) for i in range(200) for t in (PASSAGE, "", None)], "doc_id bigint, text string")
+    parts = winnowing._in_parts(copies).groupBy("text").agg(F.countDistinct("part").alias("n")).collect()
+    assert len(parts) == 3 and all(r.n > 20 for r in parts)
+
+
 # ---------------------------------------------------------------- 2 and 6
 
 

@@ -225,10 +225,14 @@ def _print_rows(lengths: list[int], window: int, gram: int, key: str):
     return run
 
 
+def _in_parts(kept: DataFrame) -> DataFrame:
+    """kept with the part of each row; copies of one text under several ids go to several parts."""
+    return kept.withColumn("part", dealt(parts(kept), "doc_id", "text"))
+
+
 def _shuffled(kept: DataFrame, items: DataFrame, window: int, gram: int, carried: list[str], schema: StructType) -> DataFrame:
     """The way for more items than may be sent: parts of documents meet the items hit in them."""
-    number = parts(kept)
-    rows = kept.withColumn("part", dealt(number, "text"))
+    rows = _in_parts(kept)
     every = list(range(1, window + 1))
     of_docs = rows.mapInArrow(_print_rows(every, window, gram, "part"), _PRINT.format("int")).distinct()
     of_items = items.mapInArrow(_print_rows(every, window, gram, "item_id"), _PRINT.format("string")).distinct()
