@@ -285,6 +285,14 @@ def test_packing_is_whole_and_fits(odd, empty, sizes):
     assert best_fit.packed(best_fit.lengths(empty)).count() == 0
 
 
+def test_no_full_bin_is_shared(spark):
+    rows = [(7, 1, 250), (7, 1, 250), (7, 1, 250), (None, 2, 100), (None, 2, 100), (-1, 2, 100), (8, 3, 99)]
+    placed = best_fit.packed(spark.createDataFrame(rows, "doc_id bigint, tie bigint, length bigint"), (100,))
+    used = placed.groupBy("bin_id").agg(F.sum("length").alias("used"), F.max("capacity").alias("room")).collect()
+    assert all(r.used <= r.room for r in used) and sum(r.used for r in used) == sum(r[2] for r in rows)
+    assert sum(r.bin_id.startswith("full") for r in used) == 9
+
+
 def test_best_fit_fills_bins():
     rng = np.random.default_rng(3)
     sizes = np.sort(np.minimum(rng.lognormal(6, 1, 5000).astype(np.int64), 8192))[::-1]

@@ -126,12 +126,15 @@ def packed(pieces: DataFrame, sizes: Sequence[int] = SIZES, waste: float = WASTE
     length = F.coalesce(F.col("length"), F.lit(0).cast("bigint"))
     known = pieces.select("doc_id", "tie", length.alias("length")).withColumn("full", F.floor(F.col("length") / largest))
     rest = F.col("length") - F.col("full") * largest
-    whole = known.where("full > 0").select("doc_id", "tie", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("full") - 1)).alias("part"))
+    # repeated rows are counted before they move, and each gets bins of its own
+    whole = known.where("full > 0").groupBy("doc_id", "tie", "full").agg(F.count("*").alias("copies"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    whole = whole.select("doc_id", "tie", "full", upto("copies").alias("copy")).select("doc_id", "tie", "copy", upto("full").alias("part"))
     whole = whole.select(
         "doc_id",
         "part",
         F.lit(largest).cast("bigint").alias("length"),
-        F.concat_ws("-", F.lit("full"), F.coalesce("doc_id", F.lit(-1)), F.hex("tie"), "part").alias("bin_id"),
+        F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.hex("tie"), "part", "copy").alias("bin_id"),
         F.lit(0).cast("bigint").alias("bin_offset"),
         F.lit(largest).cast("bigint").alias("capacity"),
     )
