@@ -152,9 +152,103 @@ select doc_id, n_words, word_chars, n_symbols, cast(len(lines) - len(list_distin
       and (class_distance > {MOST_CLASS_DISTANCE} or word_distance > {MOST_WORD_DISTANCE})) as kept
 from base left join repeats using (doc_id) join class_distance using (doc_id) join word_distance using (doc_id) join sizes using (lang)"""
 
+BOND_SCAN = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as vector
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same, cast(list_inner_product(a.vector, r.vector) as bigint) as score
+  from v a join v r on a.vec_id % 100 = 0 and r.vec_id <> a.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select p.anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as place
+  from positives p join scored s on p.anchor_id = s.anchor_id and not same
+    and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+)
+select anchor_id, positive_id, cast(place as int) as rank, negative_id, positive_score, negative_score from ranked where place <= 5"""
+
+# the 256 remainders of CRC-32, by its rule, as a list t
+_REMAINDERS = """(
+  select list(list_reduce(range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, n) order by n) as t
+  from (select unnest(range(256)) as n)
+)"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's bytes, folded byte by byte with the list t."""
+    value = "instr('0123456789ABCDEF', p[1]) * 16 + instr('0123456789ABCDEF', p[2]) - 17"
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: {value})"
+    return f"xor(list_reduce({octets}, lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+BYTE_SHARDS = f"""
+with d as (
+  select doc_id, strlen(coalesce(text, '')) + 16 as size, cast({_crc32("coalesce(text, '')")} as bigint) as text_crc32
+  from documents, {_REMAINDERS}
+), placed as (
+  select *, sum(size) over (order by doc_id) - size as start, sum(size) over () as total, row_number() over (order by doc_id) as n from d
+), cut as (
+  select *, cast(least(39, ((2 * start + size) * 40) // (2 * total)) as int) as shard from placed
+)
+select doc_id, cast(size as bigint) as size, text_crc32, 'bytes' as law, shard,
+  cast(row_number() over (partition by shard order by n) - 1 as bigint) as slot, cast(null as int) as grown_shard
+from cut"""
+
+
+def _leaf(text: str) -> str:
+    fields = (f"coalesce(strlen(cast({x} as varchar)) || ':' || cast({x} as varchar), '-')" for x in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+MERKLE_CLIMB = f"""
+with recursive leaves as (
+  select doc_id, source, {_leaf("text")} as leaf,
+    case when {_crc32("cast(doc_id as varchar)")} % 5 = 0 then {_leaf(_LOWERED)} else {_leaf("text")} end as shown
+  from documents, {_REMAINDERS}
+), placed as (
+  select *, dense_rank() over (order by source nulls first) - 1 as tree,
+    row_number() over (partition by source order by doc_id) - 1 as idx, count(*) over (partition by source) as n
+  from leaves
+), nodes as (
+  select tree, 0 as level, idx, n, leaf as hash from placed
+  union all
+  select tree, level + 1, idx // 16, any_value((n + 15) // 16), sha256(string_agg(hash, '' order by idx))
+  from nodes where n > 1 group by tree, level, idx // 16
+), tops as (
+  select tree || '/' || level || '/' || idx as id, 0 as level, tree as idx, count(*) over () as n, hash from nodes where n = 1
+  union all
+  select 'top/' || (level + 1) || '/' || (idx // 16), level + 1, idx // 16, any_value((n + 15) // 16), sha256(string_agg(hash, '' order by idx))
+  from tops where n > 1 group by level, idx // 16
+), kids as (
+  select cast(tree as varchar) as tree, tree || '/' || level || '/' || idx as id, level, idx, hash from nodes where n > 1
+  union all
+  select 'top', id, level, idx, hash from tops where n > 1
+), links as (
+  select id, tree || '/' || (level + 1) || '/' || (idx // 16) as parent,
+    coalesce(string_agg(hash, '') over (run rows between unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(hash, '') over (run rows between 1 following and unbounded following), '') as r
+  from kids window run as (partition by tree, level, idx // 16 order by idx)
+), climb as (
+  select doc_id, tree || '/0/' || idx as id, shown as folded, '' as proof from placed
+  union all
+  select doc_id, parent, sha256(l || folded || r), proof || l || r from climb join links using (id)
+)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded as folded_root, folded = root as verified
+from climb join (select id, hash as root from tops where n = 1) using (id)
+join placed using (doc_id) join (select tree, hash as subroot from nodes where n = 1) using (tree)"""
+
 ORACLES = {
     "op1_winnowing": WINNOWING,
     "op2_run_length_bwt": RUN_LENGTH,
     "op6_super_kmers": SUPER_KMERS,
     "op8_divergence_rules": DIVERGENCE,
+    "op11_bond_scan": BOND_SCAN,
+    "op12_byte_shards": BYTE_SHARDS,
+    "op13_merkle_climb": MERKLE_CLIMB,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import hold
-from . import attention_mil, best_fit, divergence_rules, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
+from . import attention_mil, best_fit, bond_scan, byte_shards, divergence_rules, merkle_climb, noisy_channel, run_length_index, simhash_bk, super_kmers, token_lengths, token_orc, winnowing
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -91,3 +91,22 @@ def op9_best_fit(spark, sf_dir):
 @query
 def op10_token_orc(spark, sf_dir):
     return token_orc.written_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_bond_scan(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = bond_scan.whole_vectors(table(spark, sf_dir, "embeddings"), scale=256, label=moved)
+    return bond_scan.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op12_byte_shards(spark, sf_dir):
+    placed = byte_shards.assigned(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit(byte_shards.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_merkle_climb(spark, sf_dir):
+    proven = merkle_climb.proofs(table(spark, sf_dir, "documents"))
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
