@@ -130,3 +130,71 @@ def without_repeats(docs, size=13):
         gone = {j for k in range(len(w) - size + 1) if first[tuple(w[k : k + size])] < i for j in range(k, k + size)}
         out[i] = " ".join(x for k, x in enumerate(w) if k not in gone)
     return out
+
+
+def hard_negatives(rows, anchors, positives=5, negatives=5, share=80):
+    """Sorted (anchor, positive, rank, negative, positive score, negative score) of (vec_id, label, ints)."""
+    clip = lambda x: min(max(x, -(2**63)), 2**63 - 1)
+    out = []
+    for a, label, q in {(i, x, tuple(v)) for i, x, v in anchors}:
+        scored = sorted((-clip(sum(x * y for x, y in zip(q, v, strict=True))), i, x) for i, x, v in rows if len(v) == len(q))
+        near = [(-s, i) for s, i, x in scored if x == label and i != a][:positives]
+        for p, i in near:
+            below = [(-s, j) for s, j, x in scored if x != label and share * p <= -100 * s <= 100 * p][:negatives]
+            out += [(a, i, k, j, p, s) for k, (s, j) in enumerate(below, 1)]
+    return sorted(out)
+
+
+def shards(docs, number):
+    """Sorted (doc_id, size, crc32, shard, slot) for docs in order."""
+    import zlib
+
+    raw = [(i, (t or "").encode()) for i, t in docs]
+    total, start, used, out = sum(len(b) + 16 for _, b in raw), 0, defaultdict(int), []
+    for i, b in raw:
+        size = len(b) + 16
+        shard = min(number - 1, (2 * start + size) * number // (2 * total))
+        out.append((i, size, zlib.crc32(b), shard, used[shard]))
+        used[shard] += 1
+        start += size
+    return out
+
+
+def merkle(docs, run=16, every=5):
+    """[(doc_id, leaf, subroot, root, proof, folded_root)] for (doc_id, text, lang, source, n_chars), leaves in order."""
+    import zlib
+
+    h = lambda *x: hashlib.sha256("".join(x).encode()).hexdigest()
+
+    def leaf(i, text, lang, source, n):
+        values = [None if v is None else str(v) for v in (i, source, lang, n, text)]
+        return h(*("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+    def climb(hashes):
+        """(top, for each hash the runs on its way as (left, right))"""
+        ways, at = [[] for _ in hashes], list(range(len(hashes)))
+        while len(hashes) > 1:
+            for k, p in enumerate(at):
+                lo = p // run * run
+                ways[k].append(("".join(hashes[lo:p]), "".join(hashes[p + 1 : lo + run])))
+            hashes = [h(*hashes[lo : lo + run]) for lo in range(0, len(hashes), run)]
+            at = [p // run for p in at]
+        return hashes[0], ways
+
+    by_source = defaultdict(list)
+    for d in docs:
+        by_source[d[3]].append((d[0], leaf(*d), leaf(d[0], d[1] and lower(d[1]), *d[2:]) if d[0] is not None and zlib.crc32(str(d[0]).encode()) % every == 0 else leaf(*d)))
+    names = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    below = {}
+    for s in names:
+        by_source[s].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        below[s] = climb([x[1] for x in by_source[s]])
+    root, above = climb([below[s][0] for s in names]) if names else ("", [])
+    out = []
+    for s, way in zip(names, above, strict=True):
+        for (i, own, shown), first in zip(by_source[s], below[s][1], strict=True):
+            folded, proof = shown, ""
+            for left, right in first + way:
+                folded, proof = h(left, folded, right), proof + left + right
+            out.append((i, own, below[s][0], root, proof, folded))
+    return out

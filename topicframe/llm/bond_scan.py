@@ -158,7 +158,10 @@ def resolve(block: Block, query: np.ndarray, alive: np.ndarray, windows: list[tu
             sure = partial[partial <= high[w] - up] if high[w] < most else partial
             if len(sure) >= k:
                 kth = sorted(sure)[-k] if kind is object else np.partition(sure, -k)[-k]
-                low[w] = max(low[w], int(kth) + down)
+                reached = int(kth) + down
+                # beyond a long all scores tie
+                if reached > _LONG.min:
+                    low[w] = max(low[w], min(reached, _LONG.max))
         stay = (partial >= min(low) - up) & (partial <= max(high) - down)
         if not stay.all():
             rows, partial = rows[stay], partial[stay]

@@ -32,7 +32,7 @@ from .sizes import parts
 #: consecutive nodes hashed together
 RUN = 16
 #: consecutive leaves that climb by the same copy of a node
-LANE = RUN * 1024
+LANE = RUN * 256
 #: bytes of stored input whose leaves make one range
 RANGE_BYTES = 16 << 20
 TAMPERED_EVERY = 5
