@@ -74,3 +74,13 @@ def test_lookup_is_the_same_broadcast_or_salted(spark, bound):
     assert sorted((r.topic, r.off, r.position or -1) for r in got.collect()) == sorted(
         (t, o, known.get(t, -1)) for t, _, o, _ in data
     )
+
+
+@pytest.mark.parametrize("column", ["topic", "part", "off"])
+def test_a_row_without_a_place_raises(spark, column):
+    rows = spark.createDataFrame([("a", 0, 0), ("a", 0, 1), ("b", 1, 0)], "topic string, part int, off bigint")
+    one_less = rows.withColumn(column, F.expr(f"if(topic = 'b', null, {column})"))
+    with pytest.raises(Exception, match=f"a row without {column} cannot be put in order"):
+        assign_receive_batches(one_less, 2).collect()
+    with pytest.raises(Exception, match=f"a row without {column} cannot be put in order"):
+        assign_receive_batches(rows.withColumn(column, F.lit(None).cast(rows.schema[column].dataType)), 2).collect()

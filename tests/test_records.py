@@ -231,3 +231,40 @@ def test_written_across_messages(log):
     (only,) = records.write(records.counts(parsed), "json", ["topic"]).collect()
     assert bytes(only.content) == b'{"name":"a","age":1}{"name":"b","age":2}{"name":"c","age":3}'
     assert only.record_count == 3
+
+
+_VALUES = [
+    ('{"a": {"b": [1, 2]}} {"a": 1}', ['{"a": {"b": [1, 2]}}', '{"a": 1}']),
+    ('[{"a": [1]}, {"a": "]"}] [{"a": 3}]', ['{"a": [1]}', ' {"a": "]"}', '{"a": 3}']),
+    ('[{"a": [1]},, {"a": 2}]', ['{"a": [1]}', ' {"a": 2}']),
+    ('{"a": [1]} junk "}{" {"a": 2}', ['{"a": [1]}', ' junk "}{" ', '{"a": 2}']),
+    ('[{"a": [1]}, {"a": [2', ['{"a": [1]}', ' {"a": [2', "["]),
+    ('[{"a": [1]}', ['{"a": [1]}', "["]),
+    ('{"a": [1]', ['{"a": [1]', "["]),
+    ('{"a": "\\\\\\"}"} {"b": [2]}', ['{"a": "\\\\\\"}"}', '{"b": [2]}']),
+    ('{"a": [1]}] {"b": 2}', ['{"a": [1]}', '] {"b": 2}']),
+    ("[1, [2, 3], {}]", ["1", " [2, 3]", " {}"]),
+    ("[[]]", ["[]"]),
+    ("[] {}", ["{}"]),
+]
+
+
+@pytest.mark.parametrize(("text", "values"), _VALUES)
+def test_json_is_cut_by_its_brackets(spark, text, values):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(codecs._by_brackets(F.col("t"))).first()[0] == values
+
+
+def test_nested_json_takes_time_in_proportion(spark):
+    import time
+
+    def taken(n):
+        one = '{"name": "n", "tags": [1, [2, {"x": "]"}]], "at": {"deep": {"er": [{}]}}}'
+        df = spark.createDataFrame([("[" + ",\n".join([one] * n) + "]",), ("\n".join([one] * n),)], "t string")
+        cut = df.select(F.size(codecs.json_values(F.col("t"))))
+        began = time.time()
+        assert [r[0] for r in cut.collect()] == [n, n]
+        return time.time() - began
+
+    taken(10)
+    assert taken(100_000) < 20 * max(taken(20_000), 0.2)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from topicframe import constants as C
 from topicframe.operators import audit, chunking, delivery
 from topicframe.plans.consume import Subscription, consume_bytes, consume_records
-from topicframe.plans.publish import Target, publish_bytes
+from topicframe.plans.publish import Target, publish_bytes, publish_records
 from topicframe.sinks.tables import write_messages
 from topicframe.sources.topics import read_topics, snapshot
 from topicframe.streaming import reader, runner, stateful
@@ -245,8 +245,10 @@ def test_a_repeated_poll_keeps_its_messages(spark, bundles):
 
 
 def test_a_failure_table_is_required(spark, bundles):
-    with pytest.raises(ValueError):
-        _publish(spark, "/nowhere", "t", "s", "c", None)
+    source = fresh_path(spark, "source")
+    bundles(({"t": "a"}, "x")).write.parquet(source)
+    with pytest.raises(ValueError, match="table for the bundles"):
+        _publish(spark, source, "t", "s", "c", None)
 
 
 def test_two_publishers_share_a_table(spark, bundles):
@@ -271,3 +273,11 @@ def test_a_bundle_without_an_id_raises(spark, bundles):
     nameless = bundles(({"t": "a"}, "x")).withColumn("bundle_id", F.lit(None).cast("bigint"))
     with pytest.raises(Exception, match="cannot be put in order"):
         publish_bytes(nameless, Target("${t}")).messages.collect()
+    with pytest.raises(Exception, match="cannot be put in order"):
+        publish_bytes(nameless, Target("${t}")).bundles.collect()
+    with pytest.raises(Exception, match="cannot be put in order"):
+        publish_records(nameless, Target("${t}"), "name string").messages.collect()
+    stored = fresh_path(spark, "nameless")
+    bundles(({"t": "a"}, "x"), ({"t": "a"}, "y")).withColumn("bundle_id", F.expr("nullif(bundle_id, 1)")).write.parquet(stored)
+    with pytest.raises(Exception, match="cannot be put in order"):
+        publish_bytes(spark.read.parquet(stored), Target("${t}")).messages.collect()

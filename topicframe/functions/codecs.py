@@ -90,60 +90,55 @@ _FLAT_OBJECT = r"(?s)\s*\{[^{}\[\]]*\}\s*"
 _FLAT_ARRAY = r"(?s)\s*\[[^\[\]]*\]\s*"
 
 
+#: brackets in brackets that JSON text may have; what is nested deeper counts as never closed
+JSON_DEPTH = 64
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def _nested(depth: int) -> str:
+    """A pattern for a bracket with all that belongs to it. Nothing in it can backtrack, so it takes linear time."""
+    pattern = ""
+    for _ in range(depth):
+        pattern = rf"[\[{{](?:[^\[\]{{}}\"]++|{_STRING}{'|' if pattern else ''}{pattern})*+[\]}}]"
+    return pattern
+
+
+_CLOSED = _nested(JSON_DEPTH)
+# a closed bracket; one never closed, with all behind it; what stands between; a stray sign, with all behind it
+_TOP = rf"(?s)({_CLOSED}|[\[{{].*+|(?:[^\[\]{{}}\"]++|{_STRING})++|.++)"
+_ELEMENT = rf"(?s)((?:[^,\[\]{{}}\"]++|{_STRING}|{_CLOSED}|[\[{{\]}}\"].*+)++)"
+
+
 def json_values(text: Column) -> Column:
     """The records in JSON text: top-level objects, and the elements of top-level arrays, in order.
 
     A payload of one object, of one array without arrays in it, or of one flat object per line is
-    cut without looking at each sign; any other is walked sign by sign.
+    cut at once; any other by its brackets, in time proportional to its length.
     """
     lines = F.filter(F.split(text, "\r?\n"), lambda line: F.trim(line) != "")
     single = text.rlike(f"^{_FLAT_OBJECT}$")
     listed = F.when(text.rlike(f"^{_FLAT_ARRAY}$"), F.from_json(text, "array<string>"))
     by_line = _bound(lines, lambda x: F.when(F.forall(x, lambda line: line.rlike(f"^{_FLAT_OBJECT}$")), x))
     return F.when(F.trim(text) == "", F.array().cast("array<string>")).otherwise(
-        F.when(single, F.array(text)).otherwise(F.coalesce(listed, by_line, _walked(text)))
+        F.when(single, F.array(text)).otherwise(F.coalesce(listed, by_line, _by_brackets(text)))
     )
 
 
-def _walked(text: Column) -> Column:
-    """The same by depth: strings are skipped whole, brackets and commas counted."""
-    signs = F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]++|\\.)*+"|[\[\]{},]|[^\[\]{},"]++|")'), 1)
-    zero, no = F.lit(0), F.lit(False)
-    begin = F.struct(
-        zero.alias("depth"),
-        no.alias("listed"),
-        zero.alias("at"),
-        zero.alias("start"),
-        F.array().cast("array<struct<start:int,size:int>>").alias("found"),
-    )
+def _by_brackets(text: Column) -> Column:
+    """Top-level pieces, arrays among them cut into elements; a bracket that is never closed is an error behind them."""
+
+    def cut(piece: Column) -> Column:
+        inner = F.regexp_replace(piece, r"(?s)^\[(.*?)\]?$", "$1")
+        return F.when(piece.startswith("["), F.regexp_extract_all(inner, F.lit(_ELEMENT), 1)).otherwise(F.array(piece))
+
+    def values(pieces: Column) -> Column:
+        last = F.element_at(pieces, -1)
+        opened = last.rlike(r"^[\[{]") & ~last.rlike(rf"(?s)^{_CLOSED}$")
+        found = F.flatten(F.transform(pieces, cut))
+        return F.when(opened, F.array_append(found, F.lit("["))).otherwise(found)
 
-    def step(s: Column, sign: Column) -> Column:
-        size = F.length(sign)
-        behind = s["at"] + size
-        opens, closes = sign.isin("[", "{"), sign.isin("]", "}")
-        top = s["depth"] == 0
-        last = closes & (s["depth"] == 1)
-        between = (sign == ",") & (s["depth"] == 1) & s["listed"]
-        enters = top & (sign == "[")
-        cut = F.struct(s["start"].alias("start"), F.when(last & ~s["listed"], behind - s["start"]).otherwise(s["at"] - s["start"]).alias("size"))
-        ends = last | between | (opens & top)
-        return F.struct(
-            F.when(opens, s["depth"] + 1).when(closes, s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
-            F.when(opens & top, sign == "[").otherwise(s["listed"]).alias("listed"),
-            behind.alias("at"),
-            F.when(last | between | enters, behind).when(opens & top, s["at"]).otherwise(s["start"]).alias("start"),
-            F.when(ends, F.array_append(s["found"], cut)).otherwise(s["found"]).alias("found"),
-        )
-
-    def pieces(s: Column) -> Column:
-        rest = F.struct(s["start"].alias("start"), (s["at"] - s["start"]).alias("size"))
-        cuts = F.array_append(s["found"], rest)
-        texts = F.transform(cuts, lambda c: F.substring(text, c["start"] + 1, c["size"]))
-        # a bracket that was never closed is an error of its own, behind what could be read
-        return F.when(s["depth"] > 0, F.array_append(texts, F.lit("["))).otherwise(texts)
-
-    walked = F.aggregate(signs, begin, step, lambda s: _bound(s, pieces))
-    return F.filter(walked, lambda piece: F.trim(F.regexp_replace(piece, r"\s+", " ")) != "")
+    found = _bound(F.regexp_extract_all(text, F.lit(_TOP), 1), values)
+    return F.filter(found, lambda piece: F.trim(F.regexp_replace(piece, r"\s+", " ")) != "")
 
 
 def _ddl(schema: T.StructType) -> str:

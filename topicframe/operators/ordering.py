@@ -34,12 +34,17 @@ def running_total(
 
     ``order`` is a non-negative whole number; a row without one raises, as it has no place in
     the order. ``ties`` order rows that share it. With ``order`` unique per ``by`` a span holds
-    at most ``span`` rows. ``by`` must not be null.
+    at most ``span`` rows. A row without a value in ``by`` raises too.
     """
     # rows are sorted by these columns in turn; a topic's name is slowest to compare
     keys = list(reversed(by))
-    missing = F.raise_error(F.lit(f"a row without {order} cannot be put in order")).cast("bigint")
-    place = F.when(F.col(order).isNull(), missing).otherwise(F.expr(f"`{order}` div {span}"))
+
+    def missing(name: str) -> Column:
+        return F.raise_error(F.lit(f"a row without {name} cannot be put in order")).cast(df.schema[name].dataType)
+
+    # the keys themselves raise: the join below would drop a null before anything else could see it
+    df = df.withColumns({k: F.coalesce(F.col(k), missing(k)) for k in keys if df.schema[k].nullable})
+    place = F.when(F.col(order).isNull(), missing(order).cast("bigint")).otherwise(F.expr(f"`{order}` div {span}"))
     cut = df.withColumn("_value", value.cast("bigint")).withColumn("_span", place)
     in_span = Window.partitionBy("_span", *keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (
