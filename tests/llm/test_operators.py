@@ -56,6 +56,35 @@ def test_winnowing_on_odd_tables(spark, odd, empty, most_sent):
     assert none == 0
 
 
+def _alike():
+    """Two words of 1 024 letters whose polynomial sums modulo 2**64 are equal."""
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs)
+
+
+@pytest.mark.parametrize("most_sent", [winnowing.MOST_SENT, 0])
+def test_words_of_equal_hash_are_told_apart(spark, most_sent):
+    one, other = _alike()
+    tail = " two three four five six seven eight nine ten"
+    items = [(1, one + tail), (2, "short " + other)]
+    rows = [(1, "x " + other + tail), (2, "x " + one + tail), (3, "short " + one), (4, "short " + other)]
+    got = winnowing.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), most_sent=most_sent)
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in got.collect()} == {1: (0, []), 2: (10, ["1"]), 3: (0, []), 4: (2, ["2"])}
+
+
+def test_repeated_words_take_time_in_proportion():
+    import time
+
+    import pyarrow as pa
+
+    items = winnowing.Items(["1", "2"], pa.array(["word " * 200, "a b c d e f g h i j k"]), 10, 5)
+    table = pa.table({"text": pa.array(["word " * 100_000 + "a b c d e f g h i j"])})
+    began = time.time()
+    found = winnowing._judge(table, items, []).to_pylist()[0]
+    assert (found["n_words"], found["n_hit"], found["items"], found["spans"]) == (100_010, 100_010, ["1", "2"], [{"first": 0, "end": 100_010}])
+    assert time.time() - began < 10
+
+
 def test_copies_of_a_text_go_to_several_parts(spark):
     copies = spark.createDataFrame([(i, t) for i in range(200) for t in (PASSAGE, "", None)], "doc_id bigint, text string")
     parts = winnowing._in_parts(copies).groupBy("text").agg(F.countDistinct("part").alias("n")).collect()
@@ -227,6 +256,22 @@ def test_encoder_equals_the_library():
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_tells_pieces_of_equal_hash_apart(monkeypatch):
+    from topicframe.llm import encoder as module
+
+    rng = np.random.default_rng(8)
+    one, other = _alike()
+    rows = [one, other, one + other, f"{other} {one}", other * 2 + " " + one * 2, "x" + one, one]
+    rows += ["".join(rng.choice(list("ab"), 1024)) for _ in range(30)]
+    for fold in (lambda h: h, lambda h: h & np.uint64(15)):  # the second: hashes that collide everywhere
+        monkeypatch.setattr(module, "mix", fold)
+        known = Encoder(default_vocabulary())
+        for _ in range(2):
+            counts, ids = (np.concatenate(x) for x in zip(*known.counts_and_ids(rows), strict=True))
+            want = [known.library.encode(t, add_special_tokens=False).ids for t in rows]
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_length_histogram(docs, empty):
     size = sorted(len(x) for x in tokens(awkward()).values())
     limits = token_lengths.limits(token_lengths.histogram(docs)).cache()
@@ -240,6 +285,15 @@ def test_length_histogram(docs, empty):
     assert token_lengths.limits(token_lengths.histogram(empty)).count() == 0
 
 
+def test_length_limits_that_no_document_has(odd, empty):
+    size = sorted(len(x) for x in tokens([(k, r.text) for k, r in enumerate(odd.select("text").collect())]).values())
+    rows = {r.length: r for r in token_lengths.limits(token_lengths.histogram(odd), [77, 10**6], [0.25, 0.5, 1.0]).collect()}
+    assert (rows[77].n_docs, rows[77].docs_from, rows[77].truncated_tokens) == (size.count(77), sum(s >= 77 for s in size), sum(min(s, 77) for s in size))
+    assert (rows[10**6].docs_from, rows[10**6].truncated_tokens) == (0, sum(size))
+    assert sorted((q, n) for n, r in rows.items() for q in r.quantile_of) == [(q, size[int(np.ceil(q * len(size))) - 1]) for q in (0.25, 0.5, 1.0)]
+    assert token_lengths.limits(token_lengths.histogram(empty), [5], [0.5]).select("docs_to", "quantile_of").collect() == [(0, [])]
+
+
 def test_token_files_hold_every_id(spark, odd, docs, empty, tmp_path):
     token_orc.write(docs, str(tmp_path / "t"))
     at = 0
@@ -248,6 +302,13 @@ def test_token_files_hold_every_id(spark, odd, docs, empty, tmp_path):
         ids = [*ids, 0]
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4")))
         at += len(ids)
+    # a writer that cuts a range into several files
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 2)
+    try:
+        token_orc.write(docs, str(tmp_path / "cut"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert {r.doc_id: tuple(r) for r in token_orc.digests(spark, str(tmp_path / "cut")).collect()} == {i: tuple(r) for i, r in got.items()}
     token_orc.write(odd, str(tmp_path / "o"))
     rows = token_orc.digests(spark, str(tmp_path / "o")).collect()
     assert len(rows) == odd.count() and sorted(r.start for r in rows)[0] == 0 and len({r.start for r in rows}) == len(rows)

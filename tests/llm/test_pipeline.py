@@ -42,6 +42,14 @@ def test_stages_keep_the_columns(spark):
         assert 0 < out.count() <= docs.count()
 
 
+def test_rows_that_share_an_id(spark):
+    one, other, third = "the quick brown fox jumps over the dog", "nothing in here is like the first text at all", "and a last one that stands for itself here"
+    rows = [(1, one, "a"), (1, other, "b"), (1, one, "a"), (2, one, "c"), (3, third, "d"), (None, third, "e"), (None, third, "e"), (4, None, "f"), (5, "", "g")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _place string")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id or 0, r.text or "", r._place) for r in out.collect()) == sorted([(1, one, "a"), (1, other, "b"), (3, third, "d"), (0, third, "e"), (0, third, "e"), (4, "", "f")])
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -59,4 +67,4 @@ def test_query_covers_its_table(spark, name):
 
 
 def test_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and "pipeline" in entry.queries()

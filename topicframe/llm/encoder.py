@@ -3,7 +3,8 @@
 Byte-level BPE cuts a text into pieces (a run of letters, digits or other signs with the space
 before it, or white space) and merges inside a piece only, so equal pieces have equal ids.
 Pieces are found with numpy, each distinct one is encoded once by the tokenizers library, and
-the ids of a text are gathered from them. Texts with characters beyond U+024F or with a special
+the ids of a text are gathered from them. A hash groups a block's pieces; each is then compared with
+the first of its group character by character, and what is known is known by the piece itself. Texts with characters beyond U+024F or with a special
 token's string go to the library whole, so classes of rarer characters are the library's own.
 """
 
@@ -21,8 +22,9 @@ from .textbytes import mix, powers
 
 #: Texts are joined into blocks of about this many characters.
 BLOCK_CHARS = 1 << 18
-#: A worker forgets its pieces when it knows this many; it changes no result.
-MOST_PIECES = 3_000_000
+#: A worker forgets its pieces when it knows this many, or this many characters of them; it changes no result.
+MOST_PIECES = 2_000_000
+MOST_CHARS = 64 << 20
 _PLAIN = 0x250
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 
@@ -91,15 +93,17 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.ends = array.array("i"), array.array("q", [0])
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: list[int], pieces: list[str]) -> None:
-        for key, found in zip(keys, self.library.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.slots[key] = len(self.ends) - 1
+    def _learn(self, pieces: list[str]) -> None:
+        for piece, found in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+            self.slots[piece] = len(self.ends) - 1
+            self.chars += len(piece)
             self.ids.extend(found.ids)
             self.ends.append(len(self.ids))
 
@@ -117,17 +121,32 @@ class Encoder:
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[: len(code)], out=total[1:])
         key = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
-        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.slots) + len(distinct) > MOST_PIECES:
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        pieces = [joined[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+        for i in self._unlike(code, begin, end, first[which]):
+            # another piece with the same hash
+            piece = joined[begin[i] : end[i]]
+            which[i] = len(pieces)
+            pieces.append(piece)
+        if len(self.slots) + len(pieces) > MOST_PIECES or self.chars > MOST_CHARS:
             self.forget()
-        names = distinct.tolist()
-        new = [i for i, x in enumerate(names) if x not in self.slots]
+        new = [p for p in pieces if p not in self.slots]
         if new:
-            at = first[new]
-            self._learn([names[i] for i in new], [joined[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
-        slots = np.array([self.slots[x] for x in names], np.int64)
+            self._learn(list(dict.fromkeys(new)))
+        slots = np.array([self.slots[p] for p in pieces], np.int64)
         return slots[which], np.searchsorted(begin, off)
 
+    @staticmethod
+    def _unlike(code: np.ndarray, begin: np.ndarray, end: np.ndarray, chosen: np.ndarray) -> list[int]:
+        """The pieces that are not, sign for sign, the one chosen for them."""
+        size = end - begin
+        unlike = size[chosen] != size
+        shift = np.where(unlike, 0, begin[chosen] - begin)
+        # pieces follow one another, so signs and pieces run in parallel
+        wrong = np.flatnonzero(code[np.arange(len(code)) + np.repeat(shift, size)] != code)
+        unlike[np.searchsorted(begin, wrong, "right") - 1] = True
+        return np.flatnonzero(unlike).tolist()
+
     def counts_and_ids(self, texts: list[str | None], want_ids: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
         """Blocks of (token count of each text, ids of all of them), in order; null is empty."""
         texts = [t or "" for t in texts]

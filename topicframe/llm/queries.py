@@ -72,7 +72,7 @@ def op6_super_kmers(spark, sf_dir):
 @query
 def op7_length_histogram(spark, sf_dir):
     lengths = hold(token_lengths.histogram(table(spark, sf_dir, "documents")), "token-lengths")
-    return token_lengths.limits(lengths)
+    return token_lengths.limits(lengths, token_lengths.CONTEXTS, token_lengths.SHARES)
 
 
 @query

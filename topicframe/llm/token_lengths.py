@@ -16,13 +16,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .encoder import default_vocabulary, encoder
 
 #: lengths that share a bucket of the two-level sums
 BUCKET = 64
+#: what the query answers for beside the lengths that occur
+CONTEXTS = (512, 1024, 2048, 4096, 8192, 16384, 32768, 131072)
+SHARES = (0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 1.0)
 
 
 def _counted(vocabulary: str):
@@ -44,13 +47,18 @@ def histogram(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
 
 
-def limits(histogram: DataFrame) -> DataFrame:
-    """One row a length L that occurs.
+def limits(histogram: DataFrame, contexts: Sequence[int] = (), shares: Sequence[float] = ()) -> DataFrame:
+    """One row a length L that occurs, and one for each of contexts, whether it occurs or not.
 
     docs_from, tokens_from: documents of at least L tokens and their tokens; docs_to, tokens_to:
-    those of at most L; truncated_tokens: what stays if every document is cut at L. The histogram
-    is read twice; give it as a stored table, or texts are encoded twice.
+    those of at most L; truncated_tokens: what stays if every document is cut at L; quantile_of: the
+    shares of all documents of which L is the quantile, the least length they do not exceed. The
+    histogram is read twice; give it as a stored table, or texts are encoded twice.
     """
+    if contexts:
+        # lengths of no document: the sums over them answer for any limit
+        asked = histogram.sparkSession.createDataFrame([(int(c), 0) for c in contexts], "length bigint, n_docs bigint")
+        histogram = histogram.unionByName(asked).groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
     bucket = F.floor(F.col("length") / BUCKET)
     lengths = histogram.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"), bucket.alias("bucket"))
     sums = lengths.groupBy("bucket").agg(F.sum("n_docs").alias("b_docs"), F.sum("n_tokens").alias("b_tokens"))
@@ -78,9 +86,16 @@ def limits(histogram: DataFrame) -> DataFrame:
         (F.col("all_docs") - F.col("docs_from") + F.col("n_docs")).alias("docs_to"),
         (F.col("all_tokens") - F.col("tokens_from") + F.col("n_tokens")).alias("tokens_to"),
         (F.col("all_tokens") - F.col("tokens_from") + F.col("length") * F.col("docs_from")).alias("truncated_tokens"),
+        F.filter(F.array(*(F.lit(float(s)) for s in shares)).cast("array<double>"), lambda s: _is_quantile(s)).alias("quantile_of"),
     )
 
 
+def _is_quantile(share: Column) -> Column:
+    reached = F.col("all_docs") - F.col("docs_from") + F.col("n_docs")
+    needed = F.greatest(F.ceil(share * F.col("all_docs")), F.lit(1))
+    return (reached >= needed) & (reached - F.col("n_docs") < needed)
+
+
 def truncated_totals(limit_rows: DataFrame, contexts: Sequence[int]) -> DataFrame:
     """(context, kept_tokens) for limits that need not occur as lengths.
 

@@ -1,9 +1,9 @@
 """Token ids in ORC: integer run-length encoding, row indexes and Bloom filters on document ids.
 
 Documents are dealt out by ranges of doc_id before they are encoded, so files follow one another
-in ascending order and a file is written in order by one task. Each row keeps where it starts
-inside its file; the place in the whole stream is that plus the totals of the files before, which
-come from the narrow columns alone. Readers take stripes in parallel, and a filter on doc_id skips
+in ascending order and a file is written in order by one task. Each row keeps the number of its
+range and where it starts inside it, whatever files a writer cuts a range into; the place in the whole
+stream is that plus the totals of the ranges before, which come from the narrow columns alone. Readers take stripes in parallel, and a filter on doc_id skips
 files, stripes and row groups by their indexes and Bloom filters.
 
 Defined results: a null or empty text is the end id alone; rows with equal doc_id are all written,
@@ -18,21 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_path
 from .encoder import default_vocabulary, encoder
+from .numbering import before_ranges
 from .sizes import parts
 
-FILE_SCHEMA = "doc_id bigint, at bigint, n_tokens bigint, ids array<int>"
+FILE_SCHEMA = "doc_id bigint, range_no int, at bigint, n_tokens bigint, ids array<int>"
 END_ID = 0
 #: rows between two entries of a row index
 INDEX_STRIDE = 1000
 #: bytes of a stripe before compression; a writer holds one in memory
 STRIPE_BYTES = 16 << 20
-#: bytes of stored input for one file
-FILE_BYTES = 8 << 20
+#: bytes of stored input for one range
+RANGE_BYTES = 64 << 20
 
 
 def _encode(vocabulary: str, end_id: int):
@@ -50,8 +51,8 @@ def _encode(vocabulary: str, end_id: int):
                 starts = at + ends - counts - 1
                 at += int(ends[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids[lo : lo + len(counts)], pa.array(starts), pa.array(counts + 1), lists],
-                    names=["doc_id", "at", "n_tokens", "ids"],
+                    [doc_ids[lo : lo + len(counts)], batch.column(2)[lo : lo + len(counts)], pa.array(starts), pa.array(counts + 1), lists],
+                    names=["doc_id", "range_no", "at", "n_tokens", "ids"],
                 )
                 lo += len(counts)
 
@@ -64,9 +65,9 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
     tie = F.xxhash64("text").alias("tie")
     dealt = (
         kept.withColumn("tie", tie)
-        .repartitionByRange(parts(kept, FILE_BYTES), "doc_id", "tie")
+        .repartitionByRange(parts(kept, RANGE_BYTES), "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
-        .select("doc_id", "text")
+        .select("doc_id", "text", F.spark_partition_id().alias("range_no"))
     )
     (
         dealt.mapInArrow(_encode(vocabulary or default_vocabulary(), end_id), FILE_SCHEMA)
@@ -80,15 +81,8 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, at, n_tokens, ids, file): filters on doc_id reach the files' indexes."""
-    return spark.read.schema(FILE_SCHEMA).orc(path).select("*", F.col("_metadata.file_name").alias("file"))
-
-
-def file_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(file, before): tokens in the files before each; one row a file, from narrow columns."""
-    totals = read(spark, path).groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return totals.select("file", before.alias("before"))
+    """(doc_id, range_no, at, n_tokens, ids): filters on doc_id reach the files' indexes."""
+    return spark.read.schema(FILE_SCHEMA).orc(path)
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,16 +91,17 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, off = np.asarray(lists.values).astype("<u4"), np.asarray(lists.offsets)
         sums = [zlib.crc32(flat[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("at"), pa.array(np.diff(off).astype(np.int64)), pa.array(sums, pa.int64()), batch.column("file")],
-            names=["doc_id", "at", "n_tokens", "ids_crc32", "file"],
+            [batch.column("doc_id"), batch.column("range_no"), batch.column("at"), pa.array(np.diff(off).astype(np.int64)), pa.array(sums, pa.int64())],
+            names=["doc_id", "range_no", "at", "n_tokens", "ids_crc32"],
         )
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files."""
-    rows = read(spark, path).mapInArrow(_checked, "doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint, file string")
-    placed = rows.join(file_starts(spark, path), "file")
-    return placed.select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    stored = read(spark, path)
+    rows = stored.mapInArrow(_checked, "doc_id bigint, range_no int, at bigint, n_tokens bigint, ids_crc32 bigint")
+    placed = rows.join(before_ranges(stored, tokens="n_tokens"), "range_no")
+    return placed.select("doc_id", (F.col("before_tokens") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def written_digests(docs: DataFrame) -> DataFrame:

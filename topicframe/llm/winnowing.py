@@ -1,17 +1,19 @@
 """Benchmark decontamination by winnowing.
 
 A text's fingerprints are the hashes of its k-word grams; of every ``width`` consecutive ones the
-least is kept. Two texts that share k + width - 1 words or more therefore share a kept fingerprint
-inside that span, whatever surrounds it. Fingerprints of the items are joined with those of the
-documents, and each hit is extended word by word to both sides; a shared span that covers a whole
-window of the item counts. With k = 5 and width = 6 no shared run of 10 words is missed.
+least is kept, with all that tie. Two texts that share k + width - 1 words or more therefore share a
+kept fingerprint inside that span, whatever surrounds it. Fingerprints of the items are joined with
+those of the documents, and each hit is extended to both sides to every whole window around it. With
+k = 5 and width = 6 no shared run of 10 words is missed. A window counts if an item has it word for
+word: hashes only choose what is compared. Each window of a document is looked up once, however
+many places of however many items it occurs in, so repeated words cost no more than others.
 
 An item of fewer than 10 words is one window of its own length n; a document is then fingerprinted
 for that n too (k = n, width 1, at most nine such lengths).
 
-Item fingerprints are sent to every task if they are at most ``most_sent`` (checked by a count).
-Beyond that the documents' fingerprints are joined with the items' by a shuffle, and each task
-extends the hits of its documents against the items that were hit there.
+Items are sent to every task if they are at most ``most_sent`` words (checked by a sum). Beyond that
+the documents' fingerprints are joined with the items' by a shuffle, and each task extends the hits of
+its documents against the items that were hit there.
 
 Defined results: a null or empty text has no words and no hits; an item without words is never
 hit; items with equal text are all reported; rows with equal doc_id are judged each for itself; a
@@ -34,20 +36,26 @@ from .textbytes import ALNUM, blocks, covered, gram_hashes, lowered, sliding_min
 
 WINDOW = 10
 GRAM = 5
-#: words of all items together that are sent to every task, 8 bytes each and as much again for the fingerprints
-MOST_SENT = 2_000_000
+#: words of all items together that are sent to every task, about 200 bytes each there with the window they begin
+MOST_SENT = 1_000_000
 _NONE = np.zeros(0, np.int64)
 
 
 class Texts:
-    """Words of a block of texts: hashes, and the first word of each text and the end."""
+    """Words of a block of texts: bytes, hashes, and the first word of each text and the end."""
 
     def __init__(self, raw: np.ndarray, off: np.ndarray):
         raw = lowered(raw)
-        start, end, self.edge = words(raw, off, ALNUM)
-        self.hashes = span_hashes(raw, start, end) if len(start) else np.zeros(0, np.uint64)
+        self.start, self.end, self.edge = words(raw, off, ALNUM)
+        self.hashes = span_hashes(raw, self.start, self.end) if len(self.start) else np.zeros(0, np.uint64)
         self.text = np.repeat(np.arange(len(self.edge) - 1), np.diff(self.edge))
         self.stop = self.edge[1:][self.text]
+        self.data = raw.tobytes()
+
+    def windows(self, first: np.ndarray, n: int) -> Iterator[bytes]:
+        """The n words from each of these on, with a blank between."""
+        for a in first.tolist():
+            yield b" ".join([self.data[x:y] for x, y in zip(self.start[a : a + n].tolist(), self.end[a : a + n].tolist(), strict=True)])
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first word) of the k-word grams that lie in one text."""
@@ -56,7 +64,7 @@ class Texts:
         return h[at], at
 
     def fingerprints(self, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """The winnowed grams: the least, rightmost, of every width consecutive ones of a text."""
+        """The winnowed grams: the least, all that tie, of every width consecutive ones of a text."""
         h, at = self.grams(k)
         if width == 1 or not len(h):
             return h, at
@@ -70,110 +78,111 @@ class Texts:
 
 
 class Items:
-    """Benchmark items: word hashes, windows and, for each gram length, sorted fingerprints."""
+    """Benchmark items: for each window length, fingerprints and window hashes, sorted, and who has each window."""
 
     def __init__(self, ids: list[str], texts: pa.Array, window: int, gram: int):
+        if gram >= window:
+            raise ValueError("a window needs more than one gram")
         raw, off = text_bytes(texts)
         block = Texts(raw, off)
-        self.ids, self.words, self.edge, self.text = ids, block.hashes, block.edge, block.text
-        size = np.diff(block.edge)
-        self.length = np.minimum(size, window)
-        self.prints: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for n in np.unique(self.length[self.length > 0]).tolist():
-            k, width = (gram, window - gram + 1) if n == window else (n, 1)
+        self.ids = ids
+        length = np.minimum(np.diff(block.edge), window)
+        self.lengths: list[tuple[int, int, int]] = []
+        self.prints: dict[int, np.ndarray] = {}
+        self.hashes: dict[int, np.ndarray] = {}
+        self.holders: dict[int, dict[bytes, list[int]]] = {}
+        for n in np.unique(length[length > 0]).tolist():
+            k, width = _gram(n, window, gram)
             h, at = block.fingerprints(k, width)
-            mine = self.length[block.text[at]] == n
-            h, at = h[mine], at[mine]
-            order = np.argsort(h, kind="stable")
-            self.prints[(k, width) if n == window else (n, 1)] = (h[order], at[order])
-        if (gram, window - gram + 1) in self.prints and window - gram + 1 == 1:
-            raise ValueError("a window needs more than one gram")
-
-
-def _extend(doc: Texts, items: Items, at_doc: np.ndarray, at_item: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, last word, item) of the longest equal spans around hits, at least the item's window long."""
-    a, b = at_doc.copy(), at_item.copy()
-    low_doc, low_item = doc.edge[doc.text[at_doc]], items.edge[items.text[at_item]]
-    going = np.arange(len(a))
-    while len(going):
-        more = (a[going] > low_doc[going]) & (b[going] > low_item[going])
-        going = going[more]
-        going = going[doc.hashes[a[going] - 1] == items.words[b[going] - 1]]
-        a[going] -= 1
-        b[going] -= 1
-    c, d = at_doc + k, at_item + k
-    high_doc, high_item = doc.stop[at_doc], items.edge[items.text[at_item] + 1]
-    going = np.arange(len(a))
-    while len(going):
-        more = (c[going] < high_doc[going]) & (d[going] < high_item[going])
-        going = going[more]
-        going = going[doc.hashes[c[going]] == items.words[d[going]]]
-        c[going] += 1
-        d[going] += 1
-    item = items.text[at_item]
-    long = c - a >= items.length[item]
-    # the gram itself must agree too, not its hash alone
-    for j in range(k):
-        long &= doc.hashes[at_doc + j] == items.words[at_item + j]
-    return a[long], c[long], item[long]
-
-
-def hits(doc: Texts, items: Items, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word behind the last, item) of every shared span in a block of documents."""
-    found = []
-    for (k, width), (prints, place) in items.prints.items():
+            self.prints[n] = np.unique(h[length[block.text[at]] == n])
+            whole, first = block.grams(n)
+            mine = length[block.text[first]] == n
+            self.hashes[n] = np.unique(whole[mine])
+            holders = self.holders[n] = {}
+            for text, item in zip(block.windows(first[mine], n), block.text[first[mine]].tolist(), strict=True):
+                held = holders.setdefault(text, [])
+                if not held or held[-1] != item:
+                    held.append(item)
+            self.lengths.append((n, k, width))
+
+
+def _gram(n: int, window: int, gram: int) -> tuple[int, int]:
+    """Words of a gram and grams of a winnowing window, for windows of n words."""
+    return (gram, window - gram + 1) if n == window else (n, 1)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Mask of the values in an ascending array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def hits(doc: Texts, items: Items) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
+    """(first word, word behind the last) of every window that an item has, and the items of each text."""
+    begin, end = [_NONE], [_NONE]
+    seen: list[dict[bytes, list[int]]] = [{} for _ in range(len(doc.edge) - 1)]
+    for n, k, width in items.lengths:
         h, at = doc.fingerprints(k, width)
-        lo, hi = np.searchsorted(prints, h, "left"), np.searchsorted(prints, h, "right")
-        some = np.flatnonzero(hi > lo)
-        if not len(some):
+        at = at[_among(h, items.prints[n])]
+        if not len(at):
             continue
-        n = (hi - lo)[some]
-        every = np.repeat(lo[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at_doc, at_item = np.repeat(at[some], n), place[every]
-        # one fingerprint of a diagonal is enough to find its span
-        found.append(_extend(doc, items, at_doc, at_item, k, window))
-    if not found:
-        return _NONE, _NONE, _NONE
-    a, b, item = (np.concatenate(x) for x in zip(*found, strict=True))
-    _, one = np.unique(np.stack([a, b, item]), axis=1, return_index=True) if len(a) else (None, _NONE)
-    return a[one], b[one], item[one]
-
-
-_RESULT = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<first:bigint,end:bigint,item:string>>"
-
-
-def _judge(table: pa.Table, items: Items, window: int, carried: list[str]) -> pa.Table:
+        # all windows of the text that hold the gram
+        around = (at[:, None] - np.arange(n - k + 1)).ravel()
+        text = np.repeat(doc.text[at], n - k + 1)
+        around = np.unique(around[(around >= doc.edge[text]) & (around + n <= doc.edge[text + 1])])
+        around = around[_among(gram_hashes(doc.hashes, n)[around], items.hashes[n])]
+        holders, same = items.holders[n], np.zeros(len(around), bool)
+        for i, (key, text) in enumerate(zip(doc.windows(around, n), doc.text[around].tolist(), strict=True)):
+            held = holders.get(key)
+            if held is not None:
+                same[i] = True
+                seen[text][key] = held
+        begin.append(around[same])
+        end.append(around[same] + n)
+    return np.concatenate(begin), np.concatenate(end), [{item for held in found.values() for item in held} for found in seen]
+
+
+_RESULT = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<first:bigint,end:bigint>>"
+
+
+def _judge(table: pa.Table, items: Items, carried: list[str]) -> pa.Table:
     raw, off = text_bytes(table.column("text"))
     n_words, n_hit, names, spans = [], [], [], []
     for lo, hi in blocks(off):
         doc = Texts(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-        first, end, item = hits(doc, items, window)
+        first, end, found = hits(doc, items)
         inside = covered(first, end, len(doc.hashes))
         running = np.zeros(len(inside) + 1, np.int64)
         np.cumsum(inside, out=running[1:])
         n_words.append(np.diff(doc.edge))
         n_hit.append(np.diff(running[doc.edge]))
+        names += [sorted({items.ids[i] for i in own}) for own in found]
         own: list[list[dict]] = [[] for _ in range(hi - lo)]
-        if len(first):
-            text = doc.text[first]
-            base = doc.edge[text]
-            for t, a, b, i in zip(text.tolist(), (first - base).tolist(), (end - base).tolist(), item.tolist(), strict=True):
-                own[t].append({"first": a, "end": b, "item": items.ids[i]})
-        names += [sorted({s["item"] for s in x}) for x in own]
+        # runs of words that are hit, cut where texts end
+        heads = np.zeros(len(inside) + 1, bool)
+        heads[doc.edge] = True
+        after = np.append(False, inside[:-1]) if len(inside) else inside
+        starts = np.flatnonzero(inside & (heads[:-1] | ~after))
+        before = np.append(inside[1:], False) if len(inside) else inside
+        stops = np.flatnonzero(inside & (heads[1:] | ~before)) + 1
+        text = doc.text[starts]
+        for t, a, b in zip(text.tolist(), (starts - doc.edge[text]).tolist(), (stops - doc.edge[text]).tolist(), strict=True):
+            own[t].append({"first": a, "end": b})
         spans += own
     out = {c: table.column(c) for c in carried}
     out["n_words"] = pa.array(np.concatenate([*n_words, _NONE]))
     out["n_hit"] = pa.array(np.concatenate([*n_hit, _NONE]))
     out["items"] = pa.array(names, pa.list_(pa.string()))
-    out["spans"] = pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("item", pa.string())])))
+    out["spans"] = pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
     return pa.table(out)
 
 
-def _with_sent(build: Callable[[], Items], window: int, carried: list[str]):
+def _with_sent(build: Callable[[], Items], carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = build()
         for batch in batches:
-            yield from _judge(pa.Table.from_batches([batch]), items, window, carried).to_batches()
+            yield from _judge(pa.Table.from_batches([batch]), items, carried).to_batches()
 
     return run
 
@@ -199,7 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gr
         ids, texts = rows.column("item_id").to_pylist(), rows.column("text").to_pylist()
         sent = kept.sparkSession.sparkContext.broadcast((ids, texts))
         build = lambda: Items(sent.value[0], pa.array(sent.value[1], pa.string()), window, gram)
-        return kept.mapInArrow(_with_sent(build, window, carried), schema)
+        return kept.mapInArrow(_with_sent(build, carried), schema)
     return _shuffled(kept, items, window, gram, carried, schema)
 
 
@@ -215,7 +224,7 @@ def _print_rows(lengths: list[int], window: int, gram: int, key: str):
             for lo, hi in blocks(off):
                 block = Texts(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
                 for n in lengths:
-                    h, at = block.fingerprints(*((gram, window - gram + 1) if n == window else (n, 1)))
+                    h, at = block.fingerprints(*_gram(n, window, gram))
                     if not len(h):
                         continue
                     pairs = np.unique(np.stack([h.view(np.int64) ^ np.int64(n), block.text[at]]), axis=1)
@@ -241,6 +250,6 @@ def _shuffled(kept: DataFrame, items: DataFrame, window: int, gram: int, carried
 
     def run(table: pa.Table, own: pa.Table) -> pa.Table:
         found = Items(own.column("item_id").to_pylist(), own.column("item_text"), window, gram)
-        return _judge(table, found, window, carried)
+        return _judge(table, found, carried)
 
     return rows.groupBy("part").cogroup(needed.groupBy("part")).applyInArrow(run, schema)
