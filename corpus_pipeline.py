@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicframe.llm import attention_mil, best_fit, simhash_bk, super_kmers, winnowing
@@ -38,12 +38,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near duplicates stays; of rows that share it, the first by hash of the text."""
+    """The least doc_id of each group of near duplicates stays; of rows equal in id and text, one."""
     grouped = simhash_bk.near_duplicates(docs)
     stay = hold(grouped.where("doc_id = component_id").select("doc_id").distinct(), "representatives")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    named = docs.where("doc_id is not null").withColumn("_place", place).where("_place = 1").drop("_place")
-    return named.join(stay, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    # few if any, so texts are compared only there; rows that share an id alone are all kept
+    repeated = hold(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    once = kept.join(repeated, "doc_id", "left_anti")
+    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.select(docs.columns).unionByName(several.select(docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
