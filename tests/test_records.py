@@ -268,3 +268,65 @@ def test_nested_json_takes_time_in_proportion(spark):
 
     taken(10)
     assert taken(100_000) < 20 * max(taken(20_000), 0.2)
+
+
+ONE = '{"type":"record","name":"ExampleRecord","fields":[{"name":"field1","type":"int"}]}'
+TWO = '{"type":"record","name":"ExampleRecord","fields":[{"name":"field1","type":"int"},{"name":"field2","type":["null","string"]}]}'
+
+
+def _texts(bundles):
+    return {(r.topic, r.first_off, r.relationship): bytes(r.content).decode() for r in bundles.collect()}
+
+
+def test_a_changing_schema_begins_a_bundle(log):
+    rows = [("foo", ONE, "9"), ("bar", ONE, "10"), ("foo", TWO, "1,x"), ("bar", ONE, "7")]
+    messages = log([{"topic": t, "schema_type": "AVRO", "schema_def": s, "data": d} for t, s, d in rows])
+    assert _texts(consume_records(messages, Subscription("c"))) == {
+        ("bar", 1, "success"): '"10"\n"7"\n',
+        ("foo", 0, "success"): '"9"\n',
+        ("foo", 2, "success"): '"1","x"\n',
+    }
+
+
+def test_each_message_is_read_by_its_own_schema(log):
+    rows = [(ONE, '{"field1": 1, "field2": "left out"}'), (TWO, '[{"field1": 2}, {"field1": 3, "field2": "b"}]'), (TWO, '{"field1": 4, "field2": 5}'), ("no schema", "{}"), (None, "{}"), (ONE, '{"field1": 1.5}'), (ONE, ""), (TWO, '{"field1": 2147483648}')]
+    messages = log([{"schema_type": "JSON", "schema_def": s, "data": d} for s, d in rows])
+    assert _texts(consume_records(messages, Subscription("c", demarcator="|"), None, "json", "json")) == {
+        ("t", 0, "success"): '{"field1":1}{"field1":2}{"field1":3,"field2":"b"}',
+        ("t", 0, "parse_failure"): '{"field1": 4, "field2": 5}|{}|{}|{"field1": 1.5}|{"field1": 2147483648}',
+    }
+
+
+def test_schemas_too_many_to_send_are_met_by_salted_keys(log, monkeypatch):
+    from topicframe.operators import lookup
+
+    monkeypatch.setattr(lookup.left_lookup, "__defaults__", ("off", 1, 8))
+    rows = [(ONE if i % 3 else TWO, str(i)) for i in range(40)]
+    messages = log([{"schema_type": "AVRO", "schema_def": s, "data": d} for s, d in rows])
+    got = consume_records(messages, Subscription("c")).groupBy("relationship").sum("record_count", "message_count").collect()
+    assert {tuple(r) for r in got} == {("success", 26, 26), ("parse_failure", 0, 14)}
+
+
+@pytest.mark.parametrize(
+    ("text", "fields"),
+    [
+        (ONE, [("field1", "int", False)]),
+        (TWO, [("field1", "int", False), ("field2", "string", True)]),
+        ('{"type":"record","fields":[{"name":"a","type":{"type":"map","values":"int"}},{"name":"b","type":["int","string"]},{"name":"c","type":"null"}]}', [("a", "object", False), ("b", "any", False), ("c", "null", True)]),
+        ('{"type":"record","fields":[]}', []),
+        ('{"type":"record"}', None),
+        ('{"type":"record","fields":[{"name":"a"}]}', None),
+        ('{"type":"record","fields":[{"type":"int"}]}', None),
+        ('{"type":"record","fields":[{"name":"a","type":"unknown"}]}', None),
+        ('{"type":"record","fields":[{"name":"a","type":"int"},{"name":"a","type":"int"}]}', None),
+        ('{"type":"enum","symbols":[]}', None),
+        ("[]", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_fields_of_schema_texts(spark, text, fields):
+    from topicframe.functions import schemas
+
+    got = spark.createDataFrame([(text,)], "t string").select(schemas.fields_of(F.col("t"))).first()[0]
+    assert (None if got is None else [tuple(f) for f in got]) == fields

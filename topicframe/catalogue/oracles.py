@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import constants as C
 from .queries import BROKER, CONSUMER
-from .views import NAMESPACE
+from .views import NAMESPACE, OWN_SCHEMAS
 
 _M = f"""
 m as (
@@ -151,6 +151,57 @@ rc as (
 )"""
 
 
+# messages with schemas of their own: what each carries, what of it is written, whether it fails
+_OWN = f"""
+m as (
+  select event_id as off, '{NAMESPACE}' || event_type as topic, cast(user_id % 4 as bigint) as part, event_type as etype,
+    case when user_id % 4 = 0 then 'AVRO' else 'JSON' end as stype,
+    case when user_id % 3 = 0 then null else 't' || cast(user_id % 3 as varchar) end as tier, event_id % 41 = 0 as odd,
+    case when event_id % 29 = 0 then null when event_id % 10 = 9 then event_id % 20 // 10 + 2 else event_id % 3 // 2 end as kind,
+    cast(user_id as varchar) as uid, case when user_id % 5 <> 0 then cast(cast(round(value * 100) as bigint) as varchar) end as cents
+  from events
+), t as (
+  select unnest(range(4)) as kind, unnest([{", ".join(f"'{x}'" for x in OWN_SCHEMAS)}]) as sdef
+), own as (
+  select m.*, t.sdef from m left join t using (kind)
+)"""
+_OWN_JSON = """
+b as (
+  select *, (row_number() over (partition by topic, part order by off) - 1) // 100 as batch_no,
+    '[{"kind": "' || etype || '", "uid": ' || uid || ', "cents": ' || coalesce(cents, 'null') || ', "tags": ["a", "' || off || '"]}, {"uid":'
+      || case when odd then '"none"' else uid end || ',"tags":[],"cents":' || coalesce(cents, 'null') || '}]' as body,
+    case when kind is null or kind > 1 then '' else
+      case kind when 0 then '{"uid":' || uid || ',"kind":"' || etype || '"}'
+        else '{"uid":' || uid || coalesce(',"cents":' || cents, '') || ',"tags":["a","' || off || '"]}' end
+      || case when odd then '' when kind = 0 then '{"uid":' || uid || '}'
+        else '{"uid":' || uid || coalesce(',"cents":' || cents, '') || ',"tags":[]}' end end as written,
+    case when kind is null or kind > 1 then 0 when odd then 1 else 2 end as kept,
+    kind is null or kind > 1 or odd as failed
+  from own
+)"""
+_OWN_CSV = """
+b as (
+  select *, (row_number() over (partition by topic, part order by off) - 1) // 100 as batch_no,
+    case when odd then 'none' else uid end || ',' || case when off % 3 = 0 then etype else coalesce(cents, '') end as body,
+    case when kind = 0 and not odd then '"' || uid || '","' || case when off % 3 = 0 then etype else coalesce(cents, '') end || '"' || chr(10) else '' end as written,
+    case when kind = 0 and not odd then 1 else 0 end as kept,
+    kind is null or kind > 0 or odd as failed
+  from own
+)"""
+
+
+def _own_bundles(messages: str) -> str:
+    return f"""with {_OWN}, {messages}, {_RR}, q as (
+  select topic, part, batch_no, run, min(schema) as schema, count(*) as n, sum(kept) as kept, count(case when failed then 1 end) as bad,
+    string_agg(written, '' order by off) as lines, string_agg(case when failed then body end, '***' order by off) as whole
+  from r group by topic, part, batch_no, run
+)
+select topic, part, batch_no, run as bundle_no, '{C.SUCCESS}' as relationship, cast(kept as bigint) as record_count,
+  n as message_count, schema, md5(lines) as digest from q where kept > 0
+union all
+select topic, part, batch_no, run, '{C.PARSE_FAILURE}', 0, bad, null, md5(whole) from q where bad > 0"""
+
+
 def _entries(where: str, name: str, value: str) -> str:
     return f"with {_M} select off, '{name}' as name, {value} as value from m where {where}"
 
@@ -201,6 +252,10 @@ select topic, part, batch_no, run as bundle_no, '{C.SUCCESS}' as relationship, g
   n as message_count, schema, md5(lines) as digest from q where good > 0
 union all
 select topic, part, batch_no, run, '{C.PARSE_FAILURE}', 0, bad, null, md5(whole) from q where bad > 0""",
+    "consume_own_schemas": _own_bundles(_OWN_JSON),
+    "consume_own_csv": _own_bundles(_OWN_CSV),
+    "unreadable_schemas": f"""with {_OWN}
+select topic, off, case when kind < 2 then '{C.SUCCESS}' else '{C.PARSE_FAILURE}' end as relationship from own""",
     "topic_list": f"""with {_M} select topic, part, off, md5(body) as digest from m
 where topic in ('{NAMESPACE}click', '{NAMESPACE}view')""",
     "topic_pattern": f"""with {_M} select topic, part, off, md5(body) as digest from m

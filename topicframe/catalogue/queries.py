@@ -182,6 +182,33 @@ def consume_record_bundles(spark, sf_dir):
     )
 
 
+def _own_schemas(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    log = V.own_schema_messages(spark, sf_dir, fmt)
+    return consume.consume_records(log, _subscription(), None, fmt, fmt).select(
+        "topic",
+        _big("part").alias("part"),
+        "batch_no",
+        "bundle_no",
+        "relationship",
+        "record_count",
+        "message_count",
+        F.col("attributes").getItem(C.SCHEMA_ATTRIBUTE).alias("schema"),
+        _md5("content"),
+    )
+
+
+@query
+def consume_own_schemas(spark, sf_dir):
+    """Each message read by the schema it carries: two kinds of record, broken texts, none."""
+    return _own_schemas(spark, sf_dir, "json")
+
+
+@query
+def consume_own_csv(spark, sf_dir):
+    """The same with lines, whose fields go by place."""
+    return _own_schemas(spark, sf_dir, "csv")
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -503,6 +530,13 @@ def schema_failures(spark, sf_dir):
     return records.route_schema(log).select("topic", "off", "relationship")
 
 
+@query
+def unreadable_schemas(spark, sf_dir):
+    """Schema texts that are there but are no schema fail as missing ones do."""
+    log = V.own_schema_messages(spark, sf_dir)
+    return records.route_schema(log, readable=True).select("topic", "off", "relationship")
+
+
 @query
 def publish_routes(spark, sf_dir):
     routed = publish.route(publish.with_topic(V.documents(spark, sf_dir), "${topic}"))

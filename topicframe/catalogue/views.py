@@ -59,6 +59,35 @@ def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: schema texts of two kinds of record, one that is no record, and one that is no JSON
+OWN_SCHEMAS = (
+    '{"type":"record","name":"Seen","fields":[{"name":"uid","type":"long"},{"name":"kind","type":["null","string"]}]}',
+    '{"type":"record","name":"Paid","fields":[{"name":"uid","type":"long"},{"name":"cents","type":["long","null"]},{"name":"tags","type":{"type":"array","items":"string"}}]}',
+    '{"type":"enum","name":"Kind","symbols":["a"]}',
+    '{"type":"record","fields":[{"name":"uid"',
+)
+
+
+def own_schema_messages(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
+    """Events as messages that each carry a schema of their own; every 41st has a uid that does not fit it.
+
+    In JSON a message holds two records with the fields of both schemas; as CSV one line for its own.
+    """
+    event, user = F.col("event_id"), F.col("user_id")
+    cents = F.when(user % 5 != 0, F.round(F.col("value") * 100).cast("bigint"))
+    uid = F.when(event % 41 == 0, F.lit('"none"')).otherwise(user.cast("string"))
+    text = lambda *pieces: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in pieces))
+    amount = F.coalesce(cents.cast("string"), F.lit("null"))
+    first = text('{"kind": "', F.col("event_type"), '", "uid": ', user.cast("string"), ', "cents": ', amount, ', "tags": ["a", "', event.cast("string"), '"]}')
+    second = text('{"uid":', uid, ',"tags":[],"cents":', amount, "}")
+    line = text(F.replace(uid, F.lit('"'), F.lit("")), ",", F.when(event % 3 == 0, F.col("event_type")).otherwise(F.coalesce(cents.cast("string"), F.lit(""))))
+    number = F.expr("if(event_id % 10 = 9, event_id % 20 div 10 + 2, event_id % 3 div 2)")
+    schema = F.get(F.array(*map(F.lit, OWN_SCHEMAS)), number.cast("int"))
+    body = text("[", first, ", ", second, "]") if fmt == "json" else line
+    own = table(spark, sf_dir, "events").select(event.alias("off"), F.when(event % 29 != 0, schema).alias("schema_def"), body.cast("binary").alias("data"))
+    return conform(messages(spark, sf_dir).drop("schema_def", "data").join(own, "off"), MESSAGE_SCHEMA)
+
+
 def many_record_messages(spark: SparkSession, sf_dir: str, lines: int = 20) -> DataFrame:
     """Messages of up to ``lines`` records each: consecutive payloads joined by newlines."""
     batched = assign_receive_batches(messages(spark, sf_dir), lines)

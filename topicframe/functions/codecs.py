@@ -81,6 +81,23 @@ def csv_lines(text: Column, settings: dict[str, str] | None = None) -> Column:
     return F.filter(cut, lambda line: F.trim(line) != "")
 
 
+def csv_parts(line: Column, settings: dict[str, str] | None = None) -> Column:
+    """The fields of one CSV line as text: null where a field is empty, but not where it is quoted."""
+    wanted = settings or {}
+    sep, quote = wanted.get("sep", wanted.get("delimiter", ",")), wanted.get("quote", '"')
+    mark, q = re.escape(sep), re.escape(quote)
+    # each match begins with a mark, so that none is empty
+    field = rf"(?s){mark}([ \t]*{q}(?:[^{q}]++|{q}{q})*+{q}(?:(?!{mark}).)*+|(?:(?!{mark}).)*+)"
+
+    def plain(part: Column) -> Column:
+        trimmed = F.trim(part)
+        is_quoted = trimmed.startswith(quote) & trimmed.endswith(quote) & (F.length(trimmed) >= 2)
+        inner = F.replace(F.substring(trimmed, F.lit(2), F.length(trimmed) - 2), F.lit(quote * 2), F.lit(quote))
+        return F.when(is_quoted, inner).when(trimmed != "", trimmed)
+
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), 1), plain)
+
+
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` uses it."""
     return F.transform(F.array(value), body).getItem(0)

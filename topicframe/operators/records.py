@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions import codecs
+from ..functions import codecs, schemas
+from ..workspace import hold
+from .lookup import left_lookup
 
 Format = str | Callable[[Column], Column]
 
@@ -50,11 +52,26 @@ def route(df: DataFrame) -> DataFrame:
     )
 
 
-def route_schema(df: DataFrame, schema: str = "schema_def") -> DataFrame:
-    """Messages for which no schema is known go to the parse failures and begin no bundle."""
-    return df.withColumn(
-        "relationship", F.when(F.col(schema).isNull(), C.PARSE_FAILURE).otherwise(C.SUCCESS)
-    )
+def with_own_fields(keyed: DataFrame, messages: DataFrame, schema: str = "schema_def") -> DataFrame:
+    """Add ``_fields``, the fields of each message's own schema; null where its text is none.
+
+    ``keyed`` has the schema's ``_schema_key``. Each distinct text of ``messages`` is read once, into
+    a stored table, which is sent to the messages if it is small and met by salted keys if not.
+    """
+    texts = messages.where(F.col(schema).isNotNull()).groupBy(schema).agg(F.lit(1).alias("_"))
+    known = texts.select(schemas.key_of(F.col(schema)).alias("_schema_key"), schemas.fields_of(F.col(schema)).alias("_fields"))
+    return left_lookup(keyed, hold(known, "schemas"), ["_schema_key"])
+
+
+def route_schema(df: DataFrame, schema: str = "schema_def", readable: bool = False) -> DataFrame:
+    """Messages for which no schema is known go to the parse failures and begin no bundle.
+
+    With ``readable`` a schema text must also be one that can be read.
+    """
+    found = F.col(schema).isNotNull()
+    if readable:
+        found = found & schemas.fields_of(F.col(schema)).isNotNull()
+    return df.withColumn("relationship", F.when(found, C.SUCCESS).otherwise(C.PARSE_FAILURE))
 
 
 def apply_policy(df: DataFrame, on_error: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..functions import attributes as A
 from ..functions import payload as P
+from ..functions import schemas
 from ..functions.mapping import map_of
 from ..operators import bundling, delivery, records
 from ..operators.receive import LOG, assign_receive_batches
@@ -67,8 +68,8 @@ class Subscription:
             values[C.SCHEMA_ATTRIBUTE] = schema if mapped is None else F.coalesce(schema, mapped)
         return values
 
-    def numbered(self, messages: DataFrame, records: bool) -> _Runs:
-        """Batches and runs over no more than the columns a consumer needs.
+    def numbered(self, messages: DataFrame, records: bool, carried: Sequence[Column] = ()) -> _Runs:
+        """Batches and runs over no more than the columns a consumer needs, and those carried.
 
         Shared attributes are taken from the messages before they are moved. Message id and
         properties are those of a run's first message; the map of all is built once per bundle.
@@ -81,6 +82,7 @@ class Subscription:
             "off",
             "data",
             F.col("schema_def").isNotNull().alias("_has_schema"),
+            *carried,
             *[value.alias(columns[name]) for name, value in shared.items()],
             *([] if whole else ["message_id", "properties"]),
         )
@@ -141,7 +143,7 @@ def consume_bytes(messages: DataFrame, sub: Subscription, drop_empty: bool = Tru
 def consume_records(
     messages: DataFrame,
     sub: Subscription,
-    schema: T.StructType | str,
+    schema: T.StructType | str | None = None,
     reader: records.Format = "csv",
     writer: records.Format = "csv",
     options: dict[str, str] | None = None,
@@ -150,12 +152,23 @@ def consume_records(
 ) -> DataFrame:
     """The record consumer: good records of each run rewritten, bad messages kept whole.
 
+    Without ``schema`` each message is read by the schema it carries itself, an Avro record schema
+    as JSON text (``functions.schemas``), and a message whose schema text is missing or cannot be
+    read is one whose schema cannot be found.
+
     A run yields up to two bundles, one per route, both from a single aggregation. Messages
     are parsed and rewritten in their own rows beforehand. With ``needs_schema`` a message
     without schema text counts as one whose schema cannot be found.
     """
-    numbered = sub.numbered(messages, records=True)
-    parsed = records.route(records.parse(numbered.messages, schema, reader, options))
+    if schema is None:
+        numbered = sub.numbered(messages, records=True, carried=[schemas.key_of(F.col("schema_def")).alias("_schema_key")])
+        placed = records.with_own_fields(numbered.messages, messages)
+        reader, writer = schemas.reader(reader, options), schemas.writer(writer, writer_options)
+        parsed = records.route(records.parse(placed, "", reader)).withColumn("_has_schema", F.col("_fields").isNotNull())
+        needs_schema = True
+    else:
+        numbered = sub.numbered(messages, records=True)
+        parsed = records.route(records.parse(numbered.messages, schema, reader, options))
     if needs_schema:
         parsed = parsed.withColumn("failed", F.col("failed") | ~F.col("_has_schema")).withColumn(
             "kept", F.when(F.col("_has_schema"), F.col("kept")).otherwise(F.slice("kept", F.lit(1), F.lit(0)))
