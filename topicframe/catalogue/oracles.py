@@ -380,6 +380,36 @@ from text join kept using (topic, part, off) where failed group by topic""",
   from piece join base using (doc_id)
 )
 select topic, off % 4 as part, count(*) as n, min(off) as lo, max(off) as hi, {_SUM.format("data")} from msg group by 1, 2""",
+    "publish_files": f"""with f as (
+  select lang, doc_id // 1000 as block, string_split(string_agg(text, chr(10) order by doc_id), chr(10)) as t from documents group by 1, 2
+), b as (
+  select *, block * 10 + list_position(['de', 'en', 'es', 'fr'], lang) as bundle_id,
+    coalesce(sum(len(t)) over (partition by lang order by block rows between unbounded preceding and 1 preceding), 0) as base
+  from f
+), p as (
+  select lang, base, unnest(t) as data, unnest(range(len(t))) as pos from b where lang <> 'de'
+)
+select lang as topic, cast((base + pos) % 4 as bigint) as part, cast(base + pos as bigint) as off, md5(data) as digest from p
+union all
+select case when lang = 'de' then '{C.FAILURE}' else '{C.SUCCESS}' end, bundle_id, case when lang <> 'de' then len(t) end, lang from b
+union all
+select '{C.FAILURE}', 0, null, 'en'""",
+    "publish_file_records": f"""with {_O}, l as (
+  select *, orderkey // 10000 as number, orderkey % 1000 = 777 and orderkey // 10000 % 3 = 1 as bad,
+    row_number() over (partition by orderkey // 10000 order by orderkey) - 1 as pos from w
+), f as (
+  select number, count(*) as n, min(case when bad then pos end) as first_bad from l group by number
+), mode as (
+  select unnest(['none', 'prefix']) as partial
+), s as (
+  select *, case when first_bad is null then n when partial = 'prefix' then first_bad else 0 end as sent from f cross join mode
+), b as (
+  select *, coalesce(sum(sent) over (partition by partial order by number rows between unbounded preceding and 1 preceding), 0) as base from s
+)
+select 'sent' as what, cast(base + pos as bigint) as off, cast(custkey as varchar) as key, md5(json) as digest, partial
+from l join b using (number) where pos < sent
+union all
+select case when first_bad is null then '{C.SUCCESS}' else '{C.FAILURE}' end, number, case when first_bad is null then cast(n as varchar) end, '', partial from b""",
     "publish_records": f"""with {_O}, {_batches(100, "w")}, u as (
   select *, min(off) over (partition by topic, part, batch_no) as bundle_id from b
 ), x as (

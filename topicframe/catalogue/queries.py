@@ -17,6 +17,7 @@ from ..operators import audit, bundling, chunking, delivery, publish, records
 from ..operators.receive import assign_receive_batches
 from ..plans import consume
 from ..plans import publish as publishers
+from ..plans import publish_files as publish_files_plan
 from ..sinks import tables
 from ..sources import topics
 from ..streaming import reader, runner, stateful
@@ -610,6 +611,35 @@ def publish_records(spark, sf_dir):
     return _written_back(spark, published, "publish-records", "ZLIB")
 
 
+@query
+def publish_files(spark, sf_dir):
+    """Files as contents: their lines as messages, and each file's route and count."""
+    root = fresh_path(spark, "document-files")
+    bundles = V.document_files(spark, sf_dir, root)
+    published = publish_files_plan.publish_files(bundles, root, publishers.Target("${topic}", "lang", partitions=4), "\n")
+    sent = published.messages.select("topic", _big("part").alias("part"), "off", _md5("data"))
+    routed = published.bundles.select(F.col("relationship").alias("topic"), F.col("bundle_id").alias("part"), _big("sent_count").alias("off"), F.col("attributes").getItem("lang").alias("digest"))
+    return sent.unionByName(routed)
+
+
+@query
+def publish_file_records(spark, sf_dir):
+    """Files of records in both partial modes: what is sent of each, and its route."""
+    root = fresh_path(spark, "order-files")
+    bundles = V.order_files(spark, sf_dir, root)
+
+    def published(partial: str) -> DataFrame:
+        target = publishers.Target("${topic}", partitions=4)
+        made = publish_files_plan.publish_file_records(
+            bundles, root, target, V.ORDER, "csv", "json", key_field="custkey", partial=partial, options={"header": "true"}
+        )
+        sent = made.messages.select(F.lit("sent").alias("what"), "off", "key", _md5("data"))
+        routed = made.bundles.select(F.col("relationship").alias("what"), F.col("bundle_id").alias("off"), F.col("sent_count").cast("string").alias("key"), F.lit("").alias("digest"))
+        return sent.unionByName(routed).withColumn("partial", F.lit(partial))
+
+    return published("none").unionByName(published("prefix"))
+
+
 @query
 def partition_routes(spark, sf_dir):
     log = V.messages(spark, sf_dir).drop("part")

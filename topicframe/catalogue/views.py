@@ -10,6 +10,7 @@ from ..functions.mapping import map_of
 from ..operators import bundling, chunking
 from ..operators.receive import LOG, assign_receive_batches
 from ..schema import MESSAGE_SCHEMA, conform
+from ..sources import files
 
 NAMESPACE = "persistent://public/default/"
 RECORD = "uid bigint, cents bigint"
@@ -114,6 +115,38 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LANGS = ("de", "en", "es", "fr")
+
+
+def document_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Documents written below root, a text file for each language and thousand; the files as bundles.
+
+    German ones lack a topic attribute; a last bundle names no file.
+    """
+    block = F.expr("doc_id div 1000").alias("block")
+    texts = table(spark, sf_dir, "documents").select("text", "lang", block, "doc_id")
+    laid = texts.repartition("lang", "block").sortWithinPartitions("lang", "block", "doc_id").drop("doc_id")
+    laid.write.partitionBy("lang", "block").text(root)
+    found = files.listed(spark, root)
+    place = F.array_position(F.array(*map(F.lit, LANGS)), F.col("lang"))
+    bundles = found.select((F.col("block") * 10 + place).cast("bigint").alias("bundle_id"), map_of({"topic": F.when(F.col("lang") != "de", F.col("lang")), "lang": F.col("lang")}).alias("attributes"), "path")
+    lost = spark.range(1).select(F.lit(0).cast("bigint").alias("bundle_id"), map_of({"topic": F.lit("en"), "lang": F.lit("en")}).alias("attributes"), F.lit("nowhere").alias("path"))
+    return bundles.unionByName(lost)
+
+
+def order_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Orders as CSV lines in files of ten thousand order keys, with a header; in some files keys ending in 777 are malformed."""
+    key = F.col("orderkey")
+    line = F.regexp_replace(codecs.serialize(order_record(), "csv"), "\n$", "")
+    spoilt = (key % 1000 == 777) & (F.expr("orderkey div 10000") % 3 == 1)
+    lines = orders(spark, sf_dir).select(F.when(spoilt, F.concat(F.lit("broken "), key.cast("string"))).otherwise(line).alias("line"), F.expr("orderkey div 10000").alias("number"), "orderkey")
+    heads = lines.select("number").distinct().select(F.lit("orderkey,custkey,status,priority").alias("line"), "number", F.lit(-1).cast("bigint").alias("orderkey"))
+    laid = lines.unionByName(heads).repartition("number").sortWithinPartitions("number", "orderkey").drop("orderkey")
+    laid.write.partitionBy("number").text(root)
+    found = files.listed(spark, root)
+    return found.select(F.col("number").cast("bigint").alias("bundle_id"), map_of({"topic": F.lit("orders")}).alias("attributes"), "path")
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as typed records."""
     return table(spark, sf_dir, "orders").select(

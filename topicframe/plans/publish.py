@@ -47,7 +47,7 @@ def publish_bytes(
     Offsets of a topic go on from ``ends`` (topic, next_off), a small stored table.
     """
     addressed = publish.with_properties(
-        publish.with_key(publish.with_topic(_with_id(bundles), target.topic), key), target.properties
+        publish.with_key(publish.with_topic(with_id(bundles), target.topic), key), target.properties
     )
     routed = publish.route(addressed)
     if demarcator:
@@ -59,7 +59,7 @@ def publish_bytes(
     # only narrow rows are put in order; the content joins them afterwards
     numbered = publish.assign_offsets(sending.select("bundle_id", "topic", sent.cast("bigint").alias("sent")), F.col("sent"), ends=ends)
     cut = publish.split(sending.join(numbered.select("bundle_id", "first_off"), "bundle_id"), demarcator)
-    return Published(_as_messages(cut, target), audit.publish_counts(routed, sent))
+    return Published(as_messages(cut, target), audit.publish_counts(routed, sent))
 
 
 def publish_records(
@@ -80,7 +80,7 @@ def publish_records(
     parsed and their records written once, into a stored table; offsets are numbered over its
     narrow columns, and messages and bundles are read from it.
     """
-    addressed = publish.with_properties(publish.with_topic(_with_id(bundles), target.topic), target.properties)
+    addressed = publish.with_properties(publish.with_topic(with_id(bundles), target.topic), target.properties)
     parsed = records.parse(addressed, schema, reader, options, data="content")
     routed = publish.route(parsed, partial)
     messages = publish.record_messages(schema, writer, key_field, writer_options)
@@ -90,16 +90,16 @@ def publish_records(
     placed = sending.join(numbered.select("bundle_id", "first_off"), "bundle_id")
     cut = placed.select("topic", "properties", "first_off", F.posexplode("messages").alias("pos", "_message"))
     cut = cut.select("topic", "properties", "first_off", "pos", "_message.*")
-    return Published(_as_messages(cut, target), audit.publish_counts(made.drop("messages"), F.col("sent")).drop("sent"))
+    return Published(as_messages(cut, target), audit.publish_counts(made.drop("messages"), F.col("sent")).drop("sent"))
 
 
-def _with_id(bundles: DataFrame) -> DataFrame:
+def with_id(bundles: DataFrame) -> DataFrame:
     """Bundles whose missing ids raise. It is the id itself that raises: a join on it would drop such rows unseen."""
     missing = F.raise_error(F.lit("a bundle without bundle_id cannot be put in order")).cast(bundles.schema["bundle_id"].dataType)
     return bundles.withColumn("bundle_id", F.coalesce("bundle_id", missing))
 
 
-def _as_messages(cut: DataFrame, target: Target) -> DataFrame:
+def as_messages(cut: DataFrame, target: Target) -> DataFrame:
     numbered = cut.withColumn("off", F.col("first_off") + F.col("pos"))
     placed = publish.route_partitions(numbered, target.partitions, target.routing, "off", target.partition)
     return conform(placed.withColumn("publish_time", F.current_timestamp()), MESSAGE_SCHEMA)
