@@ -231,8 +231,9 @@ def _strings(table: pa.Table, shared: pa.Table, method: Method, number: int) ->
     hot = np.concatenate([*hots, np.zeros(0, np.uint8)]).astype(bool)
     order = np.argsort(name)
     name, hot = name[order], hot[order]
-    found_at: dict[tuple[int, int, bytes], int] = {}
-    string, row, first, sizes = [], [], [], np.zeros(table.num_rows, np.int64)
+    # equal strings have the same minimiser, so the same bucket
+    found_at: dict[bytes, int] = {}
+    string, buckets, marks, row, first, sizes = [], [], [], [], [], np.zeros(table.num_rows, np.int64)
     for lo, hi, tokens, found in _token_blocks(table, method):
         sizes[lo:hi] = np.diff(tokens.edge)
         keep, is_hot = _known(found, name, hot, number)
@@ -249,24 +250,26 @@ def _strings(table: pa.Table, shared: pa.Table, method: Method, number: int) ->
         mark = span_hashes(tokens.raw, a, b)
         bucket = np.where(alone, _bucket(mark, number), _bucket(found.anchor[keep][run], number))
         data = tokens.raw.tobytes()
-        for key in zip(bucket.tolist(), mark.tolist(), [data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], strict=True):
-            string.append(found_at.setdefault(key, len(found_at)))
+        string.append(np.array([found_at.setdefault(data[x:y], len(found_at)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64))
+        buckets.append(bucket)
+        marks.append(mark)
         row.append(text + lo)
         first.append(begin - tokens.edge[:-1][text])
     # by bucket, then by hash: the same order whenever the part is read again
-    keys = list(found_at)
-    bucket, mark = np.array([k[0] for k in keys], np.int64), np.array([k[1] for k in keys], np.uint64)
+    names = list(found_at)
+    which = np.concatenate([*string, _EMPTY])
+    bucket, mark = np.empty(len(names), np.int64), np.empty(len(names), np.uint64)
+    bucket[which], mark[which] = np.concatenate([*buckets, _EMPTY]), np.concatenate([*marks, np.zeros(0, _U)])
     order = np.lexsort((mark, bucket)).tolist()
-    if len(keys) and (np.diff(mark[order]) == 0).any():
-        order.sort(key=lambda i: keys[i])
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.arange(len(keys))
-    keys = [keys[i] for i in order]
-    which = rank[np.array(string, np.int64)] if string else _EMPTY
+    if len(names) and (np.diff(mark[order]) == 0).any():
+        order.sort(key=lambda i: (bucket[i], mark[i], names[i]))
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    which = rank[which]
     rows = np.concatenate([*row, _EMPTY])
-    least = np.full(len(keys), np.iinfo(np.int64).max)
+    least = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(least, which, ids[rows])
-    return _Strings([k[0] for k in keys], [k[2] for k in keys], least, which, ids[rows], rows, np.concatenate([*first, _EMPTY]), sizes)
+    return _Strings(bucket[order].tolist(), [names[i] for i in order], least, which, ids[rows], rows, np.concatenate([*first, _EMPTY]), sizes)
 
 
 _SENT = "bucket int, part int, data binary, sizes binary, least binary"
@@ -339,20 +342,22 @@ def spans_to_remove(table: pa.Table, shared: pa.Table, owned: pa.Table, method:
     count = np.array([method.windows(t) for t in s.text], np.int64)
     # one piece a string unless a bucket says otherwise
     offsets = dict((b, i) for b, i, _ in _by_bucket(np.array(s.bucket, np.int64))) if s.bucket else {}
-    told: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    told, told_n, told_size, told_owner = [_EMPTY], [_EMPTY], [_EMPTY], [_EMPTY]
     columns = [owned.column(c).to_pylist() for c in ("bucket", "string", "pieces", "sizes", "owners")]
     for bucket, string, pieces, sizes, owners in zip(*columns, strict=True):
-        n = np.frombuffer(pieces, np.int32)
-        cut = np.cumsum(n)[:-1]
-        size, owner = np.split(np.frombuffer(sizes, np.int32), cut), np.split(np.frombuffer(owners, np.int64), cut)
-        for k, x, y in zip((np.frombuffer(string, np.int32) + offsets[bucket]).tolist(), size, owner, strict=True):
-            told[k] = (x.astype(np.int64), y)
-    pieces = [told.get(k) or (count[k : k + 1], s.least[k : k + 1]) for k in range(len(s.text))]
-    number_of = np.array([len(x) for x, _ in pieces], np.int64)
-    size = np.concatenate([*(x for x, _ in pieces), _EMPTY])
-    owner = np.concatenate([*(y for _, y in pieces), _EMPTY])
-    begin = np.cumsum(size) - size
+        told.append(np.frombuffer(string, np.int32).astype(np.int64) + offsets[bucket])
+        told_n.append(np.frombuffer(pieces, np.int32).astype(np.int64))
+        told_size.append(np.frombuffer(sizes, np.int32).astype(np.int64))
+        told_owner.append(np.frombuffer(owners, np.int64))
+    answered, n_of = np.concatenate(told), np.concatenate(told_n)
+    number_of = np.ones(len(s.text), np.int64)
+    number_of[answered] = n_of
     head = np.cumsum(number_of) - number_of
+    size, owner = np.empty(number_of.sum(), np.int64), np.empty(number_of.sum(), np.int64)
+    size[head], owner[head] = count, s.least
+    place = np.repeat(head[answered] - (np.cumsum(n_of) - n_of), n_of) + np.arange(n_of.sum())
+    size[place], owner[place] = np.concatenate(told_size), np.concatenate(told_owner)
+    begin = np.cumsum(size) - size
     n = number_of[s.string]
     every = np.repeat(head[s.string] - (np.cumsum(n) - n), n) + np.arange(n.sum())
     occurrence = np.repeat(np.arange(len(s.string)), n)
