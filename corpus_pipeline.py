@@ -41,7 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The least doc_id of each group of near duplicates stays; of rows equal in id and text, one."""
     grouped = simhash_bk.near_duplicates(docs)
     stay = hold(grouped.where("doc_id = component_id").select("doc_id").distinct(), "representatives")
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    # the ids that stay grow with the documents, so they are never sent to every task
+    kept = docs.where("doc_id is not null").join(stay.hint("merge"), "doc_id", "left_semi")
     # few if any, so texts are compared only there; rows that share an id alone are all kept
     repeated = hold(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
     once = kept.join(repeated, "doc_id", "left_anti")
