@@ -460,6 +460,12 @@ union all select topic, off, 'both' from x where beyond and open""",
 )
 select topic, part, position, count(case when k is not null and off > position then 1 end) as n
 from p join m using (topic, part) group by topic, part, position""",
+    "ack_intervals": f"""with {_M}, g as (
+  select *, count(case when k is null then 1 end) over (partition by topic, part order by off) as gaps from m
+)
+select '{CONSUMER}' as consumer_id, topic, part, min(off) as first_off, max(off) as last_off
+from g where k is not null group by topic, part, gaps""",
+    "backlog_intervals": f"""with {_M} select topic, part, off, md5(body) as digest from m where k is null""",
     "due_for_redelivery": f"""with {_M}
 select topic, part, off from m where k is null and ts <= (select max(ts) from events) - interval 1 day""",
     "dedupe": f"""with {_M}

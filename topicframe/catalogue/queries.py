@@ -13,7 +13,7 @@ from .. import constants as C
 from ..functions import attributes as A
 from ..functions import codecs
 from ..functions.templates import render
-from ..operators import audit, bundling, chunking, delivery, publish, records
+from ..operators import audit, bundling, chunking, delivery, intervals, publish, records
 from ..operators.receive import assign_receive_batches
 from ..plans import consume
 from ..plans import publish as publishers
@@ -709,6 +709,24 @@ def compact_acks(spark, sf_dir):
     )
 
 
+@query
+def ack_intervals(spark, sf_dir):
+    """Single acknowledgements as the fewest intervals, merged in two turns."""
+    log = V.messages(spark, sf_dir)
+    acks = intervals.of_acks(_acked(log))
+    early = hold(intervals.merge(log, acks.where("first_off % 2 = 0")), "early-intervals")
+    merged = intervals.merge(log, early.unionByName(acks.where("first_off % 2 = 1")))
+    return merged.select("consumer_id", "topic", _big("part").alias("part"), "first_off", "last_off")
+
+
+@query
+def backlog_intervals(spark, sf_dir):
+    """What intervals leave open, as single acknowledgements do."""
+    log = V.messages(spark, sf_dir)
+    ledger = hold(intervals.merge(log, intervals.of_acks(_acked(log))), "ack-intervals")
+    return intervals.uncovered(log, ledger).select("topic", _big("part").alias("part"), "off", _md5("data"))
+
+
 @query
 def due_for_redelivery(spark, sf_dir):
     log = V.messages(spark, sf_dir)

@@ -10,7 +10,8 @@ executor recomputes the same numbers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,34 @@ def running_total(
     the order. ``ties`` order rows that share it. With ``order`` unique per ``by`` a span holds
     at most ``span`` rows. A row without a value in ``by`` raises too.
     """
+    return _running(df, by, order, value.cast("bigint"), name, ties, span, _SUM)
+
+
+def running_max(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    value: Column,
+    name: str,
+    ties: Sequence[str] = (),
+    span: int = DEFAULT_SPAN,
+) -> DataFrame:
+    """Add ``name``: the greatest ``value`` of the rows before this one, per ``by``; null if there is none."""
+    return _running(df, by, order, value, name, ties, span, _MAX)
+
+
+class _How(NamedTuple):
+    """How values of earlier rows come together, and how two such results do."""
+
+    of: Callable[[str], Column]
+    both: Callable[[Column, Column], Column]
+
+
+_SUM = _How(F.sum, lambda a, b: a + F.coalesce(b, F.lit(0)))
+_MAX = _How(F.max, F.greatest)
+
+
+def _running(df: DataFrame, by: Sequence[str], order: str, value: Column, name: str, ties: Sequence[str], span: int, how: _How) -> DataFrame:
     # rows are sorted by these columns in turn; a topic's name is slowest to compare
     keys = list(reversed(by))
 
@@ -45,11 +74,11 @@ def running_total(
     # the keys themselves raise: the join below would drop a null before anything else could see it
     df = df.withColumns({k: F.coalesce(F.col(k), missing(k)) for k in keys if df.schema[k].nullable})
     place = F.when(F.col(order).isNull(), missing(order).cast("bigint")).otherwise(F.expr(f"`{order}` div {span}"))
-    cut = df.withColumn("_value", value.cast("bigint")).withColumn("_span", place)
+    cut = df.withColumn("_value", value).withColumn("_span", place)
     in_span = Window.partitionBy("_span", *keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.join(_span_starts(cut, keys, span), ["_span", *keys])
-        .withColumn(name, F.col("_start") + F.coalesce(F.sum("_value").over(in_span), F.lit(0)))
+        cut.join(_span_starts(cut, keys, span, how), ["_span", *keys])
+        .withColumn(name, how.both(F.col("_start"), how.of("_value").over(in_span)))
         .drop("_value", "_span", "_start")
     )
 
@@ -75,7 +104,7 @@ def _levels(span: int) -> list[str]:
     return names
 
 
-def _span_starts(cut: DataFrame, keys: list[str], span: int) -> DataFrame:
+def _span_starts(cut: DataFrame, keys: list[str], span: int, how: _How) -> DataFrame:
     """What was reached before each span, as (keys, _span, _start)."""
     names = _levels(span)
     grouped = cut
@@ -84,18 +113,19 @@ def _span_starts(cut: DataFrame, keys: list[str], span: int) -> DataFrame:
     # the joins below drop null groups; saying so here keeps the uses of each level identical,
     # so its scan and shuffle are done once and reused
     grouped = grouped.where(" and ".join(f"{n} is not null" for n in names))
-    level = grouped.groupBy(*names, *keys).agg(F.sum("_value").alias("_total"))
+    level = grouped.groupBy(*names, *keys).agg(how.of("_value").alias("_total"))
     levels = [level]
     for i in range(1, len(names)):
-        levels.append(levels[-1].groupBy(*names[i:], *keys).agg(F.sum("_total").alias("_total")))
+        levels.append(levels[-1].groupBy(*names[i:], *keys).agg(how.of("_total").alias("_total")))
     starts = None
     for i in reversed(range(len(names))):
         within = Window.partitionBy(*names[i + 1 : i + 2], *keys).orderBy(names[i])
-        before = F.coalesce(F.sum("_total").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        before = how.of("_total").over(within.rowsBetween(Window.unboundedPreceding, -1))
+        before = F.coalesce(before, F.lit(0)) if how is _SUM else before
         inner = levels[i].select(*names[i : i + 2], *keys, before.alias("_inner"))
         if starts is None:
             starts = inner.withColumnRenamed("_inner", "_start")
         else:
             joined = inner.join(starts.select(names[i + 1], *keys, F.col("_start").alias("_outer")), [names[i + 1], *keys])
-            starts = joined.select(names[i], *keys, (F.col("_outer") + F.col("_inner")).alias("_start"))
+            starts = joined.select(names[i], *keys, how.both(F.col("_outer"), F.col("_inner")).alias("_start"))
     return starts
