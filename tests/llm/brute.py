@@ -46,6 +46,34 @@ def near(docs):
     return {i: (f"{fps[i]:016x}", root[i]) for i in ids}
 
 
+def shingles(text, size=5):
+    words = spaced(lower(text))
+    return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_wide(docs):
+    """{doc_id: component_id} by all pairs of whole sketches."""
+    from topicframe.llm import wide_simhash as ws
+
+    sketch = {i: [int(w) for w in ws.sketch((t or "").encode())] for i, t in docs}
+
+    def linked(a, b):
+        apart = [x ^ y for x, y in zip(sketch[a], sketch[b], strict=True)]
+        bits = [x.bit_count() for x in apart]
+        for band in range(ws.BANDS):
+            word, slot = divmod(band, 4)
+            if not apart[word] >> 16 * slot & 0xFFFF and sum(bits[(word + 1 + k) % ws.WORDS] for k in range(ws.TREE)) <= ws.RADIUS:
+                return True
+        return False
+
+    ids = sorted(sketch)
+    return groups([(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if linked(a, b)], ids)
+
+
 def repeated_words(docs, size=13):
     """{doc_id: (n_words, n_removed, kept_sha256)}"""
     first: dict = {}

@@ -21,8 +21,8 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     model = attention_mil.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     good = attention_mil.scored(docs, model).where("predicted = 1").select("doc_id", "text").collect()
     kept = [(r.doc_id, r.text) for r in good]
-    near = brute.near(kept)
-    kept = [(i, t) for i, t in kept if near[i][1] == i]
+    near = brute.near_wide(kept)
+    kept = [(i, t) for i, t in kept if near[i] == i]
     texts = dict(kept)
     gone = brute.repeated_words(kept)
     kept = [(i, brute.without_repeats(kept)[i] if gone[i][1] else texts[i]) for i, _ in kept]

@@ -79,18 +79,25 @@ def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints of one word each, or of a row of words each."""
+    bits = np.bitwise_count(a ^ b)
+    return bits.astype(np.int64) if bits.ndim == 1 else bits.sum(axis=1, dtype=np.int64)
+
+
 class Forest:
-    """BK-trees over distinct fingerprints, one for each shard; shards need not be sorted."""
+    """BK-trees over fingerprints, one for each shard; shards need not be sorted."""
 
     def __init__(self, shard: np.ndarray, fp: np.ndarray):
         self.fp = fp
+        self.most = 64 * (fp.shape[1] if fp.ndim == 2 else 1)
         _, first, which = np.unique(shard, return_index=True, return_inverse=True)
         self.root = first[which]
         rest = np.flatnonzero(self.root != np.arange(len(fp)))
         at = self.root[rest]
         keys, nodes = [], []
         while len(rest):
-            key = at * 65 + np.bitwise_count(fp[rest] ^ fp[at])
+            key = at * (self.most + 1) + _apart(fp[rest], fp[at])
             own, lead, which = np.unique(key, return_index=True, return_inverse=True)
             keys.append(own)
             nodes.append(rest[lead])
@@ -112,12 +119,12 @@ class Forest:
                 half = len(query) // 2
                 waiting += [(query[:half], node[:half]), (query[half:], node[half:])]
                 continue
-            d = np.bitwise_count(self.fp[query] ^ self.fp[node]).astype(np.int64)
+            d = _apart(self.fp[query], self.fp[node])
             hit = (d <= radius) & (node != query)
             if hit.any():
                 yield query[hit], node[hit]
-            lo = np.searchsorted(self.key, node * 65 + np.maximum(d - radius, 1), "left")
-            hi = np.searchsorted(self.key, node * 65 + np.minimum(d + radius, 64), "right")
+            lo = np.searchsorted(self.key, node * (self.most + 1) + np.maximum(d - radius, 0), "left")
+            hi = np.searchsorted(self.key, node * (self.most + 1) + np.minimum(d + radius, self.most), "right")
             n = hi - lo
             if n.any():
                 run = np.cumsum(n)
