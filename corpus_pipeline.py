@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicframe.llm import attention_mil, best_fit, simhash_bk, super_kmers, winnowing
+from topicframe.llm import attention_mil, best_fit, super_kmers, wide_simhash, winnowing
 from topicframe.workspace import fresh_path, hold
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least doc_id of each group of near duplicates stays; of rows equal in id and text, one."""
-    grouped = simhash_bk.near_duplicates(docs)
+    grouped = wide_simhash.near_duplicates(docs)
     stay = hold(grouped.where("doc_id = component_id").select("doc_id").distinct(), "representatives")
     # the ids that stay grow with the documents, so they are never sent to every task
     kept = docs.where("doc_id is not null").join(stay.hint("merge"), "doc_id", "left_semi")
