@@ -281,3 +281,59 @@ def test_a_bundle_without_an_id_raises(spark, bundles):
     bundles(({"t": "a"}, "x"), ({"t": "a"}, "y")).withColumn("bundle_id", F.expr("nullif(bundle_id, 1)")).write.parquet(stored)
     with pytest.raises(Exception, match="cannot be put in order"):
         publish_bytes(spark.read.parquet(stored), Target("${t}")).messages.collect()
+
+
+def test_receipts_of_a_stream_equal_the_batch_audit(spark, log):
+    path, sink, receipts, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "receipts", "checkpoint"))
+    for topic in "abc":
+        write_messages(log([{"data": str(i), "topic": topic} for i in range(20)]).coalesce(1), path)
+    stream = reader.stream_topics(spark, path, pattern=".*", start="earliest", max_files=1)
+    runner.run(stream, _pipeline, sink, checkpoint, receipts=receipts)
+    batch = audit.receipts(spark.read.parquet(sink), "broker://x").agg(F.sum("bundles"), F.sum("messages"), F.min("first_off"), F.max("last_off")).first()
+    noted = spark.read.parquet(receipts)
+    assert noted.count() == 3
+    total = noted.agg(F.sum("bundles"), F.sum("messages"), F.min("first_off"), F.max("last_off"), F.sum("bytes")).first()
+    assert tuple(total)[:4] == tuple(batch) and total[1] == 60
+    assert total[4] == spark.read.parquet(sink).agg(F.sum(F.octet_length("content"))).first()[0]
+
+
+def test_a_receipt_lost_with_its_poll_is_made_of_the_output(spark, log, monkeypatch):
+    path, sink, receipts, checkpoint = (fresh_path(spark, label) for label in ("log", "sink", "receipts", "checkpoint"))
+    write_messages(log([{"data": "1,a"}, {"data": "broken", "topic": "u"}]), path)
+    stream = lambda: reader.stream_topics(spark, path, pattern=".*", start="earliest")
+    pipeline = lambda poll: consume_records(poll, SUB, "n int, s string")
+
+    def lost(*args):
+        raise RuntimeError("lost before the receipt")
+
+    dead, options = fresh_path(spark, "dead"), {"receipts": receipts}
+    with monkeypatch.context() as m:
+        m.setattr(runner, "_note", lost)
+        with pytest.raises(Exception, match="lost before"):
+            runner.run(stream(), pipeline, sink, checkpoint, dead_letters=dead, **options)
+    runner.run(stream(), pipeline, sink, checkpoint, dead_letters=dead, **options)
+    (row,) = spark.read.parquet(receipts).collect()
+    assert (row.bundles, row.messages) == (2, 2)
+
+
+def test_staged_chunks_are_written_once(spark, log):
+    path, sink, staged, checkpoint = (fresh_path(spark, label) for label in ("chunks", "sink", "staged", "checkpoint"))
+    chunks = chunking.split(log([{"data": "x" * 40, "message_id": f"m{i}"} for i in range(6)]), 4).select("chunk_set", "chunk_no", "chunk_count", "data")
+    for number in range(10):
+        chunks.where(F.col("chunk_no") == number).coalesce(1).write.mode("append").parquet(path)
+    chunks.where("chunk_no = 2 and chunk_set = 'm1'").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stateful.assemble(stream, sink, staged, checkpoint)
+    assert spark.read.parquet(sink).where("octet_length(data) = 40").count() == spark.read.parquet(sink).count() == 6
+    kept = spark.read.parquet(f"{staged}/data")
+    assert kept.count() == kept.select("chunk_set", "chunk_no").distinct().count() == 9 * 6
+    assert stateful.open_chunks(spark, staged, checkpoint, 9).count() == 0
+
+
+def test_the_ledger_is_read_for_the_logs_of_a_poll_alone(spark, log):
+    ledger = fresh_path(spark, "ledger")
+    log([{"topic": t, "off": i} for t in "abc" for i in range(3)]).select(*delivery.MESSAGE).write.partitionBy("topic", "part").parquet(f"{ledger}/poll=x-0")
+    unseen = stateful._unseen(log([{"topic": "b", "off": 1}, {"topic": "b", "off": 9}]), ledger)
+    assert [r.off for r in unseen.collect()] == [9]
+    plan = unseen._jdf.queryExecution().executedPlan().toString()
+    assert any("PartitionFilters" in line and "topic" in line and "b)" in line.split("PushedFilters")[0] for line in plan.splitlines())

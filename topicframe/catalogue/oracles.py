@@ -492,6 +492,8 @@ select doc_id, 'ack' as action from x where rn > 10 union all select doc_id, 're
 select topic, part, count(case when body <> '' then 1 end) as n, max(off) as position from m group by topic, part""",
     "stream_latest": f"with {_M} select topic, off from m where ts >= timestamp '2024-01-15'",
     "stream_dedupe": f"with {_M} select topic, part, off, md5(body) as digest from m",
+    "stream_receipts": f"""with {_M}
+select count(case when body <> '' then 1 end) as messages, min(off) as first_off, max(off) as last_off from m""",
     "stream_redelivery": f"""with {_M}
 select topic, part, off from m where k is null and ts <= (select max(ts) from events) - interval 1 day""",
     "stream_chunks": f"""{_CHUNKS}

@@ -847,6 +847,21 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(sink).select("topic", _big("part").alias("part"), "off", _md5("data"))
 
 
+@query
+def stream_receipts(spark, sf_dir):
+    """Each poll's receipt is observed while its bundles are written; the receipts add up to the log."""
+    receipts, sub = fresh_path(spark, "receipts"), _subscription(subscription_type=C.EXCLUSIVE)
+    stream = reader.stream_topics(spark, _staged(spark, sf_dir), pattern=".*", start="earliest", max_files=8)
+    runner.run(
+        stream,
+        lambda poll: consume.consume_bytes(poll, sub, drop_empty=False),
+        fresh_path(spark, "received"),
+        fresh_path(spark, "receipts-checkpoint"),
+        receipts=receipts,
+    )
+    return spark.read.parquet(receipts).agg(F.sum("messages").alias("messages"), F.min("first_off").alias("first_off"), F.max("last_off").alias("last_off"))
+
+
 @query
 def stream_redelivery(spark, sf_dir):
     log = V.messages(spark, sf_dir)

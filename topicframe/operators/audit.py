@@ -22,6 +22,17 @@ def receipts(bundles: DataFrame, broker_url: str) -> DataFrame:
     )
 
 
+def received() -> list[Column]:
+    """What a poll's receipt adds up, as metrics of the bundles while they are written."""
+    return [
+        F.count("*").alias("bundles"),
+        F.coalesce(F.sum("message_count"), F.lit(0)).cast("bigint").alias("messages"),
+        F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("bigint").alias("bytes"),
+        F.min("first_off").alias("first_off"),
+        F.max("last_off").alias("last_off"),
+    ]
+
+
 def publish_counts(bundles: DataFrame, sent: Column) -> DataFrame:
     """Add ``sent_count`` and, on success, the count and topic attributes to each bundle.
 

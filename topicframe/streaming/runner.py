@@ -12,11 +12,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..plans.publish import Published
+from ..operators.audit import received
 from ..schema import MESSAGE_SCHEMA
 from ..sinks.tables import dead_letter, write_messages
 from ..workspace import complete, exists, hold, safe_name, shared_dir
@@ -53,10 +54,14 @@ def run(
     poll: str | None = None,
     timeout_seconds: float | None = None,
     dead_letters: str | None = None,
+    receipts: str | None = None,
+    metrics: Callable[[], list[Column]] = received,
 ) -> None:
     """Apply ``pipeline`` to each poll and write the result under ``sink``.
 
     With ``dead_letters`` the rows of the parse-failure route go to a table of their own.
+    With ``receipts`` each poll notes there, in one row, the ``metrics`` of the bundles it wrote,
+    observed while they are written.
     Acknowledgements are made of what was written and the poll's messages once the output is
     there; then the checkpoint moves on.
 
@@ -67,12 +72,16 @@ def run(
     def commit(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         out = poll_folder(spark, sink, checkpoint, number)
+        seen = Observation() if receipts and not complete(spark, out) else None
+        whole = (lambda: pipeline(batch).observe(seen, *metrics())) if seen else (lambda: pipeline(batch))
         if dead_letters and not complete(spark, out):
-            rows = hold(pipeline(batch), "poll")
+            rows = hold(whole(), "poll")
             failed = F.col("relationship") == C.PARSE_FAILURE
             dead_letter(rows.where(failed), poll_folder(spark, dead_letters, checkpoint, number), mode="overwrite")
             write_once(lambda: rows.where(~failed), out, spark, partition_by)
-        write_once(lambda: pipeline(batch), out, spark, partition_by)
+        write_once(whole, out, spark, partition_by)
+        if receipts:
+            _note(spark, seen, metrics(), [out, *([poll_folder(spark, dead_letters, checkpoint, number)] if dead_letters else [])], receipts, checkpoint, number)
         if acks and acknowledge:
             noted = poll_folder(spark, acks, checkpoint, number)
             write_once(lambda: acknowledge(spark.read.parquet(out), batch), noted, spark)
@@ -80,6 +89,29 @@ def run(
     drain(stream, commit, checkpoint, poll, timeout_seconds)
 
 
+def _note(
+    spark: SparkSession,
+    seen: Observation | None,
+    metrics: list[Column],
+    written: list[str],
+    receipts: str,
+    checkpoint: str,
+    number: int,
+) -> None:
+    """Write a poll's receipt: as observed, or if the poll's output stood before, from that output."""
+    path = poll_folder(spark, receipts, checkpoint, number)
+    if complete(spark, path):
+        return
+    kept = [spark.read.parquet(folder) for folder in written if exists(spark, folder)]
+    whole = kept[0]
+    for more in kept[1:]:
+        whole = whole.unionByName(more, allowMissingColumns=True)
+    totals = whole.agg(*metrics)
+    if seen:
+        totals = spark.createDataFrame([tuple(seen.get[c] for c in totals.columns)], totals.schema)
+    write_once(lambda: totals.coalesce(1), path, spark)
+
+
 def drain(
     stream: DataFrame,
     commit: Callable[[DataFrame, int], None],
