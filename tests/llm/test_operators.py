@@ -389,6 +389,23 @@ def test_far_distributions_are_dropped(spark):
     assert kept[90].class_distance > 0.5 > 0.2 > kept[3].class_distance
 
 
+def test_texts_under_a_wrong_language_are_dropped(spark):
+    """Of good texts of 100 words or more: nearly all stay, nearly none under another language."""
+    root = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text", "lang").where("lang is not null")
+    good = spark.read.parquet(f"{root}/labels.parquet").where("quality = 1").select("doc_id")
+    turned = F.create_map(*map(F.lit, ["en", "de", "de", "fr", "fr", "es", "es", "en"]))[F.col("lang")]
+    moved = docs.join(good, "doc_id").where("doc_id % 25 = 0").withColumn("lang", turned)
+    strange = spark.createDataFrame([(-1, " ".join(f"qu{i}zo" for i in range(120)), "en")], "doc_id bigint, text string, lang string")
+    both = docs.withColumn("wrong", F.lit(0)).unionByName(moved.withColumn("wrong", F.lit(1))).unionByName(strange.withColumn("wrong", F.lit(2)))
+    rows = divergence_rules.judged(both).where("n_words >= 100 and not base_failed").select("doc_id", "kept", F.col("others.wrong").alias("wrong"))
+    rows = rows.join(good, "doc_id", "left_semi").unionByName(rows.where("wrong = 2"))
+    kept = {r.wrong: (r.share, r.n) for r in rows.groupBy("wrong").agg(F.avg(F.col("kept").cast("int")).alias("share"), F.count("*").alias("n")).collect()}
+    assert kept[0][1] > 1000 and kept[0][0] >= 0.98
+    assert kept[1][1] > 50 and kept[1][0] <= 0.1
+    assert kept[2] == (0, 1)
+
+
 def test_rules_on_odd_tables(odd, empty):
     assert divergence_rules.judged(odd).count() == odd.count()
     assert divergence_rules.judged(empty).count() == 0

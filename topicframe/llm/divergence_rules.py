@@ -1,10 +1,12 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
-Each language has a reference: the shares of character classes and of its most common short words,
-summed over all documents of that language. A document is compared with the reference of its own
-language by Jensen-Shannon distance (the square root of the divergence, base 2, so 0 to 1) and
-dropped if either distance is over its limit. Guards: a document under ``MIN_WORDS`` words or a
-reference under ``MIN_REFERENCE`` words is too short for a histogram, and only the base rules judge.
+Each language has a reference: the shares of character classes and of its most common words of
+any length, summed over all documents of that language. A document is compared with the reference of
+its own language by Jensen-Shannon distance (the square root of the divergence, base 2, so 0 to 1)
+and dropped if either is too far. For words the limit goes by length: n words drawn from the reference
+itself diverge from it by about ``SAMPLING / n`` bits, so that much is allowed beside
+``MOST_WORD_DIVERGENCE``. Guards: a document under ``MIN_WORDS`` words or a reference under
+``MIN_REFERENCE`` words is too short for a histogram, and only the base rules judge.
 
 The base rules count what the contract of the query names: words, characters in words, symbols,
 repeated lines, and words inside 8-word windows that occur twice or more.
@@ -16,6 +18,7 @@ other columns are carried beside the results, under a struct.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,15 +32,17 @@ SYMBOLS = "#*$%&|<>"
 PLAIN = r"[a-z\x20\x09-\x0D\x{80}-\x{10FFFF}]+"
 #: character classes beside white space, symbols and the rest, which is mostly lower-case letters
 CLASSES = {"upper": "[A-Z]+", "digit": "[0-9]+", "point": "[.,;:!?]+", "mark": "[!?]+"}
-#: common words are at most so long, and so many a language
-SHORT = 4
+#: common words a language; with more, 100 words say less about each
 COMMON = 32
 _SIGNS = "".join(chr(0x41 + i) for i in range(26)) + "abcdef"
 REPEAT_WINDOW = 8
 MIN_WORDS = 100
 MIN_REFERENCE = 1000
 MOST_CLASS_DISTANCE = 0.25
-MOST_WORD_DISTANCE = 0.4
+#: bits beyond what a sample of the document's length explains
+MOST_WORD_DIVERGENCE = 0.045
+#: n times the divergence expected of n words from what they were drawn from: bins less one, over 8 ln 2
+SAMPLING = round(COMMON / (8 * math.log(2)), 4)
 #: languages whose references are sent to every task, about 1 KB each
 MOST_SENT = 20_000
 
@@ -118,7 +123,7 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """docs as (doc_id, lang, others) with the counts of the base rules, class counts and short words."""
+    """docs as (doc_id, lang, others) with the counts of the base rules and the words."""
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "lang")), F.lit(0).alias("_"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
@@ -143,16 +148,17 @@ def references(docs: DataFrame) -> DataFrame:
     """(lang, n, class_shares, common, word_shares) of every language."""
     rows = counted(docs).select(
         "lang",
+        "words",
         "n_words",
         _classes(F.col("text"), F.col("signs"), F.col("word_chars"), F.col("n_symbols")).alias("classes"),
-        F.filter("words", lambda w: F.length(w) <= SHORT).alias("short"),
     )
     rows = hold(_folded(rows), "language-counts")
-    classes = rows.where("word is null").groupBy("lang").agg(
-        F.sum("n").alias("n"), *(F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 3))
-    )
+    in_bin = lambda i: F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0).cast("bigint"))
+    bins = range(len(CLASSES) + 3)
+    classes = rows.where("word is null").groupBy("lang").agg(in_bin(-1).alias("n"), F.array(*(in_bin(i) for i in bins)).alias("classes"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = rows.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n")).withColumn("place", place)
+    # each task passes on its first words of a language alone, so a vocabulary is in no one task
+    top = rows.where("word is not null").select("lang", "word", "n").withColumn("place", place)
     top = top.where(F.col("place") <= COMMON).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     joined = classes.join(top, "lang", "left")
     none = F.array().cast("array<struct<place:int,word:string,n:bigint>>")
@@ -162,22 +168,22 @@ def references(docs: DataFrame) -> DataFrame:
     return joined.select(
         "lang",
         "n",
-        _shares(F.array(*(F.col(f"c{i}") for i in range(len(CLASSES) + 3)))).alias("class_shares"),
+        _shares(F.col("classes")).alias("class_shares"),
         F.transform("top", lambda x: x["word"]).alias("common"),
         _shares(F.concat(padded, F.array(F.col("n") - _total(counts)))).alias("word_shares"),
     )
 
 
 def _folded(rows: DataFrame) -> DataFrame:
-    """One row a language for the classes (word null) and one for each short word, summed before any shuffle."""
-    zero = F.array_repeat(F.lit(0).cast("bigint"), len(CLASSES) + 3)
-    entry = lambda word, n, classes: F.struct(word.alias("word"), n.alias("n"), classes.alias("classes"))
-    words = F.transform("short", lambda w: entry(w, F.lit(1).cast("bigint"), F.lit(None).cast("array<bigint>")))
-    whole = F.array(entry(F.lit(None).cast("string"), F.col("n_words"), F.coalesce("classes", zero)))
-    every = rows.select("lang", F.inline(F.concat(whole, words)))
-    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 3)]
-    folded = every.groupBy("lang", "word").agg(F.sum("n").alias("n"), *sums)
-    return folded.select("lang", "word", "n", F.array(*(f"c{i}" for i in range(len(CLASSES) + 3))).alias("classes"))
+    """(lang, word, bin, n), summed before any shuffle: a row for each word, and with word null one for
+    each character class and one, bin -1, for the number of words."""
+    entry = lambda word, place, n: F.struct(word.alias("word"), place.alias("bin"), n.alias("n"))
+    none, one = F.lit(None), F.lit(1).cast("bigint")
+    words = F.transform("words", lambda w: entry(w, none.cast("int"), one))
+    classes = F.transform("classes", lambda x, i: entry(none.cast("string"), i, x))
+    whole = F.array(entry(none.cast("string"), F.lit(-1), F.col("n_words")))
+    every = rows.select("lang", F.inline(F.concat(whole, classes, words)))
+    return every.groupBy("lang", "word", "bin").agg(F.sum("n").alias("n"))
 
 
 def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -189,8 +195,7 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         known = F.broadcast(known)
     rows = counted(docs).withColumn("windows", _windows(F.col("words"))).withColumn("n_repeat_words", _covered(F.col("windows")))
     rows = rows.join(known, "lang", "left")
-    short = F.filter("words", lambda w: F.length(w) <= SHORT)
-    place = F.filter(F.transform(short, lambda w: F.array_position("common", w).cast("int")), lambda k: k > 0)
+    place = F.filter(F.transform("words", lambda w: F.array_position("common", w).cast("int")), lambda k: k > 0)
     signs = F.array_join(F.transform(place, lambda k: F.substring(F.lit(_SIGNS), k, F.lit(1))), "")
 
     def per_word(s: Column) -> Column:
@@ -201,7 +206,8 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = rows.withColumn("class_distance", distance(_shares(_classes(F.col("text"), F.col("signs"), F.col("word_chars"), F.col("n_symbols"))), F.col("class_shares")))
     rows = rows.withColumn("word_distance", let(let(signs, per_word), lambda c: distance(_shares(c), F.col("word_shares"))))
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    far = (F.col("class_distance") > MOST_CLASS_DISTANCE) | (F.col("word_distance") > MOST_WORD_DISTANCE)
+    excess = F.col("word_distance") * F.col("word_distance") - SAMPLING / F.col("n_words")
+    far = (F.col("class_distance") > MOST_CLASS_DISTANCE) | (excess > MOST_WORD_DIVERGENCE)
     judging = (F.col("n_words") >= min_words) & (F.col("n_reference") >= MIN_REFERENCE)
     kept = ~base_failed & ~F.coalesce(judging & far, F.lit(False))
     names = ["doc_id", "lang", "others", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance"]

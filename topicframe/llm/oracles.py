@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .divergence_rules import COMMON, MIN_REFERENCE, MIN_WORDS, MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE, SHORT
+from .divergence_rules import COMMON, MIN_REFERENCE, MIN_WORDS, MOST_CLASS_DISTANCE, MOST_WORD_DIVERGENCE, SAMPLING
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,11 +119,11 @@ with d as (
   select doc_id, lang, bin, x / greatest(sum(x) over (partition by doc_id), 1) as p from classes
 ), class_distance as (
   select doc_id, {_DISTANCE} as class_distance from class_shares join class_reference using (lang, bin) group by doc_id
-), short as (
-  select doc_id, lang, word, count(*) as x from (select doc_id, lang, unnest(w) as word from base) where length(word) <= {SHORT}
+), words as (
+  select doc_id, lang, word, count(*) as x from (select doc_id, lang, unnest(w) as word from base)
   group by doc_id, lang, word
 ), ranked as (
-  select lang, word, sum(x) as x, row_number() over (partition by lang order by sum(x) desc, word) as place from short group by lang, word
+  select lang, word, sum(x) as x, row_number() over (partition by lang order by sum(x) desc, word) as place from words group by lang, word
 ), top as (
   select lang, word, x from ranked where place <= {COMMON}
 ), sizes as (
@@ -133,7 +133,7 @@ with d as (
   union all
   select lang, null, (n - coalesce((select sum(x) from top where top.lang = sizes.lang), 0)) / greatest(n, 1) from sizes
 ), found as (
-  select short.doc_id, short.lang, short.word, short.x from short join top using (lang, word)
+  select words.doc_id, words.lang, words.word, words.x from words join top using (lang, word)
 ), word_counts as (
   select doc_id, lang, word, x from found
   union all
@@ -149,7 +149,7 @@ select doc_id, n_words, word_chars, n_symbols, cast(len(lines) - len(list_distin
   n_words < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * n_words as base_failed,
   not (n_words < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * n_words)
     and not (n_words >= {MIN_WORDS} and n >= {MIN_REFERENCE}
-      and (class_distance > {MOST_CLASS_DISTANCE} or word_distance > {MOST_WORD_DISTANCE})) as kept
+      and (class_distance > {MOST_CLASS_DISTANCE} or word_distance * word_distance - {SAMPLING} / n_words > {MOST_WORD_DIVERGENCE})) as kept
 from base left join repeats using (doc_id) join class_distance using (doc_id) join word_distance using (doc_id) join sizes using (lang)"""
 
 BOND_SCAN = """
