@@ -53,7 +53,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def _removed(text: Column, pattern: str) -> Column:
@@ -137,7 +137,7 @@ def counted(docs: DataFrame) -> DataFrame:
         "signs",
         "words",
         F.size("words").cast("bigint").alias("n_words"),
-        _total(F.transform("words", lambda w: F.length(w))).alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         _removed(F.col("signs"), f"[{SYMBOLS}]+").cast("bigint").alias("n_symbols"),
         _repeat_lines(F.col("text")).cast("bigint").alias("n_dup_lines"),
     )
@@ -146,20 +146,16 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def references(docs: DataFrame) -> DataFrame:
     """(lang, n, class_shares, common, word_shares) of every language."""
-    rows = counted(docs).select(
-        "lang",
-        "words",
-        "n_words",
-        _classes(F.col("text"), F.col("signs"), F.col("word_chars"), F.col("n_symbols")).alias("classes"),
-    )
-    rows = hold(_folded(rows), "language-counts")
-    in_bin = lambda i: F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0).cast("bigint"))
-    bins = range(len(CLASSES) + 3)
-    classes = rows.where("word is null").groupBy("lang").agg(in_bin(-1).alias("n"), F.array(*(in_bin(i) for i in bins)).alias("classes"))
+    rows = counted(docs)
+    counts = _classes(F.col("text"), F.col("signs"), F.col("word_chars"), F.col("n_symbols"))
+    sums = F.array(*(F.sum(F.col("classes")[i]) for i in range(len(CLASSES) + 3)))
+    classes = rows.select("lang", "n_words", counts.alias("classes")).groupBy("lang").agg(F.sum("n_words").alias("n"), sums.alias("classes"))
+    # counted in a pass of their own, since a row a word then carries the word alone
+    words = rows.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     # each task passes on its first words of a language alone, so a vocabulary is in no one task
-    top = rows.where("word is not null").select("lang", "word", "n").withColumn("place", place)
-    top = top.where(F.col("place") <= COMMON).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
+    top = words.withColumn("place", place).where(F.col("place") <= COMMON)
+    top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     joined = classes.join(top, "lang", "left")
     none = F.array().cast("array<struct<place:int,word:string,n:bigint>>")
     joined = joined.withColumn("top", F.coalesce("top", none))
@@ -174,18 +170,6 @@ def references(docs: DataFrame) -> DataFrame:
     )
 
 
-def _folded(rows: DataFrame) -> DataFrame:
-    """(lang, word, bin, n), summed before any shuffle: a row for each word, and with word null one for
-    each character class and one, bin -1, for the number of words."""
-    entry = lambda word, place, n: F.struct(word.alias("word"), place.alias("bin"), n.alias("n"))
-    none, one = F.lit(None), F.lit(1).cast("bigint")
-    words = F.transform("words", lambda w: entry(w, none.cast("int"), one))
-    classes = F.transform("classes", lambda x, i: entry(none.cast("string"), i, x))
-    whole = F.array(entry(none.cast("string"), F.lit(-1), F.col("n_words")))
-    every = rows.select("lang", F.inline(F.concat(whole, classes, words)))
-    return every.groupBy("lang", "word", "bin").agg(F.sum("n").alias("n"))
-
-
 def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, lang, others, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     class_distance, word_distance, base_failed, kept)."""
@@ -195,8 +179,8 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         known = F.broadcast(known)
     rows = counted(docs).withColumn("windows", _windows(F.col("words"))).withColumn("n_repeat_words", _covered(F.col("windows")))
     rows = rows.join(known, "lang", "left")
-    place = F.filter(F.transform("words", lambda w: F.array_position("common", w).cast("int")), lambda k: k > 0)
-    signs = F.array_join(F.transform(place, lambda k: F.substring(F.lit(_SIGNS), k, F.lit(1))), "")
+    named = F.array(F.lit(""), *(F.lit(c) for c in _SIGNS))
+    signs = F.array_join(F.transform("words", lambda w: F.get(named, F.array_position("common", w).cast("int"))), "")
 
     def per_word(s: Column) -> Column:
         number = lambda k: F.length(s) - F.length(F.replace(s, F.substring(F.lit(_SIGNS), k, F.lit(1)), F.lit("")))
