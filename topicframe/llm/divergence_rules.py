@@ -43,8 +43,10 @@ MOST_CLASS_DISTANCE = 0.25
 MOST_WORD_DIVERGENCE = 0.045
 #: n times the divergence expected of n words from what they were drawn from: bins less one, over 8 ln 2
 SAMPLING = round(COMMON / (8 * math.log(2)), 4)
-#: languages whose references are sent to every task, about 1 KB each
-MOST_SENT = 20_000
+#: common words are looked up among the few that share their slot
+SLOTS = 64
+#: languages whose references are sent to every task, about 5 KB each
+MOST_SENT = 4_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -71,12 +73,9 @@ def _repeat_lines(text: Column) -> Column:
 
 
 def _windows(words: Column) -> Column:
-    """Hash of every 8-word window, from those of 2 and 4 words; empty for fewer words."""
-
-    def doubled(h: Column, width: int) -> Column:
-        return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + width)))
-
-    eights = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(doubled(h, 1), lambda h2: let(doubled(h2, 2), lambda h4: doubled(h4, 4))))
+    """Hash of every 8-word window, from the hashes of its words; empty for fewer words."""
+    whole = lambda h, i: F.xxhash64(*(F.get(h, i + k) for k in range(REPEAT_WINDOW)))
+    eights = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(h, lambda x, i: whole(h, i)))
     return F.slice(eights, F.lit(1), F.greatest(F.size(words) - (REPEAT_WINDOW - 1), F.lit(0)))
 
 
@@ -144,8 +143,24 @@ def counted(docs: DataFrame) -> DataFrame:
     return plain
 
 
+def _slot(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def _slotted(top: Column) -> Column:
+    """For each slot its common words, and their signs behind an empty one."""
+    mine = lambda k: F.filter(top, lambda x: _slot(x["word"]) == k)
+    sign = lambda x: F.substring(F.lit(_SIGNS), x["place"], F.lit(1))
+
+    def of(k: Column) -> Column:
+        words, signs = F.transform(mine(k), lambda x: x["word"]), F.concat(F.array(F.lit("")), F.transform(mine(k), sign))
+        return F.struct(words.alias("words"), signs.alias("signs"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: of(k.cast("int")))
+
+
 def references(docs: DataFrame) -> DataFrame:
-    """(lang, n, class_shares, common, word_shares) of every language."""
+    """(lang, n, class_shares, slots, word_shares) of every language."""
     rows = counted(docs)
     counts = _classes(F.col("text"), F.col("signs"), F.col("word_chars"), F.col("n_symbols"))
     sums = F.array(*(F.sum(F.col("classes")[i]) for i in range(len(CLASSES) + 3)))
@@ -165,7 +180,7 @@ def references(docs: DataFrame) -> DataFrame:
         "lang",
         "n",
         _shares(F.col("classes")).alias("class_shares"),
-        F.transform("top", lambda x: x["word"]).alias("common"),
+        _slotted(F.col("top")).alias("slots"),
         _shares(F.concat(padded, F.array(F.col("n") - _total(counts)))).alias("word_shares"),
     )
 
@@ -179,8 +194,8 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         known = F.broadcast(known)
     rows = counted(docs).withColumn("windows", _windows(F.col("words"))).withColumn("n_repeat_words", _covered(F.col("windows")))
     rows = rows.join(known, "lang", "left")
-    named = F.array(F.lit(""), *(F.lit(c) for c in _SIGNS))
-    signs = F.array_join(F.transform("words", lambda w: F.get(named, F.array_position("common", w).cast("int"))), "")
+    slot = lambda w: F.get("slots", _slot(w))
+    signs = F.array_join(F.transform("words", lambda w: F.get(slot(w)["signs"], F.array_position(slot(w)["words"], w).cast("int"))), "")
 
     def per_word(s: Column) -> Column:
         number = lambda k: F.length(s) - F.length(F.replace(s, F.substring(F.lit(_SIGNS), k, F.lit(1)), F.lit("")))
