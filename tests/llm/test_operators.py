@@ -6,6 +6,7 @@ import json
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,34 @@ def test_encoder_tells_pieces_of_equal_hash_apart(monkeypatch):
             assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_keeps_pieces_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    words = ["".join(w) for w in rng.choice(list("abcdefghij"), (60_000, 9))]
+    known = Encoder(default_vocabulary())
+    list(known.counts_and_ids(["a" * (1 << 18)]))
+    tracemalloc.start()
+    for _ in known.counts_and_ids([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]):
+        pass
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 150 * len(words), kept / len(words)
+
+
+def test_encoder_takes_columns_and_forgets(monkeypatch):
+    from topicframe.llm import encoder as module
+
+    monkeypatch.setattr(module, "MOST_PIECES", 40)
+    monkeypatch.setattr(module, "BLOCK_ROWS", 7)
+    rows = [f"a{i % 90} b{i} it's {'é' * (i % 5)}" for i in range(200)] + [None, "", "λ", "a1"]
+    known = Encoder(default_vocabulary())
+    for column in (rows, pa.array(rows), pa.array(["x", *rows])[1:]):
+        counts, ids = (np.concatenate(x) for x in zip(*known.counts_and_ids(column), strict=True))
+        want = [known.library.encode(t or "", add_special_tokens=False).ids for t in rows]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_length_histogram(docs, empty):
     size = sorted(len(x) for x in tokens(awkward()).values())
     limits = token_lengths.limits(token_lengths.histogram(docs)).cache()

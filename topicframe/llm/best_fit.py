@@ -83,7 +83,7 @@ def _pieces(vocabulary: str, largest: int):
         known = encoder(vocabulary)
         for batch in batches:
             lo = 0
-            for counts, _ in known.counts_and_ids(batch.column("text").to_pylist(), want_ids=False):
+            for counts, _ in known.counts_and_ids(batch.column("text"), want_ids=False):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo : lo + len(counts)], batch.column("tie")[lo : lo + len(counts)], pa.array(counts.astype(np.int64))], names=["doc_id", "tie", "length"])
                 lo += len(counts)
 

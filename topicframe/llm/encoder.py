@@ -3,28 +3,32 @@
 Byte-level BPE cuts a text into pieces (a run of letters, digits or other signs with the space
 before it, or white space) and merges inside a piece only, so equal pieces have equal ids.
 Pieces are found with numpy, each distinct one is encoded once by the tokenizers library, and
-the ids of a text are gathered from them. A hash groups a block's pieces; each is then compared with
-the first of its group character by character, and what is known is known by the piece itself. Texts with characters beyond U+024F or with a special
-token's string go to the library whole, so classes of rarer characters are the library's own.
+the ids of a text are gathered from them. A hash groups a block's pieces and finds those already known;
+each is then compared character by character, with the first of its group and with the known one. What is
+known stands in flat arrays, since a worker keeps millions of pieces. Texts with characters beyond U+024F or
+with a special token's string go to the library whole, so classes of rarer characters are the library's own.
 """
 
 from __future__ import annotations
 
-import array
 import os
 import unicodedata
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from .textbytes import mix, powers
 
 #: Texts are joined into blocks of about this many characters.
 BLOCK_CHARS = 1 << 18
+#: and never of more texts than this
+BLOCK_ROWS = 1024
 #: A worker forgets its pieces when it knows this many, or this many characters of them; it changes no result.
 MOST_PIECES = 2_000_000
-MOST_CHARS = 64 << 20
+MOST_CHARS = 32 << 20
 _PLAIN = 0x250
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 
@@ -83,6 +87,85 @@ def piece_starts(code: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+class _Row:
+    """A flat array that grows at its end; n of it is filled."""
+
+    def __init__(self, kind: type, first: tuple[int, ...] = ()):
+        self.n, self.all = len(first), np.array([*first, *[0] * 64], kind)
+
+    def extend(self, more: np.ndarray) -> None:
+        need = self.n + len(more)
+        if need > len(self.all):
+            wider = np.empty(need + need // 4, self.all.dtype)
+            wider[: self.n] = self.all[: self.n]
+            self.all = wider
+        self.all[self.n : need] = more
+        self.n = need
+
+
+class _Known:
+    """Pieces by number: their characters and ids end to end, and an open table of their hashes."""
+
+    def __init__(self) -> None:
+        self.key, self.ids, self.signs = _Row(np.uint64), _Row(np.int32), _Row(np.uint16)
+        self.id_ends, self.sign_ends = _Row(np.int64, (0,)), _Row(np.int64, (0,))
+        self.table = np.full(1 << 12, -1, np.int32)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The number of the piece of each hash, or -1."""
+        found, left, at = np.full(len(key), -1, np.int64), np.arange(len(key)), self._home(key)
+        while len(left):
+            number = self.table[at]
+            same = (number >= 0) & (self.key.all[number] == key[left])
+            found[left[same]] = number[same]
+            on = (number >= 0) & ~same
+            left, at = left[on], (at[on] + 1) & (len(self.table) - 1)
+        return found
+
+    def unlike(self, number: np.ndarray, code: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the piece of each number is another than the one from begin to end of code."""
+        size = end - begin
+        start = self.sign_ends.all[number]
+        other = self.sign_ends.all[number + 1] - start != size
+        size = np.where(other, 0, size)
+        edge = np.cumsum(size) - size
+        step = np.arange(size.sum())
+        wrong = code[np.repeat(begin - edge, size) + step] != self.signs.all[np.repeat(start - edge, size) + step]
+        other[np.repeat(np.arange(len(size)), size)[wrong]] = True
+        return other
+
+    def add(self, pieces: list[str], ids: list[list[int]]) -> np.ndarray:
+        """The numbers of new pieces."""
+        number = np.arange(self.id_ends.n - 1, self.id_ends.n - 1 + len(pieces))
+        for row, ends, parts in ((self.ids, self.id_ends, ids), (self.signs, self.sign_ends, pieces)):
+            ends.extend(row.n + np.cumsum([len(x) for x in parts]))
+        self.ids.extend(np.fromiter(chain.from_iterable(ids), np.int32))
+        self.signs.extend(np.frombuffer("".join(pieces).encode("utf-16-le"), np.uint16))
+        self.key.extend(np.zeros(len(pieces), np.uint64))
+        return number
+
+    def enter(self, key: np.ndarray, number: np.ndarray) -> None:
+        """From now on the hashes, none of which is there yet, find these numbers."""
+        self.key.all[number] = key
+        if 2 * self.key.n > len(self.table):
+            old = self.table[self.table >= 0]
+            self.table = np.full(1 << int(4 * self.key.n).bit_length(), -1, np.int32)
+            self._put(self.key.all[old], old)
+        self._put(key, number)
+
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        return (key & np.uint64(len(self.table) - 1)).astype(np.int64)
+
+    def _put(self, key: np.ndarray, number: np.ndarray) -> None:
+        at = self._home(key)
+        while len(number):
+            free = self.table[at] < 0
+            self.table[at[free]] = number[free]
+            # of pieces that want one place, one has it and the others go on
+            on = self.table[at] != number
+            number, at = number[on], (at[on] + 1) & (len(self.table) - 1)
+
+
 class Encoder:
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,19 +176,15 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.chars = 0
-        self.ids, self.ends = array.array("i"), array.array("q", [0])
+        self.known = _Known()
+        #: pieces whose hash another one has
+        self.others: dict[str, int] = {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.slots[piece] = len(self.ends) - 1
-            self.chars += len(piece)
-            self.ids.extend(found.ids)
-            self.ends.append(len(self.ids))
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        return self.known.add(pieces, [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)])
 
     def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(slot of every piece, first piece of every text and the end), for plain texts."""
@@ -122,22 +201,27 @@ class Encoder:
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[: len(code)], out=total[1:])
         key = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
-        pieces = [joined[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-        for i in self._unlike(code, begin, end, first[which]):
-            # another piece with the same hash
-            piece = joined[begin[i] : end[i]]
-            which[i] = len(pieces)
-            pieces.append(piece)
-        if len(self.slots) + len(pieces) > MOST_PIECES or self.chars > MOST_CHARS:
+        if self.known.key.n > MOST_PIECES or self.known.signs.n > MOST_CHARS:
             self.forget()
-        new = [p for p in pieces if p not in self.slots]
-        if new:
-            self._learn(list(dict.fromkeys(new)))
-        slots = np.array([self.slots[p] for p in pieces], np.int64)
-        return slots[which], np.searchsorted(begin, off)
+        cut = lambda which: [joined[a:b] for a, b in zip(begin[which].tolist(), end[which].tolist(), strict=True)]
+        slots = self.known.find(key[first])
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self._learn(cut(first[new]))
+            self.known.enter(key[first[new]], slots[new])
+        odd = first[self.known.unlike(slots, code, begin[first], end[first])]
+        slots = slots[which]
+        # other pieces with the same hash, as one known before or as one of the block
+        odd = np.union1d(np.flatnonzero(np.isin(first[which], odd)) if len(odd) else odd, self._unlike(code, begin, end, first[which]))
+        if len(odd):
+            pieces = cut(odd)
+            unknown = [p for p in dict.fromkeys(pieces) if p not in self.others]
+            self.others.update(zip(unknown, self._learn(unknown).tolist(), strict=True))
+            slots[odd] = [self.others[p] for p in pieces]
+        return slots, np.searchsorted(begin, off)
 
     @staticmethod
-    def _unlike(code: np.ndarray, begin: np.ndarray, end: np.ndarray, chosen: np.ndarray) -> list[int]:
+    def _unlike(code: np.ndarray, begin: np.ndarray, end: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         """The pieces that are not, sign for sign, the one chosen for them."""
         size = end - begin
         unlike = size[chosen] != size
@@ -145,19 +229,24 @@ class Encoder:
         # pieces follow one another, so signs and pieces run in parallel
         wrong = np.flatnonzero(code[np.arange(len(code)) + np.repeat(shift, size)] != code)
         unlike[np.searchsorted(begin, wrong, "right") - 1] = True
-        return np.flatnonzero(unlike).tolist()
-
-    def counts_and_ids(self, texts: list[str | None], want_ids: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-        """Blocks of (token count of each text, ids of all of them), in order; null is empty."""
-        texts = [t or "" for t in texts]
-        lo = 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_CHARS):
-                size += len(texts[hi])
-                hi += 1
-            yield self._encoded(texts[lo:hi], want_ids)
-            lo = hi
+        return np.flatnonzero(unlike)
+
+    def counts_and_ids(self, column: pa.Array | list[str | None], want_ids: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Blocks of (token count of each text, ids of all of them), in order; null is empty.
+
+        Of an Arrow column few texts at a time are taken out.
+        """
+        for top in range(0, len(column), BLOCK_ROWS):
+            some = column[top : top + BLOCK_ROWS]
+            texts = [t or "" for t in (some if isinstance(some, list) else some.to_pylist())]
+            lo = 0
+            while lo < len(texts):
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_CHARS):
+                    size += len(texts[hi])
+                    hi += 1
+                yield self._encoded(texts[lo:hi], want_ids)
+                lo = hi
 
     def _plain(self, text: str) -> bool:
         return (text.isascii() or max(text) < chr(_PLAIN)) and not any(s in text for s in self.special)
@@ -165,17 +254,14 @@ class Encoder:
     def _encoded(self, texts: list[str], want_ids: bool) -> tuple[np.ndarray, np.ndarray | None]:
         odd = {i: t for i, t in enumerate(texts) if t and not self._plain(t)}
         slots, edge = self._block(["" if i in odd else t for i, t in enumerate(texts)])
-        ends = np.frombuffer(self.ends, np.int64).copy() if len(self.ends) < 4096 else np.frombuffer(self.ends, np.int64)
-        length = ends[slots + 1] - ends[slots]
+        begin = self.known.id_ends.all[slots]
+        length = self.known.id_ends.all[slots + 1] - begin
         running = np.zeros(len(slots) + 1, np.int64)
         np.cumsum(length, out=running[1:])
         counts = running[edge[1:]] - running[edge[:-1]]
         ids = None
         if want_ids:
-            flat = np.frombuffer(self.ids, np.int32) if len(self.ids) else np.zeros(0, np.int32)
-            ids = flat[np.repeat(ends[slots] - running[:-1], length) + np.arange(running[-1])]
-            del flat
-        del ends
+            ids = self.known.ids.all[np.repeat(begin - running[:-1], length) + np.arange(running[-1])]
         if odd:
             whole = dict(zip(odd, self._whole(list(odd.values())), strict=True))
             if want_ids:

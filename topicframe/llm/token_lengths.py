@@ -32,7 +32,7 @@ def _counted(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(vocabulary)
         for batch in batches:
-            counts = [c for c, _ in known.counts_and_ids(batch.column(0).to_pylist(), want_ids=False)]
+            counts = [c for c, _ in known.counts_and_ids(batch.column(0), want_ids=False)]
             if counts:
                 length, docs = np.unique(np.concatenate(counts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(length.astype(np.int64)), pa.array(docs.astype(np.int64))], names=["length", "n_docs"])

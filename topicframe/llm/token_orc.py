@@ -41,7 +41,7 @@ def _encode(vocabulary: str, end_id: int):
         known, at = encoder(vocabulary), 0
         for batch in batches:
             doc_ids, lo = batch.column(0), 0
-            for counts, ids in known.counts_and_ids(batch.column(1).to_pylist()):
+            for counts, ids in known.counts_and_ids(batch.column(1)):
                 ends = np.cumsum(counts + 1)
                 flat = np.full(int(ends[-1]), end_id, np.int32)
                 body = np.ones(len(flat), bool)
