@@ -337,3 +337,27 @@ def test_the_ledger_is_read_for_the_logs_of_a_poll_alone(spark, log):
     assert [r.off for r in unseen.collect()] == [9]
     plan = unseen._jdf.queryExecution().executedPlan().toString()
     assert any("PartitionFilters" in line and "topic" in line and "b)" in line.split("PushedFilters")[0] for line in plan.splitlines())
+
+
+def test_stream_sources_grow_in_files_and_not_in_tasks(spark, monkeypatch):
+    from topicframe.catalogue import queries
+
+    monkeypatch.setattr(queries, "SOURCE_BYTES", 1000)
+    # one chunk a set: dealt by chunk_no alone all would be in one file
+    chunks = spark.range(4000).selectExpr("id as chunk_set", "0 as chunk_no", "1 as chunk_count", "cast('0123456789' as binary) as data")
+    path, half = queries._source(chunks, queries._bytes(chunks, "data"), ["chunk_set", "chunk_no"], "grown-source")
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 40 and half == 20 and sum(sizes) == 4000 and max(sizes) < 200
+    few, half = queries._source(chunks.limit(3), 30, ["chunk_set", "chunk_no"], "small-source")
+    assert half == 2 and spark.read.parquet(few).count() == 3
+
+
+def test_streams_of_many_files_give_the_same_rows(spark, monkeypatch):
+    from topicframe.catalogue import queries
+
+    folder = "/root/testdata/sf0.001"
+    for name in ("stream_chunks",):
+        want = sorted(queries.REGISTRY[name](spark, folder).collect())
+        with monkeypatch.context() as patch:
+            patch.setattr(queries, "SOURCE_BYTES", 30_000)
+            assert sorted(queries.REGISTRY[name](spark, folder).collect()) == want and want

@@ -798,6 +798,26 @@ def _staged(spark, sf_dir) -> str:
     return path
 
 
+#: bytes of payload in a file of a stream's source
+SOURCE_BYTES = 128 << 20
+
+
+def _source(df: DataFrame, payloads: int, keys: list[str], label: str) -> tuple[str, int]:
+    """df stored for a stream to read, and the files that make half of it.
+
+    There are four files, or a multiple of four that holds ``payloads`` bytes. Rows are dealt out by
+    ``keys``, which should tell them apart: then no file is larger than the others.
+    """
+    number = 4 * max(1, -(-payloads // (4 * SOURCE_BYTES)))
+    path = fresh_path(df.sparkSession, label)
+    df.repartition(number, *keys).write.parquet(path)
+    return path, number // 2
+
+
+def _bytes(df: DataFrame, payload: str) -> int:
+    return df.agg(F.sum(F.octet_length(payload)).alias("n")).first()["n"] or 0
+
+
 def _drained(spark, stream: DataFrame, pipeline, label: str) -> DataFrame:
     sink = fresh_path(spark, label)
     runner.run(stream, pipeline, sink, fresh_path(spark, f"{label}-checkpoint"))
@@ -885,10 +905,10 @@ def stream_redelivery(spark, sf_dir):
 
 @query
 def stream_chunks(spark, sf_dir):
-    path, sink = fresh_path(spark, "chunks"), fresh_path(spark, "stream-chunks")
+    sink = fresh_path(spark, "stream-chunks")
     # a set's chunks come in different polls
-    V.broken_chunks(spark, sf_dir).repartition(4, "chunk_no").write.parquet(path)
-    chunks = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    path, half = _source(V.broken_chunks(spark, sf_dir), _bytes(V.documents(spark, sf_dir), "content"), ["chunk_set", "chunk_no"], "chunks")
+    chunks = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", half).parquet(path)
     stateful.assemble(chunks, sink, fresh_path(spark, "open-chunks"), fresh_path(spark, "chunks-checkpoint"))
     return spark.read.parquet(sink).select(_big("chunk_set").alias("doc_id"), "chunk_count", _md5("data"))
 
