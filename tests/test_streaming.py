@@ -356,7 +356,7 @@ def test_streams_of_many_files_give_the_same_rows(spark, monkeypatch):
     from topicframe.catalogue import queries
 
     folder = "/root/testdata/sf0.001"
-    for name in ("stream_chunks",):
+    for name in ("stream_chunks", "stream_publish_failures"):
         want = sorted(queries.REGISTRY[name](spark, folder).collect())
         with monkeypatch.context() as patch:
             patch.setattr(queries, "SOURCE_BYTES", 30_000)

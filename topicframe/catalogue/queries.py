@@ -929,10 +929,9 @@ def stream_dead_letters(spark, sf_dir):
 
 
 def _publish_stream(spark, bundles: DataFrame, table: str, ends: str, checkpoint: str, failures: str) -> None:
-    source = fresh_path(spark, "bundles")
-    bundles.repartition(4, "bundle_id").write.parquet(source)
+    source, half = _source(bundles, _bytes(bundles, "content"), ["bundle_id"], "bundles")
     runner.publish(
-        reader.stream_bundles(spark, source, max_files=2),
+        reader.stream_bundles(spark, source, max_files=half),
         lambda poll, reached: publishers.publish_bytes(
             poll, publishers.Target("${topic}", partitions=4), demarcator="\n", ends=reached
         ),
