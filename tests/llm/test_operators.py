@@ -273,6 +273,17 @@ def test_encoder_tells_pieces_of_equal_hash_apart(monkeypatch):
             assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_windows_come_from_the_hashes_of_words(spark, capsys):
+    rows = spark.createDataFrame([(i, [k % 9 for k in range(n)]) for i, n in enumerate((0, 7, 8, 30))], "i int, h array<bigint>")
+    got = rows.select("i", "h", divergence_rules._windows(F.col("h")).alias("w"))
+    for r in got.collect():
+        want = [tuple(r.h[k : k + 8]) for k in range(len(r.h) - 7)]
+        assert len(r.w) == len(want) and len(set(r.w)) == len(set(zip(r.w, want))) == len(set(want))
+    got.explain()
+    # no element is looked up by its number
+    assert "zip_with" in capsys.readouterr().out
+
+
 def test_encoder_keeps_pieces_in_little_memory():
     import tracemalloc
 
